@@ -26,13 +26,11 @@ def _col(c) -> Column:
 def _scaled_quotient(num, den, scale: int, places: int) -> Column:
     a = _col(num).cast("bigint")
     b = _col(den).cast("bigint")
-    # Normalise the sign onto the numerator so the divisor is positive.
-    a = F.when(b < 0, -a).otherwise(a)
-    b = F.abs(b)
     factor = F.lit(2 * 10 ** (scale + places)).cast("bigint")
-    units = F.call_function("div", F.abs(a) * factor + b, b * 2)
-    signed = F.when(a < 0, -units).otherwise(units)
-    return F.when(b == 0, F.lit(None)).otherwise(signed).cast("double") / F.lit(10 ** places)
+    units = F.call_function("div", F.abs(a) * factor + F.abs(b), F.abs(b) * 2)
+    negative = (a < 0) != (b < 0)
+    signed = F.when(negative, -units).otherwise(units)
+    return F.when(b != 0, signed.cast("double") / F.lit(10 ** places))
 
 
 def pct(num, den, places: int = 2) -> Column:

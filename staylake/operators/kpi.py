@@ -28,16 +28,23 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
                                date_col: str = "scraped_date") -> DataFrame:
     """One row per (keys, month label) with the additive parts of every KPI.
 
-    Everything is a partial-aggregatable sum/count/min/max except the exact
-    median (a per-group map of price -> count, bounded by distinct prices)
-    and the distinct host count (planned as a two-level aggregate).
+    The distinct host count is its own aggregate, joined back on the group
+    keys: folded into the main aggregate, Spark would compute every other
+    aggregate (median buffers included) at (keys, month, host) grain and
+    shuffle those. Both sides are partial-aggregated and hash-partitioned on
+    the same keys, so the join adds no exchange. The exact median keeps a
+    price -> count map per group, bounded by the number of distinct prices.
     """
+    month = month_label(date_col).alias("month_year")
+    group = [*keys, "month_year"]
     active = is_true("has_availability")
     inactive = F.col("has_availability") == F.lit(False)
     revenue_or_zero = F.when(
         active, (F.lit(NIGHTS_WINDOW) - F.col("availability_30").cast("bigint"))
         * F.col("price").cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    return rows.groupBy(*keys, month_label(date_col).alias("month_year")).agg(
+    base = rows.select(*keys, month, "host_id", "host_is_superhost", "price",
+                       "has_availability", "availability_30", "review_scores_rating")
+    main = base.groupBy(*group).agg(
         flag_count(active).alias("n_active"),
         F.count("has_availability").alias("n_flagged"),
         flag_count(inactive).alias("n_inactive"),
@@ -46,7 +53,6 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
         F.percentile(active_only("price"), F.lit(0.5)).alias("median_price"),
         F.sum(active_only("price").cast("bigint")).alias("sum_active_price"),
         F.count(active_only("price")).alias("n_active_price"),
-        F.count_distinct("host_id").alias("distinct_host"),
         flag_count(is_true("host_is_superhost")).alias("n_superhost"),
         F.count("host_is_superhost").alias("n_superhost_flagged"),
         F.sum(active_only("review_scores_rating").cast("bigint")).alias("sum_active_rating"),
@@ -55,6 +61,17 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
         F.sum(revenue_or_zero).alias("sum_revenue_or_zero"),
         F.count(revenue_or_zero).alias("n_revenue_or_zero"),
     )
+    hosts = distinct_count(base, group, "host_id", "distinct_host").alias("h")
+    cond = [F.col(f"m.{k}").eqNullSafe(F.col(f"h.{k}")) for k in group]
+    return (main.alias("m").join(hosts, cond, "left")
+            .select("m.*", F.coalesce(F.col("h.distinct_host"), F.lit(0).cast("bigint")).alias("distinct_host")))
+
+
+def distinct_count(df: DataFrame, group: Sequence[str], col: str, out: str) -> DataFrame:
+    """Exact ``COUNT(DISTINCT col)`` per group: distinct (group, col) pairs
+    (partial-aggregated), then a count per group."""
+    return (df.select(*group, col).filter(F.col(col).isNotNull()).distinct()
+            .groupBy(*group).agg(F.count("*").alias(out)))
 
 
 def listing_kpis(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_date",
@@ -68,6 +85,8 @@ def listing_kpis(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_
     """
     agg = monthly_listing_aggregates(rows, keys, date_col)
     month_order = F.col("month_year") if order == "label" else label_time_key("month_year")
+    agg = period_change(agg, "n_active", keys, month_order, "active_change", denom="n_active")
+    agg = period_change(agg, "n_inactive", keys, month_order, "inactive_change", denom="n_active")
     return agg.select(
         *keys, "month_year",
         pct("n_active", "n_flagged").alias("active_listings_ratio"),
@@ -76,8 +95,6 @@ def listing_kpis(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_
         "distinct_host",
         pct("n_superhost", "n_superhost_flagged").alias("superhost_ratio"),
         avg_exact("sum_active_rating", "n_active_rating").alias("average_review_scores_rating"),
-        period_change("n_active", keys, month_order, denom="n_active").alias("active_change"),
-        period_change("n_inactive", keys, month_order, denom="n_active").alias("inactive_change"),
-        "stays",
+        "active_change", "inactive_change", "stays",
         avg_exact("sum_revenue_or_zero", "n_revenue_or_zero").alias("avg_estimate_revenue"),
     )

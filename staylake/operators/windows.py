@@ -62,22 +62,25 @@ def running_total(measure: str, keys: Sequence[str], order: str | Column) -> Col
     return F.sum(measure).over(Window.partitionBy(*keys).orderBy(order))
 
 
-def period_change(measure: str, keys: Sequence[str], order: str | Column,
-                  denom: str | None = None, direction: str = "next",
-                  places: int = 2) -> Column:
-    """Percent change between a period and its neighbour within ``keys``.
+def period_change(df: DataFrame, measure: str, keys: Sequence[str], order: str | Column,
+                  out: str, denom: str | None = None, direction: str = "next",
+                  places: int = 2) -> DataFrame:
+    """Add ``out``: percent change between a period and its neighbour within ``keys``.
 
     ``direction="next"``: ``(next - this) / denom * 100`` (NULL for the last
     period); ``"previous"``: ``(this - previous) / denom * 100`` (NULL for the
     first). ``denom`` defaults to ``measure`` and is read on the current row.
-    Apply to an already aggregated frame (one row per key and period).
+    Apply to an already aggregated frame (one row per key and period); the
+    neighbour is looked up once, then divided.
     """
     w = Window.partitionBy(*keys).orderBy(order)
     m = F.col(measure)
     if direction == "next":
-        diff = F.lead(m).over(w) - m
+        df = df.withColumn("_other", F.lead(m).over(w))
+        diff = F.col("_other") - m
     elif direction == "previous":
-        diff = m - F.lag(m).over(w)
+        df = df.withColumn("_other", F.lag(m).over(w))
+        diff = m - F.col("_other")
     else:
         raise ValueError("direction must be 'next' or 'previous'")
-    return pct(diff, F.col(denom or measure), places)
+    return df.withColumn(out, pct(diff, F.col(denom or measure), places)).drop("_other")

@@ -146,7 +146,7 @@ def _kpi_mart(keys: list[str], key_sql: list[str], time_order: bool = False) ->
     """The listing / property mart in the models' shape, with LEAD(SUM(..))
     written as a window over the aggregate."""
     month = "strftime(l.scraped_date, '%m/%Y')"
-    order = "strftime(l.scraped_date, '%Y%m')" if time_order else month
+    order = f"substr({month}, 4, 4) || substr({month}, 1, 2)" if time_order else month
     part = ", ".join(key_sql)
     act = f"SUM(CASE WHEN {ACTIVE} THEN 1 ELSE 0 END)"
     inact = "SUM(CASE WHEN p.has_availability = false THEN 1 ELSE 0 END)"

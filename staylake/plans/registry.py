@@ -38,9 +38,23 @@ def query(name: str):
     return deco
 
 
+# One loaded warehouse per (session, test-data folder): the raw tables are
+# derived and written once, and every model reads the written tables.
+_LOADED: dict[tuple[str, str], Warehouse] = {}
+
+
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     configure(spark)
-    return Warehouse.from_testdata(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        _LOADED[key] = Warehouse.from_testdata(spark, sf_dir, materialized=True)
+    return _LOADED[key]
+
+
+def load_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Run the load stage now (used by the benchmark to time it on its own)."""
+    _LOADED.pop((spark.sparkContext.applicationId, sf_dir), None)
+    return _wh(spark, sf_dir)
 
 
 def _wh_query(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
@@ -187,7 +201,7 @@ def _lead_active(spark, sf_dir):
 def _change(spark, sf_dir, measure: str, order: str, name: str) -> DataFrame:
     a = _monthly(_wh(spark, sf_dir))
     o = F.col("month_year") if order == "label" else label_time_key("month_year")
-    return a.select(*KEYS, period_change(measure, ["listing_neighbourhood"], o, denom="n_active").alias(name))
+    return period_change(a, measure, ["listing_neighbourhood"], o, name, denom="n_active").select(*KEYS, name)
 
 
 QUERIES["active_change"] = lambda spark, sf_dir: _change(spark, sf_dir, "n_active", "label", "active_change")

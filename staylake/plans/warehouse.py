@@ -18,6 +18,7 @@ from staylake.functions.dates import HOST_SINCE_FORMAT, SCRAPED_DATE_FORMAT, par
 from staylake.operators.history import scd2_bulk
 from staylake.operators.joins import bounded_broadcast, fold_join
 from staylake.sources import fixtures, schemas
+from staylake.sources.store import materialize
 
 HOST_COLUMNS = ["id", "host_id", "host_name", "host_since", "host_is_superhost", "host_neighbourhood"]
 LISTING_COLUMNS = ["id", "listing_id", "scraped_date", "listing_neighbourhood"]
@@ -82,8 +83,14 @@ class Warehouse:
         self._lga_lookup: DataFrame | None = None
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
-        return cls(fixtures.raw_tables(spark, sf_dir), **kw)
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, materialized: bool = False,
+                      **kw) -> "Warehouse":
+        """Raw tables derived from the test tables; ``materialized`` writes
+        them once to the shared folder (the load stage) and reads them back."""
+        raw = fixtures.raw_tables(spark, sf_dir)
+        if materialized:
+            raw = materialize(spark, raw)
+        return cls(raw, **kw)
 
     @property
     def house(self) -> DataFrame:
