@@ -67,20 +67,22 @@ def period_change(df: DataFrame, measure: str, keys: Sequence[str], order: str |
                   places: int = 2) -> DataFrame:
     """Add ``out``: percent change between a period and its neighbour within ``keys``.
 
-    ``direction="next"``: ``(next - this) / denom * 100`` (NULL for the last
-    period); ``"previous"``: ``(this - previous) / denom * 100`` (NULL for the
-    first). ``denom`` defaults to ``measure`` and is read on the current row.
+    ``direction="next"``: ``(next - this) / denom * 100`` with ``denom`` read on
+    the current row (NULL for the last period); ``"previous"``:
+    ``(this - previous) / previous denom * 100`` (NULL for the first).
+    ``denom`` defaults to ``measure``.
     Apply to an already aggregated frame (one row per key and period); the
     neighbour is looked up once, then divided.
     """
     w = Window.partitionBy(*keys).orderBy(order)
     m = F.col(measure)
+    d = F.col(denom or measure)
     if direction == "next":
         df = df.withColumn("_other", F.lead(m).over(w))
-        diff = F.col("_other") - m
+        diff, base = F.col("_other") - m, d
     elif direction == "previous":
-        df = df.withColumn("_other", F.lag(m).over(w))
-        diff = m - F.col("_other")
+        df = df.withColumns({"_other": F.lag(m).over(w), "_base": F.lag(d).over(w)})
+        diff, base = m - F.col("_other"), F.col("_base")
     else:
         raise ValueError("direction must be 'next' or 'previous'")
-    return df.withColumn(out, pct(diff, F.col(denom or measure), places)).drop("_other")
+    return df.withColumn(out, pct(diff, base, places)).drop("_other", "_base")
