@@ -122,7 +122,7 @@ def hosts_single(wh: Warehouse) -> DataFrame:
     return host_spread(wh).filter(~F.col("multi")).select("host_id")
 
 
-def q3_local_rate(wh: Warehouse, sort: bool = True) -> DataFrame:
+def q3_local_rate(wh: Warehouse, sort: bool = False) -> DataFrame:
     """For hosts with several room types: per host LGA, the share of their
     listings in that same LGA.
 

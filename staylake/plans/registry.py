@@ -81,7 +81,7 @@ for _name, _build in {
 
 # ---- marts and questions (M14-M20) ----------------------------------------
 _wh_query("dm_host_neighbourhood", marts.dm_host_neighbourhood)
-_wh_query("dm_listing_neighbourhood", marts.dm_listing_neighbourhood)
+_wh_query("dm_listing_neighbourhood", lambda wh: marts.dm_listing_neighbourhood(wh, sort=True))
 _wh_query("dm_listing_neighbourhood_time", lambda wh: marts.dm_listing_neighbourhood(wh, order="time"))
 _wh_query("dm_property_type", marts.dm_property_type)
 _wh_query("q1_best_worst", questions.q1_best_worst)

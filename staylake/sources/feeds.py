@@ -104,11 +104,12 @@ def surrogate_id(df: DataFrame, base: Column, partition: Sequence[str],
     files were split, so a re-run or a lost executor reproduces the same ids.
     """
     w = Window.partitionBy(*partition).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    rn = F.row_number().over(w)
+    df = df.withColumn("_copy", F.row_number().over(w))
+    rn = F.col("_copy")
     rid = base.cast("bigint") * F.lit(copies) + rn
     guarded = F.when(rn > copies, F.raise_error(
         F.lit(f"surrogate_id: more than {copies} rows share one natural key"))).otherwise(rid)
-    return df.withColumn(name, guarded.cast("bigint"))
+    return df.withColumn(name, guarded.cast("bigint")).drop("_copy")
 
 
 def union_months(frames: Iterable[DataFrame]) -> DataFrame:
