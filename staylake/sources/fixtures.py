@@ -6,10 +6,12 @@ DuckDB oracle evaluate identically (see FIXTURES.md):
 
 * a listing row is a line item, its host is the order, its host neighbourhood
   the customer's nation and its listing neighbourhood the supplier's nation;
-* an LGA is a region and a suburb is a nation; nation 0 is also listed under
-  the next region, so one suburb lies in two LGAs;
-* census counts are customer counts per region; census medians are linear in
-  the region key, with fractional averages that must be rounded on load.
+* an LGA is a region and a suburb is a nation, for the nations and regions
+  where customers live; nation 0 is also listed under the next region, so one
+  suburb lies in two LGAs;
+* census counts are customer counts per region; census medians (for regions
+  with customers) are linear in the region key, with fractional averages
+  that must be rounded on load.
 
 ``SPARK`` builders return DataFrames; ``fixture_ctes()`` returns the same
 tables as SQL common table expressions over the registered test views.
@@ -130,35 +132,49 @@ def house(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.select("id", *schemas.HOUSE_COLUMNS)
 
 
-def lga_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _customer_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (nation, region) pairs where customers live: the census
+    covers inhabited areas, and deriving it scans the customer table."""
+    cust = _read(spark, sf_dir, "customer", ["c_nationkey"])
+    nation = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = _read(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    return region.select(
+    return (cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("n_nationkey", "n_name", "n_regionkey").distinct()
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+
+
+def lga_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One LGA per region with customers."""
+    return _customer_areas(spark, sf_dir).select(
         (F.col("r_regionkey") + 1).cast("bigint").alias("id"),
         (F.col("r_regionkey") + LGA_CODE_BASE).cast("int").alias("lga_code"),
-        F.col("r_name").alias("lga_name"))
+        F.col("r_name").alias("lga_name")).distinct()
 
 
 def lga_suburb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One suburb per nation with customers, under its region's LGA."""
+    areas = _customer_areas(spark, sf_dir)
     region = _read(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    nation = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    home = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    home = areas.select(
         (F.col("n_nationkey") + 1).cast("bigint").alias("id"),
         F.col("r_name").alias("lga_name"), F.col("n_name").alias("suburb_name"))
     # Nation 0 is also listed under the next region: one suburb, two LGAs.
-    planted = (nation.filter(F.col("n_nationkey") == 0)
-               .join(region, F.col("r_regionkey") == F.col("n_regionkey") + 1)
+    nxt = region.select(F.col("r_regionkey").alias("next_key"), F.col("r_name").alias("next_name"))
+    planted = (areas.filter(F.col("n_nationkey") == 0)
+               .join(nxt, F.col("next_key") == F.col("n_regionkey") + 1)
                .select((F.col("n_nationkey") + 1001).cast("bigint").alias("id"),
-                       F.col("r_name").alias("lga_name"), F.col("n_name").alias("suburb_name")))
+                       F.col("next_name").alias("lga_name"), F.col("n_name").alias("suburb_name")))
     return home.unionByName(planted)
 
 
 def census_two_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G02 medians as the feed carries them (averages are fractional)."""
-    region = _read(spark, sf_dir, "region", ["r_regionkey"])
+    """G02 medians per region with customers, as the feed carries them
+    (averages are fractional)."""
+    regions = _customer_areas(spark, sf_dir).select("r_regionkey").distinct()
     r = F.col("r_regionkey")
     measures = [((F.lit(a) + F.lit(b) * r).cast("double") / F.lit(d)).alias(name)
                 for name, (a, b, d) in CENSUS_TWO_RULES.items()]
-    return region.select(
+    return regions.select(
         (r + 1).cast("bigint").alias("id"),
         F.concat(F.lit("LGA"), (r + LGA_CODE_BASE).cast("string")).alias("lga_code_2016"),
         *measures)
@@ -236,6 +252,11 @@ def _census_one_sql() -> str:
             f"FROM region r LEFT JOIN ({per_region}) w ON r.r_regionkey = w.n_regionkey")
 
 
+AREAS_SQL = ("SELECT DISTINCT n.n_nationkey, n.n_name, n.n_regionkey, r.r_regionkey, r.r_name "
+             "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey "
+             "JOIN region r ON n.n_regionkey = r.r_regionkey")
+
+
 def _census_two_sql(loaded: bool) -> str:
     parts = []
     for name, (a, b, d) in CENSUS_TWO_RULES.items():
@@ -243,7 +264,7 @@ def _census_two_sql(loaded: bool) -> str:
         parts.append(f"CAST(round({value}) AS INTEGER) AS {name}" if loaded else f"{value} AS {name}")
     return (f"SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, "
             f"'LGA' || CAST(r_regionkey + {LGA_CODE_BASE} AS VARCHAR) AS lga_code_2016, "
-            + ", ".join(parts) + " FROM region")
+            + ", ".join(parts) + " FROM (SELECT DISTINCT r_regionkey FROM customer_areas) a")
 
 
 def _house_feed_sql() -> str:
@@ -300,15 +321,16 @@ def fixture_ctes() -> list[tuple[str, str]]:
     return [
         ("feed_house", _house_feed_sql()),
         ("raw_house", _house_sql()),
-        ("raw_lga_code", f"SELECT CAST(r_regionkey + 1 AS BIGINT) AS id, "
+        ("customer_areas", AREAS_SQL),
+        ("raw_lga_code", f"SELECT DISTINCT CAST(r_regionkey + 1 AS BIGINT) AS id, "
                          f"CAST(r_regionkey + {LGA_CODE_BASE} AS INTEGER) AS lga_code, "
-                         f"r_name AS lga_name FROM region"),
+                         f"r_name AS lga_name FROM customer_areas"),
         ("raw_lga_suburb",
-         "SELECT CAST(n.n_nationkey + 1 AS BIGINT) AS id, r.r_name AS lga_name, n.n_name AS suburb_name "
-         "FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey "
+         "SELECT CAST(a.n_nationkey + 1 AS BIGINT) AS id, a.r_name AS lga_name, a.n_name AS suburb_name "
+         "FROM customer_areas a "
          "UNION ALL "
-         "SELECT CAST(n.n_nationkey + 1001 AS BIGINT), r.r_name, n.n_name "
-         "FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey + 1 WHERE n.n_nationkey = 0"),
+         "SELECT CAST(a.n_nationkey + 1001 AS BIGINT), r.r_name, a.n_name "
+         "FROM customer_areas a JOIN region r ON r.r_regionkey = a.n_regionkey + 1 WHERE a.n_nationkey = 0"),
         ("feed_census_two", _census_two_sql(loaded=False)),
         ("raw_census_two", _census_two_sql(loaded=True)),
         ("raw_census_one", _census_one_sql()),
