@@ -18,6 +18,7 @@ from staylake.functions.dates import HOST_SINCE_FORMAT, SCRAPED_DATE_FORMAT, par
 from staylake.operators.history import scd2_bulk
 from staylake.operators.joins import bounded_broadcast, fold_join
 from staylake.sources import fixtures, schemas
+from staylake.sources.catalog import read_raw_tables
 from staylake.sources.store import materialize
 
 HOST_COLUMNS = ["id", "host_id", "host_name", "host_since", "host_is_superhost", "host_neighbourhood"]
@@ -92,6 +93,22 @@ class Warehouse:
             raw = materialize(spark, raw)
         return cls(raw, **kw)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str = "raw", **kw) -> "Warehouse":
+        """The raw tables by their logical names (see ``sources.catalog``)."""
+        return cls(read_raw_tables(spark, database), **kw)
+
+    MODELS = ("stg_lga_code", "stg_lga_suburb", "stg_host", "stg_listing", "stg_property",
+              "dim_host", "dim_listing", "dim_property", "dim_lga", "fact_one", "fact_two",
+              "fact_review", "fact_listing")
+
+    def register_views(self) -> list[str]:
+        """Every model as a temporary view of its (lazy) plan, so models can be
+        read by name from SQL; nothing is computed here."""
+        for name in self.MODELS:
+            getattr(self, name)().createOrReplaceTempView(name)
+        return list(self.MODELS)
+
     @property
     def house(self) -> DataFrame:
         return self.raw["house"]

@@ -54,3 +54,23 @@ def test_feed_header_is_checked(spark):
     write_table(bad, bad_path, fmt="csv")
     with pytest.raises(Exception):
         load_feed(spark, "nsw_lga_code", bad_path).collect()
+
+
+def test_catalog_tables_and_views(spark):
+    import uuid
+
+    from staylake.plans.warehouse import Warehouse
+    from staylake.sources import fixtures
+    from staylake.sources.catalog import create_raw_tables, save_raw_tables
+    from tests.conftest import SMOKE_DIR
+
+    db = f"raw_{uuid.uuid4().hex[:8]}"
+    create_raw_tables(spark, db, scratch_path(spark, "catalog-test"))
+    create_raw_tables(spark, db)  # idempotent
+    save_raw_tables(spark, fixtures.raw_tables(spark, SMOKE_DIR), db)
+    assert spark.table(f"{db}.house").count() == fixtures.house(spark, SMOKE_DIR).count()
+    wh = Warehouse.from_catalog(spark, db)
+    names = wh.register_views()
+    assert "fact_listing" in names
+    direct = Warehouse.from_testdata(spark, SMOKE_DIR).dim_host().count()
+    assert spark.sql("SELECT COUNT(*) FROM dim_host").first()[0] == direct
