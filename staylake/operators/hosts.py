@@ -12,15 +12,24 @@ ROOM_KIND = ("property_type", "room_type", "accommodates")
 
 def host_room_spread(rows: DataFrame, host: str = "host_id",
                      kind: Sequence[str] = ROOM_KIND) -> DataFrame:
-    """One row per non-NULL host: ``multi`` is true when the host's rows
-    cover more than one distinct ``kind`` combination (NULL is a value).
+    """One row per non-NULL host: ``n_kinds`` distinct ``kind`` combinations
+    (NULL counts as a value, as in GROUP BY) and ``multi = n_kinds > 1``.
 
-    Same answer as counting the distinct combinations per host, but as a
-    single algebraic min/max aggregate: partial aggregation collapses a hot
-    host map-side, and nothing per host is collected.
+    Two hash aggregates: distinct (host, kind) pairs, partial-aggregated in
+    every task (a host with very many rows shrinks to its few kinds before
+    the shuffle), then a count per host.
     """
-    k = F.struct(*[F.col(c) for c in kind])
-    return (rows.filter(F.col(host).isNotNull())
-            .groupBy(host)
-            .agg(F.min(k).alias("_lo"), F.max(k).alias("_hi"))
-            .select(host, (~F.col("_lo").eqNullSafe(F.col("_hi"))).alias("multi")))
+    pairs = rows.filter(F.col(host).isNotNull()).select(host, *kind).distinct()
+    return (pairs.groupBy(host).agg(F.count("*").alias("n_kinds"))
+            .withColumn("multi", F.col("n_kinds") > 1))
+
+
+def restrict_hosts(df: DataFrame, spread: DataFrame, multi: bool, host: str = "host_id") -> DataFrame:
+    """Keep the rows of ``df`` whose host is (not) multi-kind.
+
+    Written as an inner join with the one-row-per-host flags rather than a
+    semi join: Catalyst pushes a semi join below an aggregate on the same key,
+    which would shuffle raw rows by host instead of the pre-aggregated ones.
+    """
+    keep = spread.filter(F.col("multi") if multi else ~F.col("multi")).select(host)
+    return df.join(keep, host)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from staylake.functions.exact import pct, ratio
 from staylake.functions.listing import estimated_nights, estimated_revenue
 from staylake.functions.text import fold, lga_code_parse
-from staylake.operators.hosts import host_room_spread
+from staylake.operators.hosts import host_room_spread, restrict_hosts
 from staylake.operators.joins import fold_join
 from staylake.operators.windows import first_last, top1_per_group, top_k
 from staylake.plans.warehouse import Warehouse
@@ -133,8 +133,8 @@ def q3_local_rate(wh: Warehouse, sort: bool = False) -> DataFrame:
     """
     pairs = (wh.rows(host=True, listing=True)
              .groupBy("host_id", "host_neighbourhood", "listing_neighbourhood")
-             .agg(F.count("*").alias("n"))
-             .join(hosts_multi(wh), "host_id", "left_semi"))
+             .agg(F.count("*").alias("n")))
+    pairs = restrict_hosts(pairs, host_spread(wh), multi=True)
     lga = wh.lga_lookup()
     h = lga.select(F.col("lga_name").alias("host_lga"), F.col("suburb_name").alias("h_suburb"))
     l = lga.select(F.col("lga_name").alias("listing_lga"), F.col("suburb_name").alias("l_suburb"))
@@ -162,8 +162,8 @@ def single_host_revenue(wh: Warehouse) -> DataFrame:
     combos = (wh.rows(host=True, listing=True, property=True)
               .groupBy("host_id", "host_name", "listing_neighbourhood", *ROOM_KIND)
               .agg(F.sum(estimated_revenue()).alias("rev")))
-    single = host_room_spread(combos, "host_id", ROOM_KIND).filter(~F.col("multi")).select("host_id")
-    return (combos.join(single, "host_id", "left_semi")
+    spread = host_room_spread(combos, "host_id", ROOM_KIND)
+    return (restrict_hosts(combos, spread, multi=False)
             .groupBy("host_id", "host_name", "listing_neighbourhood")
             .agg(F.sum("rev").alias("estimate_revenue")))
 
