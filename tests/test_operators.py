@@ -50,7 +50,7 @@ def test_host_room_spread_counts_null_as_a_value(spark):
         [(1, "A", "R", 2), (1, "A", "R", 2), (2, "A", "R", 2), (2, "A", None, 2), (3, None, None, 1),
          (3, None, None, 1), (None, "A", "R", 1), (None, "B", "R", 1)],
         "host_id long, property_type string, room_type string, accommodates int")
-    got = rows_of(host_room_spread(df))
+    got = rows_of(host_room_spread(df), "host_id", "multi")
     assert got == [(1, False), (2, True), (3, False)]
 
 
