@@ -84,9 +84,10 @@ def listing_kpis(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_
     that order within the same ``keys``.
     """
     agg = monthly_listing_aggregates(rows, keys, date_col)
-    month_order = F.col("month_year") if order == "label" else label_time_key("month_year")
-    agg = period_change(agg, "n_active", keys, month_order, "active_change", denom="n_active")
-    agg = period_change(agg, "n_inactive", keys, month_order, "inactive_change", denom="n_active")
+    agg = agg.withColumn("_month_order", F.col("month_year") if order == "label"
+                         else label_time_key("month_year"))
+    agg = period_change(agg, "n_active", keys, "_month_order", "active_change", denom="n_active")
+    agg = period_change(agg, "n_inactive", keys, "_month_order", "inactive_change", denom="n_active")
     return agg.select(
         *keys, "month_year",
         pct("n_active", "n_flagged").alias("active_listings_ratio"),

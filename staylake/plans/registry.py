@@ -277,10 +277,11 @@ def _check_unique(spark, sf_dir):
 @query("union_months")
 def _union_months(spark, sf_dir):
     """An older feed layout without review columns, unioned by name with the
-    current layout; the missing scores are filled with the load default."""
-    feed = fixtures.house_feed(spark, sf_dir)
-    older = feed.filter(F.col("scraped_date") < "1998-01-01").drop(*schemas.REVIEW_SCORES)
-    newer = feed.filter(F.col("scraped_date") >= "1998-01-01")
+    current layout; the missing scores are filled with the load default.
+    Both layouts are cut from the loaded listings table (one scan each)."""
+    house = _wh(spark, sf_dir).house
+    older = house.filter(F.col("scraped_date") < "1998-01-01").drop(*schemas.REVIEW_SCORES)
+    newer = house.filter(F.col("scraped_date") >= "1998-01-01")
     merged = union_months([newer, older])
     loaded = fill_defaults(coerce_types(merged, schemas.HOUSE_TYPES), schemas.HOUSE_FILL)
     return loaded.select("id", *schemas.HOUSE_COLUMNS)

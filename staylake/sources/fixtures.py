@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylake.sources import schemas
+from staylake.operators.joins import bounded_broadcast
 from staylake.sources.feeds import coerce_types, fill_defaults, surrogate_id
 
 # ---- fixed values: derivation parameters (FIXTURES.md section 2) -----------
@@ -53,8 +54,15 @@ CENSUS_TWO_RULES = {
 }
 
 
+# nation and region are lookup tables; they are broadcast once their row
+# count is checked against this bound (the other tables grow with the data).
+LOOKUP_TABLES = ("nation", "region")
+LOOKUP_MAX_ROWS = 10_000
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
+    return bounded_broadcast(df, LOOKUP_MAX_ROWS) if name in LOOKUP_TABLES else df
 
 
 # ----------------------------------------------------------------------------
