@@ -338,3 +338,17 @@ def _sink_roundtrip(spark, sf_dir):
     write_table(house, path, partition_by=["scrape_month"])
     write_table(house.filter(F.col("scraped_date") >= "1999-01-01"), path, partition_by=["scrape_month"])
     return spark.read.parquet(path).select("id", *schemas.HOUSE_COLUMNS)
+
+
+def _configured(fn: Query) -> Query:
+    """Apply the session settings (UTC dates, AQE) before building the query,
+    whatever session the caller passes in."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name: _configured(fn) for name, fn in QUERIES.items()}
