@@ -47,3 +47,10 @@ def test_estimated_nights_and_revenue_null_rules(spark):
     assert _one(spark, estimated_nights(), data, ddl) == [20, 0, 0, None, 0]
     # inactive * NULL price is NULL (the models multiply after the CASE)
     assert _one(spark, estimated_revenue(), data, ddl) == [2000, 0, 0, None, None]
+
+
+def test_cluster_conf_sizes_shuffles():
+    from staylake.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
