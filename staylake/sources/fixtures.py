@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylake.sources import schemas
-from staylake.operators.joins import bounded_broadcast
 from staylake.sources.feeds import coerce_types, fill_defaults, surrogate_id
 
 # ---- fixed values: derivation parameters (FIXTURES.md section 2) -----------
@@ -60,9 +59,18 @@ LOOKUP_TABLES = ("nation", "region")
 LOOKUP_MAX_ROWS = 10_000
 
 
+_LOOKUP_SMALL: dict[tuple[str, str], bool] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
-    return bounded_broadcast(df, LOOKUP_MAX_ROWS) if name in LOOKUP_TABLES else df
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path).select(*cols)
+    if name not in LOOKUP_TABLES:
+        return df
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _LOOKUP_SMALL:  # check each lookup file once per session
+        _LOOKUP_SMALL[key] = spark.read.parquet(path).limit(LOOKUP_MAX_ROWS + 1).count() <= LOOKUP_MAX_ROWS
+    return F.broadcast(df) if _LOOKUP_SMALL[key] else df
 
 
 # ----------------------------------------------------------------------------
