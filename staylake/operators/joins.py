@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Mapping
 
 from pyspark.sql import DataFrame

@@ -1,6 +1,5 @@
 """Hand-written raw tables for unit tests."""
 
-from pyspark.sql import functions as F
 
 from staylake.plans.warehouse import Warehouse
 from staylake.sources import schemas

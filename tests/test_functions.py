@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from staylake.functions import (estimated_nights, estimated_revenue, label_time_key,
                                 lga_code_parse, month_label, parse_date, pct, ratio)

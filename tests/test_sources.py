@@ -1,7 +1,4 @@
-import os
-
 import pytest
-from pyspark.sql import functions as F
 
 from staylake.session import scratch_path
 from staylake.sources import schemas
