@@ -69,14 +69,16 @@ def scd2_bulk(df: DataFrame, key: str | Sequence[str], updated_at: str,
 
 
 def scd2_merge(history: DataFrame, incoming: DataFrame, key: str | Sequence[str],
-               updated_at: str, order_by: OrderFn | None = None) -> DataFrame:
+               updated_at: str, order_by: OrderFn | None = None,
+               tie_break: str | None = "id") -> DataFrame:
     """One snapshot run: merge a batch into an existing history.
 
     New key -> open version. Same key with a later ``updated_at`` than the
     open version's ``valid_from`` -> the open version closes at the new
     ``updated_at`` and a new one opens. Not later -> no change. Keys absent
     from the batch are untouched. The batch is first reduced to its latest
-    row per key. One full outer join between open versions and the batch
+    row per key (among equally late rows, the smallest ``tie_break``, as in
+    ``scd2_bulk``). One full outer join between open versions and the batch
     produces every output row in a single pass; closed versions pass through.
     The result must be written to a new location (a table cannot be
     overwritten while it is read).
@@ -85,8 +87,11 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, key: str | Sequence[str]
     order_by = order_by or (lambda c: c)
     data_cols = [c for c in incoming.columns]
     packed = F.struct(*[F.col(c) for c in data_cols])
+    rank = [order_by(F.col(updated_at)), F.col(updated_at)]
+    if tie_break and tie_break in data_cols:
+        rank.append(-F.col(tie_break))
     latest = (incoming.groupBy(*keys)
-              .agg(F.max_by(packed, F.struct(order_by(F.col(updated_at)), F.col(updated_at))).alias("_r"))
+              .agg(F.max_by(packed, F.struct(*rank)).alias("_r"))
               .select(*[F.col(f"_r.{c}").alias(c) for c in data_cols]))
 
     closed = history.filter(F.col("valid_to").isNotNull())

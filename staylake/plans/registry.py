@@ -340,6 +340,24 @@ def _sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).select("id", *schemas.HOUSE_COLUMNS)
 
 
+@query("stream_ingest")
+def _stream_ingest(spark, sf_dir):
+    """The listings feed as monthly CSV folders, ingested by the incremental
+    stream (load, month-partitioned raw table, history merge per batch); the
+    result is the current version of every listing."""
+    from staylake.operators.history import current_rows
+    from staylake.streaming import ingest_feed, latest_history
+
+    base = scratch_path(spark, "stream")
+    feed = fixtures.house_feed(spark, sf_dir).withColumn(
+        "feed_month", F.date_format(parse_date("scraped_date", SCRAPED_DATE_FORMAT), "yyyy_MM"))
+    write_table(feed.select(*[F.col(c).alias(c.upper()) for c in feed.columns]), f"{base}/feed",
+                partition_by=["FEED_MONTH"], fmt="csv")
+    ingest_feed(spark, f"{base}/feed/*/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint",
+                files_per_batch=256)
+    return current_rows(latest_history(spark, f"{base}/history"))
+
+
 def _configured(fn: Query) -> Query:
     """Apply the session settings (UTC dates, AQE) before building the query,
     whatever session the caller passes in."""
