@@ -60,6 +60,29 @@ def main() -> None:
     ]
     for name, counts in rows:
         lines.append(f"| {name} | " + " | ".join(str(c) for c in counts) + " |")
+    lines += [
+        "",
+        "## Reading the table",
+        "",
+        "* Staging, dimension and fact models are one pruned, filtered scan: the",
+        "  slices of the listings table are never joined back on `id`.",
+        "* Mart and KPI keys: two scans (the KPI aggregate and the distinct-host",
+        "  aggregate). Every hash shuffle above the scans moves partial aggregates",
+        "  (one row per task and group); the sort-merge join pairs the two small",
+        "  per-month aggregates (NULL-safe keys, so it re-partitions them).",
+        "* Questions: Q1 ends in one-row-per-task `min_by`/`max_by` aggregates (the",
+        "  single-partition exchange carries one row per task); Q2 reads the fact",
+        "  once and ends in a per-task top-k; Q3/Q4 shuffle by host only",
+        "  pre-aggregated rows (`tests/test_skew.py` asserts it); Q4's",
+        "  single-partition exchange is its final one-row ratio.",
+        "* Load-stage keys (`fill_defaults`, `project_columns`, `surrogate_id`,",
+        "  `coerce_types`, `src_*`) derive the feeds from the TPC-H-like tables;",
+        "  their sort-merge joins are the star joins of line items with orders,",
+        "  customers, parts and suppliers, which are large at scale. Nations and",
+        "  regions are broadcast after a row-count check.",
+        "* History keys: one pre-aggregated dedupe shuffle per (key, date), then",
+        "  a window per key over at most one row per distinct date.",
+    ]
     frames["dm_listing_neighbourhood"]  # the flagship, in full
     lines += ["", "## dm_listing_neighbourhood (flagship), formatted", "", "```"]
     lines += [frames["dm_listing_neighbourhood"]._jdf.queryExecution().explainString(
