@@ -34,9 +34,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
     names = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", app_name="staylake-bench",
-                        shuffle_partitions=2 * cpus)
+                        shuffle_partitions=partitions)
     spark.sparkContext.setLogLevel("ERROR")
 
     load_warehouse(spark, sf_dir)  # warm-up (JVM start, code generation)

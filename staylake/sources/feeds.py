@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staylake.functions.dates import parse_date
 from staylake.sources import schemas
 
 
@@ -138,3 +139,45 @@ def load_feed(spark: SparkSession, name: str, paths: str | Sequence[str],
     else:
         df = coerce_types(df, types)
     return df.select(*keep, *[c for c in types if c in df.columns])
+
+
+# ---- fixed values: feed file names in the source folder layout -------------
+FEED_FILES = {
+    "nsw_lga_code": "NSW_LGA/NSW_LGA_CODE.csv",
+    "nsw_lga_suburb": "NSW_LGA/NSW_LGA_SUBURB.csv",
+    "census_two": "Census LGA/2016Census_G02_NSW_LGA.csv",
+    "census_one": "Census LGA/2016Census_G01_NSW_LGA.csv",
+}
+LISTINGS_FOLDER = "listings"
+MONTH_SLOTS = 4096          # months since 1970 fit below this for 340 years
+MAX_LISTING_ID = 2 ** 44    # keeps listing_id * MONTH_SLOTS * 64 inside 63 bits
+
+
+def house_ids(df: DataFrame) -> DataFrame:
+    """Row ids for a listings feed that carries none: the natural key is
+    (listing, scrape month); rows sharing it are numbered in a fixed column
+    order, so a re-run or a lost task gives the same ids."""
+    month = parse_date("scraped_date", "yyyy-MM-dd")
+    month_index = (F.year(month) - 1970) * 12 + F.month(month) - 1
+    checked = F.when(F.col("listing_id") >= MAX_LISTING_ID,
+                     F.raise_error(F.lit("house_ids: listing_id too large for the id layout"))
+                     ).otherwise(F.col("listing_id"))
+    df = df.withColumn("_month_index", F.coalesce(month_index, F.lit(MONTH_SLOTS - 1)))
+    out = surrogate_id(df, checked * MONTH_SLOTS + F.col("_month_index"),
+                       ["listing_id", "_month_index"],
+                       [c for c in schemas.HOUSE_COLUMNS if c != "listing_id"])
+    return out.drop("_month_index")
+
+
+def load_feeds(spark: SparkSession, folder: str, months: Sequence[str]) -> dict[str, DataFrame]:
+    """The five raw tables from a feed folder: the LGA and census files, and
+    the monthly listing files ``listings/<MM_YYYY>.csv`` named in ``months``
+    (read together in one distributed scan). LGA-level rows get load-order
+    ids (no model reads them); listing rows get ``house_ids``."""
+    tables = {}
+    for name, rel in FEED_FILES.items():
+        df = load_feed(spark, name, f"{folder}/{rel}")
+        tables[name] = df.select(F.monotonically_increasing_id().alias("id"), *df.columns)
+    house = load_feed(spark, "house", [f"{folder}/{LISTINGS_FOLDER}/{m}.csv" for m in months])
+    tables["house"] = house_ids(house).select("id", *schemas.HOUSE_COLUMNS)
+    return tables

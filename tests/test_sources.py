@@ -71,3 +71,38 @@ def test_catalog_tables_and_views(spark):
     assert "fact_listing" in names
     direct = Warehouse.from_testdata(spark, SMOKE_DIR).dim_host().count()
     assert spark.sql("SELECT COUNT(*) FROM dim_host").first()[0] == direct
+
+
+def test_feed_folder_to_models(spark):
+    """Feeds laid out as files (LGA and census CSVs, monthly listing files)
+    load into raw tables, and every model builds from them."""
+    from pyspark.sql import functions as F
+
+    from staylake.plans.build import MODELS, build_models
+    from staylake.plans.warehouse import Warehouse
+    from staylake.sources import fixtures
+    from staylake.sources.feeds import FEED_FILES, LISTINGS_FOLDER, load_feeds
+    from tests.conftest import SMOKE_DIR
+
+    folder = scratch_path(spark, "feed-folder")
+    feeds = {"nsw_lga_code": fixtures.lga_code(spark, SMOKE_DIR), "nsw_lga_suburb": fixtures.lga_suburb(spark, SMOKE_DIR),
+             "census_two": fixtures.census_two_feed(spark, SMOKE_DIR), "census_one": fixtures.census_one_feed(spark, SMOKE_DIR)}
+    for name, df in feeds.items():
+        df = df.drop("id")
+        write_table(df.select(*[F.col(c).alias(c.upper()) for c in df.columns]), f"{folder}/{FEED_FILES[name]}", fmt="csv")
+    house = fixtures.house_feed(spark, SMOKE_DIR).drop("id")
+    months = ["01_1997", "02_1997", "03_1997"]
+    for m in months:
+        mm, yyyy = m.split("_")
+        part = house.filter(F.col("scraped_date").startswith(f"{yyyy}-{mm}"))
+        write_table(part.select(*[F.col(c).alias(c.upper()) for c in part.columns]),
+                    f"{folder}/{LISTINGS_FOLDER}/{m}.csv", fmt="csv")
+    raw = load_feeds(spark, folder, months)
+    expected = house.filter(F.substring("scraped_date", 1, 7).isin("1997-01", "1997-02", "1997-03")).count()
+    assert raw["house"].count() == expected
+    assert raw["house"].select("id").distinct().count() == expected
+    assert raw["census_two"].count() == 5 and raw["nsw_lga_suburb"].count() == 26
+    out = build_models(Warehouse(raw), scratch_path(spark, "models"))
+    assert set(out) == set(MODELS)
+    assert spark.read.parquet(out["dm_listing_neighbourhood"]).count() > 0
+    assert spark.read.parquet(out["q1_best_worst"]).count() == 2
