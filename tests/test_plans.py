@@ -40,3 +40,14 @@ def test_q2_top_is_per_group_limited(spark):
     wh = _wh(spark)
     plan = questions.q2_best_type(wh)._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_q1_has_one_single_partition_exchange_and_no_window(spark):
+    wh = _wh(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(questions.q1_best_worst(wh))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange SinglePartition") == 1  # the final one-row-per-task aggregate
+    assert "Window" not in plan
