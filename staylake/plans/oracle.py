@@ -1,8 +1,10 @@
 """DuckDB SQL twins of every registered query (the correctness oracle).
 
 Each string starts with the fixture tables derived from the registered test
-views, then the staging / warehouse models as plain SQL in the shape of the
-original models (with the documented repairs), then the query itself. Ratios
+views, then the staging / warehouse models as plain SQL, then the query
+itself. The SQL is an independent formulation of the same definitions
+(aggregate FILTER clauses, named windows, rank-based top lists), so it checks
+the Spark operators rather than repeating them. Ratios
 use the same exact integer rounding as ``staylake.functions.exact``.
 """
 
@@ -29,8 +31,6 @@ def _date(expr: str, fmt: str) -> str:
 
 HOST_FMT = "%d/%m/%Y"
 SCRAPE_FMT = "%Y-%m-%d"
-ACTIVE = "p.has_availability = true"
-REV = f"CASE WHEN {ACTIVE} THEN 30 - p.availability_30 ELSE 0 END * p.price"
 
 
 def _snapshot(name: str, cols: list[str], updated_at: str) -> str:
@@ -46,95 +46,120 @@ PROPERTY_COLS = ["id", "scraped_date", "property_type", "room_type", "accommodat
 REVIEW_COLS = ["id", "scraped_date", "number_of_reviews", *schemas.REVIEW_SCORES]
 
 
+NIGHTS = "CASE WHEN {a}.has_availability THEN 30 - {a}.availability_30 ELSE 0 END"
+
+
 def model_ctes() -> list[tuple[str, str]]:
+    nights_p = NIGHTS.format(a="p")
     return [
+        # history: one open version per row id
         ("host_snapshot", _snapshot("host", HOST_COLS, "host_since")),
         ("listing_snapshot", _snapshot("listing", LISTING_COLS, "scraped_date")),
         ("property_snapshot", _snapshot("property", PROPERTY_COLS, "scraped_date")),
         ("review_snapshot", _snapshot("review", REVIEW_COLS, "scraped_date")),
-        ("code_stg", "SELECT lga_code, lower(lga_name) AS lga_name FROM raw_lga_code"),
-        ("suburb_stg", "SELECT lower(lga_name) AS lga_name, lower(suburb_name) AS suburb_name FROM raw_lga_suburb"),
-        ("host_stg", f"SELECT id, host_id, host_name, {_date('host_since', HOST_FMT)} AS host_since, "
+        # staging
+        ("stg_lga_code", "SELECT lga_code, lower(lga_name) AS lga_name FROM raw_lga_code"),
+        ("stg_lga_suburb", "SELECT lower(lga_name) AS lga_name, lower(suburb_name) AS suburb_name FROM raw_lga_suburb"),
+        ("stg_host", f"SELECT id, host_id, host_name, {_date('host_since', HOST_FMT)} AS host_since, "
                      f"host_is_superhost, lower(host_neighbourhood) AS host_neighbourhood, scd_id, "
                      f"{_date('updated_at', HOST_FMT)} AS updated_at, {_date('valid_from', HOST_FMT)} AS valid_from, "
                      f"valid_to FROM host_snapshot WHERE host_name <> '' AND host_since <> ''"),
-        ("listing_stg", f"SELECT id, listing_id, {_date('scraped_date', SCRAPE_FMT)} AS scraped_date, "
+        ("stg_listing", f"SELECT id, listing_id, {_date('scraped_date', SCRAPE_FMT)} AS scraped_date, "
                         f"lower(listing_neighbourhood) AS listing_neighbourhood, "
                         f"{_date('updated_at', SCRAPE_FMT)} AS updated_at, {_date('valid_from', SCRAPE_FMT)} AS valid_from, "
                         f"valid_to FROM listing_snapshot"),
-        ("property_stg", f"SELECT id, {_date('scraped_date', SCRAPE_FMT)} AS scraped_date, property_type, room_type, "
+        ("stg_property", f"SELECT id, {_date('scraped_date', SCRAPE_FMT)} AS scraped_date, property_type, room_type, "
                          f"accommodates, price, has_availability, availability_30, "
                          f"{_date('updated_at', SCRAPE_FMT)} AS updated_at, {_date('valid_from', SCRAPE_FMT)} AS valid_from, "
                          f"valid_to FROM property_snapshot WHERE price > 5"),
-        ("dim_host", "SELECT * FROM host_stg"),
-        ("dim_listing", "SELECT * FROM listing_stg"),
-        ("dim_property", "SELECT * FROM property_stg"),
-        ("dim_lga", "SELECT c.lga_code, s.lga_name, s.suburb_name FROM code_stg c JOIN suburb_stg s ON c.lga_name = s.lga_name"),
+        # warehouse
+        ("dim_host", "SELECT * FROM stg_host"),
+        ("dim_listing", "SELECT * FROM stg_listing"),
+        ("dim_property", "SELECT * FROM stg_property"),
+        ("dim_lga", "SELECT c.lga_code, s.lga_name, s.suburb_name FROM stg_lga_suburb s, stg_lga_code c "
+                    "WHERE s.lga_name = c.lga_name"),
         ("fact_one", "SELECT * FROM raw_census_one"),
         ("fact_two", "SELECT * FROM raw_census_two"),
         ("fact_review", "SELECT * FROM review_snapshot"),
-        ("fact_listing",
+        ("fact_listing_base",
          "SELECT l.id AS listing_id, l.listing_id AS original_listing_id, l.scraped_date, h.host_id, h.host_name, "
          "h.host_neighbourhood, l.listing_neighbourhood, p.property_type, p.room_type, p.accommodates, p.price, "
-         "p.has_availability, p.availability_30, r.number_of_reviews, r.review_scores_rating, "
-         "s.lga_name AS listing_neighbourhood_lga, s.suburb_name AS listing_suburb "
-         "FROM dim_listing l JOIN dim_host h ON l.id = h.id JOIN dim_property p ON l.id = p.id "
-         "JOIN fact_review r ON l.id = r.id "
-         "LEFT JOIN dim_lga s ON lower(l.listing_neighbourhood) = lower(s.suburb_name)"),
-        ("population",
+         "p.has_availability, p.availability_30, r.number_of_reviews, r.review_scores_rating "
+         "FROM dim_listing l, dim_host h, dim_property p, fact_review r "
+         "WHERE h.id = l.id AND p.id = l.id AND r.id = l.id"),
+        ("fact_listing",
+         "SELECT b.*, g.lga_name AS listing_neighbourhood_lga, g.suburb_name AS listing_suburb "
+         "FROM fact_listing_base b LEFT JOIN dim_lga g ON lower(g.suburb_name) = lower(b.listing_neighbourhood)"),
+        # listing rows with all three slices, and with the rating as well
+        ("stay_rows",
+         "SELECT l.id, l.scraped_date, strftime(l.scraped_date, '%m/%Y') AS month_year, l.listing_neighbourhood, "
+         "h.host_id, h.host_name, h.host_is_superhost, h.host_neighbourhood, p.property_type, p.room_type, "
+         f"p.accommodates, p.price, p.has_availability, p.availability_30, {nights_p} AS nights "
+         "FROM dim_listing l, dim_host h, dim_property p WHERE h.id = l.id AND p.id = l.id"),
+        ("rated_rows", "SELECT s.*, r.review_scores_rating FROM stay_rows s, fact_review r WHERE r.id = s.id"),
+        ("monthly_nb", _monthly_sql("listing_neighbourhood")),
+        ("monthly_kind", _monthly_sql("property_type, room_type, accommodates")),
+        # census profile and neighbourhood revenue (question 1)
+        ("age_profile",
          "SELECT CAST(replace(lga_code_2016, 'LGA', '') AS INTEGER) AS lga_code, "
          "age_0_4_yr_m + age_5_14_yr_m + age_15_19_yr_m AS population_under_20, "
          "age_0_4_yr_m + age_5_14_yr_m + age_15_19_yr_m + age_20_24_yr_m + age_25_34_yr_m AS population_under_35, "
          + sql_pct("age_20_24_yr_m + age_25_34_yr_m",
                    "age_0_4_yr_m + age_5_14_yr_m + age_15_19_yr_m + age_20_24_yr_m + age_25_34_yr_m")
          + " AS rate_20_34 FROM fact_one"),
-        ("listing_rev",
-         f"SELECT l.listing_neighbourhood, CAST(SUM({REV}) AS BIGINT) AS estimate_revenue "
-         "FROM dim_listing l JOIN dim_property p ON p.id = l.id GROUP BY l.listing_neighbourhood"),
-        ("order_list",
-         "SELECT a.lga_name, l.listing_neighbourhood, p.population_under_20, p.population_under_35, "
-         "p.rate_20_34, l.estimate_revenue FROM dim_lga a JOIN population p ON a.lga_code = p.lga_code "
-         "JOIN listing_rev l ON lower(l.listing_neighbourhood) = lower(a.suburb_name)"),
-        ("room_table",
-         "SELECT dh.host_id, dp.property_type, dp.room_type, dp.accommodates FROM dim_host dh "
-         "JOIN dim_listing fl ON dh.id = fl.id JOIN dim_property dp ON dp.id = dh.id "
-         "GROUP BY dh.host_id, dp.property_type, dp.room_type, dp.accommodates"),
-        ("multiple_host", "SELECT host_id FROM room_table GROUP BY host_id HAVING count(host_id) > 1"),
-        ("single_host", "SELECT host_id FROM room_table GROUP BY host_id HAVING count(host_id) = 1"),
-        ("fl_rooms",
-         "SELECT l.listing_neighbourhood, p.property_type, p.room_type, l.accommodates, "
-         "CAST(SUM(CASE WHEN l.has_availability = true THEN 30 - l.availability_30 ELSE 0 END * l.price) AS BIGINT) AS estimate_revenue, "
-         "CAST(SUM(CASE WHEN l.has_availability = true THEN 30 - l.availability_30 ELSE 0 END) AS BIGINT) AS stays "
-         "FROM fact_listing l JOIN dim_host h ON l.listing_id = h.id JOIN dim_property p ON p.id = l.listing_id "
-         "GROUP BY l.listing_neighbourhood, p.property_type, p.room_type, l.accommodates"),
-        ("neighbourhood_top",
-         "SELECT l.listing_neighbourhood, CAST(SUM(CASE WHEN l.has_availability = true THEN 30 - l.availability_30 ELSE 0 END * l.price) AS BIGINT) AS estimate_revenue "
-         "FROM fact_listing l JOIN dim_host h ON l.listing_id = h.id JOIN dim_property p ON p.id = l.listing_id "
-         "GROUP BY l.listing_neighbourhood ORDER BY estimate_revenue DESC NULLS LAST, l.listing_neighbourhood ASC NULLS LAST LIMIT 5"),
-        ("monthly_nb",
-         "SELECT l.listing_neighbourhood, strftime(l.scraped_date, '%m/%Y') AS month_year, "
-         f"CAST(SUM(CASE WHEN {ACTIVE} THEN 1 ELSE 0 END) AS BIGINT) AS n_active, "
-         "CAST(COUNT(p.has_availability) AS BIGINT) AS n_flagged, "
-         "CAST(SUM(CASE WHEN p.has_availability = false THEN 1 ELSE 0 END) AS BIGINT) AS n_inactive, "
-         f"MIN(CASE WHEN {ACTIVE} THEN p.price END) AS minimum_price, "
-         f"MAX(CASE WHEN {ACTIVE} THEN p.price END) AS maximum_price, "
-         f"CAST(quantile_cont(CASE WHEN {ACTIVE} THEN p.price END, 0.5) AS DOUBLE) AS median_price, "
-         f"CAST(SUM(CASE WHEN {ACTIVE} THEN p.price END) AS BIGINT) AS sum_active_price, "
-         f"COUNT(CASE WHEN {ACTIVE} THEN p.price END) AS n_active_price, "
-         "COUNT(DISTINCT h.host_id) AS distinct_host, "
-         "CAST(SUM(CASE WHEN h.host_is_superhost = true THEN 1 ELSE 0 END) AS BIGINT) AS n_superhost, "
-         "COUNT(h.host_is_superhost) AS n_superhost_flagged, "
-         f"CAST(SUM(CASE WHEN {ACTIVE} THEN r.review_scores_rating END) AS BIGINT) AS sum_active_rating, "
-         f"COUNT(CASE WHEN {ACTIVE} THEN r.review_scores_rating END) AS n_active_rating, "
-         f"CAST(SUM(CASE WHEN {ACTIVE} THEN 30 - p.availability_30 ELSE 0 END) AS BIGINT) AS stays, "
-         f"CAST(SUM(CASE WHEN {ACTIVE} THEN (30 - p.availability_30) * p.price ELSE 0 END) AS BIGINT) AS sum_revenue_or_zero, "
-         f"COUNT(CASE WHEN {ACTIVE} THEN (30 - p.availability_30) * p.price ELSE 0 END) AS n_revenue_or_zero "
-         "FROM dim_property p JOIN dim_listing l ON p.id = l.id JOIN dim_host h ON p.id = h.id "
-         "JOIN fact_review r ON p.id = r.id "
-         "GROUP BY l.listing_neighbourhood, strftime(l.scraped_date, '%m/%Y')"),
+        ("nb_revenue",
+         f"SELECT l.listing_neighbourhood, CAST(sum({nights_p} * p.price) AS BIGINT) AS estimate_revenue "
+         "FROM dim_property p JOIN dim_listing l ON l.id = p.id GROUP BY l.listing_neighbourhood"),
+        ("area_revenue",
+         "SELECT g.lga_name, n.listing_neighbourhood, a.population_under_20, a.population_under_35, "
+         "a.rate_20_34, n.estimate_revenue FROM nb_revenue n "
+         "JOIN dim_lga g ON lower(g.suburb_name) = lower(n.listing_neighbourhood) "
+         "JOIN age_profile a ON a.lga_code = g.lga_code"),
+        # room kinds per host (questions 3 and 4)
+        ("kinds",
+         "SELECT DISTINCT h.host_id, p.property_type, p.room_type, p.accommodates "
+         "FROM dim_host h, dim_listing l, dim_property p WHERE l.id = h.id AND p.id = h.id"),
+        ("kind_counts", "SELECT host_id, count(*) AS n_kinds FROM kinds WHERE host_id IS NOT NULL GROUP BY host_id"),
+        ("single_host_revenue_sql",
+         f"SELECT h.host_id, h.host_name, l.listing_neighbourhood, CAST(sum({nights_p} * p.price) AS BIGINT) "
+         "AS estimate_revenue FROM dim_host h JOIN dim_listing l ON l.id = h.id JOIN dim_property p ON p.id = h.id "
+         "WHERE h.host_id IN (SELECT host_id FROM kind_counts WHERE n_kinds = 1) GROUP BY ALL"),
+        ("repayments",
+         "SELECT CAST(replace(lga_code_2016, 'LGA', '') AS INTEGER) AS lga_code, "
+         "median_mortgage_repay_monthly AS monthly_repay FROM fact_two"),
+        # rooms of the listing fact per neighbourhood (question 2)
+        ("nb_rooms",
+         f"SELECT f.listing_neighbourhood, p.property_type, p.room_type, f.accommodates, "
+         f"CAST(sum({NIGHTS.format(a='f')} * f.price) AS BIGINT) AS estimate_revenue, "
+         f"CAST(sum({NIGHTS.format(a='f')}) AS BIGINT) AS stays "
+         "FROM fact_listing f JOIN dim_host h ON h.id = f.listing_id JOIN dim_property p ON p.id = f.listing_id "
+         "GROUP BY ALL"),
     ]
 
 
+def _monthly_sql(keys: str) -> str:
+    """Additive monthly parts of every KPI from the rated listing rows."""
+    return (
+        f"SELECT {keys}, month_year, "
+        "count(*) FILTER (WHERE has_availability) AS n_active, "
+        "count(has_availability) AS n_flagged, "
+        "count(*) FILTER (WHERE NOT has_availability) AS n_inactive, "
+        "min(price) FILTER (WHERE has_availability) AS minimum_price, "
+        "max(price) FILTER (WHERE has_availability) AS maximum_price, "
+        "CAST(quantile_cont(price, 0.5) FILTER (WHERE has_availability) AS DOUBLE) AS median_price, "
+        "CAST(sum(price) FILTER (WHERE has_availability) AS BIGINT) AS sum_active_price, "
+        "count(price) FILTER (WHERE has_availability) AS n_active_price, "
+        "count(DISTINCT host_id) AS distinct_host, "
+        "count(*) FILTER (WHERE host_is_superhost) AS n_superhost, "
+        "count(host_is_superhost) AS n_superhost_flagged, "
+        "CAST(sum(review_scores_rating) FILTER (WHERE has_availability) AS BIGINT) AS sum_active_rating, "
+        "count(review_scores_rating) FILTER (WHERE has_availability) AS n_active_rating, "
+        "CAST(sum(nights) AS BIGINT) AS stays, "
+        "CAST(sum(CASE WHEN has_availability THEN nights * price ELSE 0 END) AS BIGINT) AS sum_revenue_or_zero, "
+        "count(CASE WHEN has_availability THEN nights * price ELSE 0 END) AS n_revenue_or_zero "
+        "FROM rated_rows GROUP BY ALL")
+
+
 def _with(final: str) -> str:
     ctes = fixtures.fixture_ctes() + model_ctes()
     if final.lstrip().upper().startswith("WITH"):
@@ -142,38 +167,24 @@ def _with(final: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + final
 
 
-def _kpi_mart(keys: list[str], key_sql: list[str], time_order: bool = False) -> str:
-    """The listing / property mart in the models' shape, with LEAD(SUM(..))
-    written as a window over the aggregate."""
-    month = "strftime(l.scraped_date, '%m/%Y')"
-    order = f"substr({month}, 4, 4) || substr({month}, 1, 2)" if time_order else month
-    part = ", ".join(key_sql)
-    act = f"SUM(CASE WHEN {ACTIVE} THEN 1 ELSE 0 END)"
-    inact = "SUM(CASE WHEN p.has_availability = false THEN 1 ELSE 0 END)"
-    w = f"OVER (PARTITION BY {part} ORDER BY {order})"
-    sel = [f"{k} AS {n}" for k, n in zip(key_sql, keys)] + [
-        f"{month} AS month_year",
-        sql_pct(act, "COUNT(p.has_availability)") + " AS active_listings_ratio",
-        f"MIN(CASE WHEN {ACTIVE} THEN p.price END) AS minimum_price",
-        f"MAX(CASE WHEN {ACTIVE} THEN p.price END) AS maximum_price",
-        f"CAST(quantile_cont(CASE WHEN {ACTIVE} THEN p.price END, 0.5) AS DOUBLE) AS median_price",
-        sql_ratio(f"SUM(CASE WHEN {ACTIVE} THEN p.price END)", f"COUNT(CASE WHEN {ACTIVE} THEN p.price END)")
-        + " AS average_price",
-        "COUNT(DISTINCT h.host_id) AS distinct_host",
-        sql_pct("SUM(CASE WHEN h.host_is_superhost = true THEN 1 ELSE 0 END)", "COUNT(h.host_is_superhost)")
-        + " AS superhost_ratio",
-        sql_ratio(f"SUM(CASE WHEN {ACTIVE} THEN r.review_scores_rating END)",
-                  f"COUNT(CASE WHEN {ACTIVE} THEN r.review_scores_rating END)") + " AS average_review_scores_rating",
-        sql_pct(f"LEAD({act}) {w} - {act}", act) + " AS active_change",
-        sql_pct(f"LEAD({inact}) {w} - {inact}", act) + " AS inactive_change",
-        f"CAST(SUM(CASE WHEN {ACTIVE} THEN 30 - p.availability_30 ELSE 0 END) AS BIGINT) AS stays",
-        sql_ratio(f"SUM(CASE WHEN {ACTIVE} THEN (30 - p.availability_30) * p.price ELSE 0 END)",
-                  f"COUNT(CASE WHEN {ACTIVE} THEN (30 - p.availability_30) * p.price ELSE 0 END)")
-        + " AS avg_estimate_revenue",
-    ]
-    return (f"SELECT {', '.join(sel)} FROM dim_property p JOIN dim_listing l ON p.id = l.id "
-            f"JOIN dim_host h ON p.id = h.id JOIN fact_review r ON p.id = r.id "
-            f"GROUP BY {part}, {month} ORDER BY {part}, {month}")
+def _kpi_mart(monthly: str, keys: list[str], time_order: bool = False) -> str:
+    """The KPI mart from its monthly parts; the change columns look one
+    month ahead within the keys, in label or time order."""
+    order = "substr(month_year, 4, 4) || substr(month_year, 1, 2)" if time_order else "month_year"
+    k = ", ".join(keys)
+    cols = [k, "month_year",
+            sql_pct("n_active", "n_flagged") + " AS active_listings_ratio",
+            "minimum_price", "maximum_price", "median_price",
+            sql_ratio("sum_active_price", "n_active_price") + " AS average_price",
+            "distinct_host",
+            sql_pct("n_superhost", "n_superhost_flagged") + " AS superhost_ratio",
+            sql_ratio("sum_active_rating", "n_active_rating") + " AS average_review_scores_rating",
+            sql_pct("lead(n_active) OVER ahead - n_active", "n_active") + " AS active_change",
+            sql_pct("lead(n_inactive) OVER ahead - n_inactive", "n_active") + " AS inactive_change",
+            "stays",
+            sql_ratio("sum_revenue_or_zero", "n_revenue_or_zero") + " AS avg_estimate_revenue"]
+    return (f"SELECT {', '.join(cols)} FROM {monthly} "
+            f"WINDOW ahead AS (PARTITION BY {k} ORDER BY {order})")
 
 
 def _scd_sql(cols: list[str], key: str, updated_at: str, fmt: str) -> str:
@@ -198,11 +209,11 @@ def oracle_queries() -> dict[str, str]:
     fill_cols = ", ".join(schemas.HOUSE_FILL)
     q = {
         # staging / warehouse
-        "stg_lga_code": "SELECT * FROM code_stg",
-        "stg_lga_suburb": "SELECT * FROM suburb_stg",
-        "stg_host": "SELECT * FROM host_stg",
-        "stg_listing": "SELECT * FROM listing_stg",
-        "stg_property": "SELECT * FROM property_stg",
+        "stg_lga_code": "SELECT * FROM stg_lga_code",
+        "stg_lga_suburb": "SELECT * FROM stg_lga_suburb",
+        "stg_host": "SELECT * FROM stg_host",
+        "stg_listing": "SELECT * FROM stg_listing",
+        "stg_property": "SELECT * FROM stg_property",
         "dim_host": "SELECT * FROM dim_host",
         "dim_listing": "SELECT * FROM dim_listing",
         "dim_property": "SELECT * FROM dim_property",
@@ -213,87 +224,74 @@ def oracle_queries() -> dict[str, str]:
         "fact_listing": "SELECT * FROM fact_listing",
         # marts
         "dm_host_neighbourhood": (
-            "SELECT s.lga_name AS host_neighbourhood_lga, strftime(l.scraped_date, '%m/%Y') AS month_year, "
-            "COUNT(DISTINCT h.host_id) AS distinct_host, "
-            f"CAST(SUM({REV}) AS BIGINT) AS estimate_revenue, "
-            + sql_ratio(f"SUM({REV})", "COUNT(DISTINCT h.host_id)") + " AS per_host_estimate_revenue "
-            "FROM dim_listing l JOIN dim_host h ON l.id = h.id JOIN dim_property p ON l.id = p.id "
-            "JOIN dim_lga s ON lower(h.host_neighbourhood) = lower(s.suburb_name) "
-            "GROUP BY s.lga_name, strftime(l.scraped_date, '%m/%Y') ORDER BY 1, 2"),
-        "dm_listing_neighbourhood": _kpi_mart(["listing_neighbourhood"], ["l.listing_neighbourhood"]),
-        "dm_listing_neighbourhood_time": _kpi_mart(["listing_neighbourhood"], ["l.listing_neighbourhood"], True),
-        "dm_property_type": _kpi_mart(["property_type", "room_type", "accommodates"],
-                                      ["p.property_type", "p.room_type", "p.accommodates"]),
+            "SELECT g.lga_name AS host_neighbourhood_lga, s.month_year, count(DISTINCT s.host_id) AS distinct_host, "
+            "CAST(sum(s.nights * s.price) AS BIGINT) AS estimate_revenue, "
+            + sql_ratio("sum(s.nights * s.price)", "count(DISTINCT s.host_id)") + " AS per_host_estimate_revenue "
+            "FROM stay_rows s JOIN dim_lga g ON lower(g.suburb_name) = lower(s.host_neighbourhood) GROUP BY 1, 2"),
+        "dm_listing_neighbourhood": _kpi_mart("monthly_nb", ["listing_neighbourhood"]),
+        "dm_listing_neighbourhood_time": _kpi_mart("monthly_nb", ["listing_neighbourhood"], True),
+        "dm_property_type": _kpi_mart("monthly_kind", ["property_type", "room_type", "accommodates"]),
         # questions
         "q1_best_worst": (
             "SELECT lga_name, listing_neighbourhood, population_under_20, population_under_35, rate_20_34, "
-            "estimate_revenue FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY estimate_revenue DESC NULLS LAST, "
-            "population_under_35 DESC NULLS LAST, lga_name ASC NULLS LAST, listing_neighbourhood ASC NULLS LAST) AS row_num, "
-            "COUNT(*) OVER () AS total_rows FROM order_list) o WHERE row_num = 1 OR row_num = total_rows"),
+            "estimate_revenue FROM (SELECT *, "
+            "row_number() OVER (ORDER BY estimate_revenue DESC NULLS LAST, population_under_35 DESC NULLS LAST, "
+            "lga_name ASC NULLS LAST, listing_neighbourhood ASC NULLS LAST) AS from_top, "
+            "row_number() OVER (ORDER BY estimate_revenue ASC NULLS FIRST, population_under_35 ASC NULLS FIRST, "
+            "lga_name DESC NULLS FIRST, listing_neighbourhood DESC NULLS FIRST) AS from_bottom "
+            "FROM area_revenue) t WHERE from_top = 1 OR from_bottom = 1"),
         "q2_best_type": (
             "SELECT listing_neighbourhood, property_type, room_type, accommodates, stays FROM ("
-            "SELECT r.*, row_number() OVER (PARTITION BY r.listing_neighbourhood ORDER BY r.stays DESC NULLS LAST, "
-            "r.property_type ASC NULLS LAST, r.room_type ASC NULLS LAST, r.accommodates ASC NULLS LAST) AS row_num "
-            "FROM fl_rooms r JOIN neighbourhood_top n ON n.listing_neighbourhood = r.listing_neighbourhood) t "
-            "WHERE row_num = 1 ORDER BY stays DESC"),
+            "SELECT *, dense_rank() OVER (ORDER BY nb_total DESC NULLS LAST, listing_neighbourhood ASC NULLS LAST) AS nb_rank, "
+            "row_number() OVER (PARTITION BY listing_neighbourhood ORDER BY stays DESC NULLS LAST, "
+            "property_type ASC NULLS LAST, room_type ASC NULLS LAST, accommodates ASC NULLS LAST) AS room_rank "
+            "FROM (SELECT *, sum(estimate_revenue) OVER (PARTITION BY listing_neighbourhood) AS nb_total FROM nb_rooms) r"
+            ") t WHERE nb_rank <= 5 AND room_rank = 1 AND listing_neighbourhood IS NOT NULL"),
         "q3_local_rate": (
-            "WITH host_area AS (SELECT dh.id AS host_id, dl.lga_name AS host_lga FROM dim_host dh "
-            "JOIN dim_lga dl ON lower(dh.host_neighbourhood) = lower(dl.suburb_name) "
-            "WHERE dh.host_id IN (SELECT host_id FROM multiple_host)), "
-            "listing_area AS (SELECT fl.id AS listing_id, dl.lga_name AS listing_lga FROM dim_listing fl "
-            "JOIN dim_lga dl ON lower(fl.listing_neighbourhood) = lower(dl.suburb_name)) "
-            "SELECT h.host_lga, COUNT(*) AS total_listings, "
-            "CAST(SUM(CASE WHEN h.host_lga = l.listing_lga THEN 1 ELSE 0 END) AS BIGINT) AS local_listings, "
-            + sql_pct("SUM(CASE WHEN h.host_lga = l.listing_lga THEN 1 ELSE 0 END)", "COUNT(*)")
-            + " AS local_rate FROM host_area h JOIN listing_area l ON h.host_id = l.listing_id "
-            "GROUP BY h.host_lga ORDER BY local_rate DESC"),
+            "SELECT hg.lga_name AS host_lga, count(*) AS total_listings, "
+            "count(*) FILTER (WHERE hg.lga_name = lg.lga_name) AS local_listings, "
+            + sql_pct("count(*) FILTER (WHERE hg.lga_name = lg.lga_name)", "count(*)") + " AS local_rate "
+            "FROM dim_host h JOIN dim_listing l ON l.id = h.id "
+            "JOIN dim_lga hg ON lower(hg.suburb_name) = lower(h.host_neighbourhood) "
+            "JOIN dim_lga lg ON lower(lg.suburb_name) = lower(l.listing_neighbourhood) "
+            "WHERE h.host_id IN (SELECT host_id FROM kind_counts WHERE n_kinds > 1) GROUP BY hg.lga_name"),
         "q4_mortgage_cover": (
-            "WITH month_repay AS (SELECT CAST(replace(lga_code_2016, 'LGA', '') AS INTEGER) AS lga_code, "
-            "median_mortgage_repay_monthly AS monthly_repay FROM fact_two), "
-            "lga_repay AS (SELECT dl.*, mr.monthly_repay FROM dim_lga dl JOIN month_repay mr ON mr.lga_code = dl.lga_code), "
-            "host_area AS (SELECT sh.host_id, dh.host_name, fl.listing_neighbourhood, "
-            f"CAST(SUM({REV.replace('p.', 'dp.')}) AS BIGINT) AS estimate_revenue "
-            "FROM single_host sh JOIN dim_host dh ON sh.host_id = dh.host_id JOIN dim_listing fl ON fl.id = dh.id "
-            "JOIN dim_property dp ON dp.id = dh.id GROUP BY sh.host_id, dh.host_name, fl.listing_neighbourhood), "
-            "revenue_table AS (SELECT ha.*, lr.monthly_repay FROM host_area ha JOIN lga_repay lr "
-            "ON lower(ha.listing_neighbourhood) = lower(lr.suburb_name)) "
-            "SELECT " + sql_ratio("SUM(CASE WHEN estimate_revenue > monthly_repay * 12 THEN 1 ELSE 0 END)", "COUNT(*)")
-            + " AS covered FROM revenue_table"),
+            "SELECT " + sql_ratio("count(*) FILTER (WHERE s.estimate_revenue > r.monthly_repay * 12)", "count(*)")
+            + " AS covered FROM single_host_revenue_sql s "
+            "JOIN dim_lga g ON lower(g.suburb_name) = lower(s.listing_neighbourhood) "
+            "JOIN repayments r ON r.lga_code = g.lga_code"),
         # building blocks
-        "neighbourhood_revenue": "SELECT * FROM listing_rev",
-        "age_bands": "SELECT * FROM population",
-        "lga_population": "SELECT a.lga_code, a.lga_name, a.suburb_name, p.population_under_20, "
-                          "p.population_under_35, p.rate_20_34 FROM dim_lga a JOIN population p ON a.lga_code = p.lga_code",
-        "total_rows": "SELECT *, COUNT(*) OVER () AS total_rows FROM order_list",
-        "top5_neighbourhoods": "SELECT * FROM neighbourhood_top",
+        "neighbourhood_revenue": "SELECT * FROM nb_revenue",
+        "age_bands": "SELECT * FROM age_profile",
+        "lga_population": "SELECT g.lga_code, g.lga_name, g.suburb_name, a.population_under_20, "
+                          "a.population_under_35, a.rate_20_34 FROM dim_lga g JOIN age_profile a ON a.lga_code = g.lga_code",
+        "total_rows": "SELECT *, count(*) OVER () AS total_rows FROM area_revenue",
+        "top5_neighbourhoods": (
+            "SELECT listing_neighbourhood, CAST(sum(estimate_revenue) AS BIGINT) AS estimate_revenue FROM nb_rooms "
+            "GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 ASC NULLS LAST LIMIT 5"),
         "top1_per_group": (
-            "SELECT listing_neighbourhood, property_type, room_type, accommodates, stays FROM ("
-            "SELECT r.*, row_number() OVER (PARTITION BY r.listing_neighbourhood ORDER BY r.stays DESC NULLS LAST, "
-            "r.property_type ASC NULLS LAST, r.room_type ASC NULLS LAST, r.accommodates ASC NULLS LAST) AS row_num "
-            "FROM fl_rooms r) t WHERE row_num = 1"),
-        "host_room_types": "SELECT * FROM room_table",
-        "hosts_multi": "SELECT * FROM multiple_host",
-        "hosts_single": "SELECT * FROM single_host",
-        "single_host_revenue": (
-            "SELECT sh.host_id, dh.host_name, fl.listing_neighbourhood, "
-            f"CAST(SUM({REV.replace('p.', 'dp.')}) AS BIGINT) AS estimate_revenue "
-            "FROM single_host sh JOIN dim_host dh ON sh.host_id = dh.host_id JOIN dim_listing fl ON fl.id = dh.id "
-            "JOIN dim_property dp ON dp.id = dh.id GROUP BY sh.host_id, dh.host_name, fl.listing_neighbourhood"),
-        "lga_code_parse": "SELECT CAST(replace(lga_code_2016, 'LGA', '') AS INTEGER) AS lga_code, "
-                          "median_mortgage_repay_monthly AS monthly_repay FROM fact_two",
+            "SELECT listing_neighbourhood, property_type, room_type, accommodates, stays FROM nb_rooms "
+            "QUALIFY row_number() OVER (PARTITION BY listing_neighbourhood ORDER BY stays DESC NULLS LAST, "
+            "property_type ASC NULLS LAST, room_type ASC NULLS LAST, accommodates ASC NULLS LAST) = 1"),
+        "host_room_types": "SELECT * FROM kinds",
+        "hosts_multi": "SELECT host_id FROM kind_counts WHERE n_kinds > 1",
+        "hosts_single": "SELECT host_id FROM kind_counts WHERE n_kinds = 1",
+        "single_host_revenue": "SELECT * FROM single_host_revenue_sql",
+        "lga_code_parse": "SELECT * FROM repayments",
         "assemble3": ("SELECT l.id, l.listing_id, l.scraped_date, l.listing_neighbourhood, h.host_id, h.host_name, "
                       "h.host_since, h.host_is_superhost, h.host_neighbourhood, p.property_type, p.room_type, "
                       "p.accommodates, p.price, p.has_availability, p.availability_30 "
-                      "FROM dim_listing l JOIN dim_host h ON l.id = h.id JOIN dim_property p ON l.id = p.id"),
+                      "FROM dim_listing l, dim_host h, dim_property p WHERE h.id = l.id AND p.id = l.id"),
         "assemble4": ("SELECT l.id, l.listing_id, l.scraped_date, l.listing_neighbourhood, h.host_id, h.host_name, "
                       "h.host_since, h.host_is_superhost, h.host_neighbourhood, p.property_type, p.room_type, "
                       "p.accommodates, p.price, p.has_availability, p.availability_30, r.number_of_reviews, "
                       + ", ".join(f"r.{c}" for c in scores) +
-                      " FROM dim_property p JOIN dim_listing l ON p.id = l.id JOIN dim_host h ON p.id = h.id "
-                      "JOIN fact_review r ON p.id = r.id"),
-        "suburb_join": ("SELECT h.id, h.host_id, s.lga_code, s.lga_name, s.suburb_name FROM dim_host h "
-                        "JOIN dim_lga s ON lower(h.host_neighbourhood) = lower(s.suburb_name)"),
-        "semi_multi_hosts": "SELECT id, host_id FROM dim_host WHERE host_id IN (SELECT host_id FROM multiple_host)",
+                      " FROM dim_listing l, dim_host h, dim_property p, fact_review r "
+                      "WHERE h.id = l.id AND p.id = l.id AND r.id = l.id"),
+        "suburb_join": ("SELECT h.id, h.host_id, g.lga_code, g.lga_name, g.suburb_name FROM dim_host h "
+                        "JOIN dim_lga g ON lower(g.suburb_name) = lower(h.host_neighbourhood)"),
+        "semi_multi_hosts": ("SELECT id, host_id FROM dim_host h WHERE EXISTS "
+                             "(SELECT 1 FROM kind_counts k WHERE k.host_id = h.host_id AND k.n_kinds > 1)"),
         # monthly KPI columns one by one
         "active_ratio": f"SELECT {NB_KEYS}, " + sql_pct("n_active", "n_flagged") + " AS active_listings_ratio FROM monthly_nb",
         "superhost_ratio": f"SELECT {NB_KEYS}, " + sql_pct("n_superhost", "n_superhost_flagged")
@@ -306,27 +304,25 @@ def oracle_queries() -> dict[str, str]:
         "avg_estimate_revenue": f"SELECT {NB_KEYS}, " + sql_ratio("sum_revenue_or_zero", "n_revenue_or_zero")
                                 + " AS avg_estimate_revenue FROM monthly_nb",
         "revenue_per_host": (
-            "SELECT s.lga_name AS host_neighbourhood_lga, strftime(l.scraped_date, '%m/%Y') AS month_year, "
-            + sql_ratio(f"SUM({REV})", "COUNT(DISTINCT h.host_id)") + " AS per_host_estimate_revenue "
-            "FROM dim_listing l JOIN dim_host h ON l.id = h.id JOIN dim_property p ON l.id = p.id "
-            "JOIN dim_lga s ON lower(h.host_neighbourhood) = lower(s.suburb_name) "
-            "GROUP BY s.lga_name, strftime(l.scraped_date, '%m/%Y')"),
-        "running_active": f"SELECT {NB_KEYS}, n_active, CAST(SUM(n_active) OVER (PARTITION BY listing_neighbourhood "
+            "SELECT g.lga_name AS host_neighbourhood_lga, s.month_year, "
+            + sql_ratio("sum(s.nights * s.price)", "count(DISTINCT s.host_id)") + " AS per_host_estimate_revenue "
+            "FROM stay_rows s JOIN dim_lga g ON lower(g.suburb_name) = lower(s.host_neighbourhood) GROUP BY 1, 2"),
+        "running_active": f"SELECT {NB_KEYS}, n_active, CAST(sum(n_active) OVER (PARTITION BY listing_neighbourhood "
                           "ORDER BY month_year) AS BIGINT) AS running_active FROM monthly_nb",
-        "lead_active": f"SELECT {NB_KEYS}, n_active, LEAD(n_active) OVER (PARTITION BY listing_neighbourhood "
+        "lead_active": f"SELECT {NB_KEYS}, n_active, lead(n_active) OVER (PARTITION BY listing_neighbourhood "
                        "ORDER BY month_year) AS next_active FROM monthly_nb",
-        "active_change": f"SELECT {NB_KEYS}, " + sql_pct(
-            "LEAD(n_active) OVER (PARTITION BY listing_neighbourhood ORDER BY month_year) - n_active", "n_active")
-            + " AS active_change FROM monthly_nb",
-        "active_change_time": f"SELECT {NB_KEYS}, " + sql_pct(
-            "LEAD(n_active) OVER (PARTITION BY listing_neighbourhood ORDER BY substr(month_year, 4, 4) || "
-            "substr(month_year, 1, 2)) - n_active", "n_active") + " AS active_change FROM monthly_nb",
-        "inactive_change": f"SELECT {NB_KEYS}, " + sql_pct(
-            "LEAD(n_inactive) OVER (PARTITION BY listing_neighbourhood ORDER BY month_year) - n_inactive", "n_active")
-            + " AS inactive_change FROM monthly_nb",
-        "month_label": "SELECT strftime(scraped_date, '%m/%Y') AS month_year, COUNT(*) AS n_rows FROM dim_listing GROUP BY 1",
-        "round_exact": ("SELECT property_type, " + sql_ratio("SUM(price)", "COUNT(price)") + " AS average_price, "
-                        + sql_pct("SUM(CASE WHEN has_availability THEN 1 ELSE 0 END)", "COUNT(*)")
+        "active_change": f"SELECT {NB_KEYS}, " + sql_pct("lead(n_active) OVER ahead - n_active", "n_active")
+                         + " AS active_change FROM monthly_nb WINDOW ahead AS "
+                           "(PARTITION BY listing_neighbourhood ORDER BY month_year)",
+        "active_change_time": f"SELECT {NB_KEYS}, " + sql_pct("lead(n_active) OVER ahead - n_active", "n_active")
+                              + " AS active_change FROM monthly_nb WINDOW ahead AS (PARTITION BY listing_neighbourhood "
+                                "ORDER BY substr(month_year, 4, 4) || substr(month_year, 1, 2))",
+        "inactive_change": f"SELECT {NB_KEYS}, " + sql_pct("lead(n_inactive) OVER ahead - n_inactive", "n_active")
+                           + " AS inactive_change FROM monthly_nb WINDOW ahead AS "
+                             "(PARTITION BY listing_neighbourhood ORDER BY month_year)",
+        "month_label": "SELECT strftime(scraped_date, '%m/%Y') AS month_year, count(*) AS n_rows FROM dim_listing GROUP BY 1",
+        "round_exact": ("SELECT property_type, " + sql_ratio("sum(price)", "count(price)") + " AS average_price, "
+                        + sql_pct("count(*) FILTER (WHERE has_availability)", "count(*)")
                         + " AS active_pct FROM dim_property GROUP BY property_type"),
         # history on natural keys
         "scd2_host": _scd_sql(HOST_COLS, "host_id", "host_since", HOST_FMT),
