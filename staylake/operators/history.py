@@ -34,10 +34,10 @@ def scd2_bulk(df: DataFrame, key: str | Sequence[str], updated_at: str,
     """History of every key from one input that may hold several periods.
 
     Equivalent to replaying the periods in time order through ``scd2_merge``:
-    rows sharing (key, updated_at) collapse to the one with the smallest
-    ``tie_break`` (a pre-aggregated group-by, so a hot key shrinks map-side to
-    one row per distinct ``updated_at``), then ``valid_to`` is the next
-    version's ``updated_at`` within the key.
+    rows sharing a key and a point in time (``order_by(updated_at)``) collapse
+    to the one with the smallest ``tie_break`` (a pre-aggregated group-by, so
+    a hot key shrinks map-side to one row per distinct time), then
+    ``valid_to`` is the next version's ``updated_at`` within the key.
 
     ``unique_key=True`` states that ``key`` is unique in ``df`` (e.g. a
     surrogate row id): every row is then its own open version and no shuffle
@@ -55,8 +55,10 @@ def scd2_bulk(df: DataFrame, key: str | Sequence[str], updated_at: str,
         })
     cols = df.columns
     if tie_break:
+        # one row per (key, point in time): equal dates spelled differently
+        # are the same update, as scd2_merge sees them
         packed = F.struct(*[F.col(c) for c in cols])
-        df = (df.groupBy(*keys, updated_at)
+        df = (df.groupBy(*keys, order_by(ts).alias("_at"))
               .agg(F.min_by(packed, F.col(tie_break)).alias("_row"))
               .select(*[F.col(f"_row.{c}").alias(c) for c in cols]))
     w = Window.partitionBy(*keys).orderBy(order_by(ts).asc_nulls_first(), ts.asc_nulls_first())

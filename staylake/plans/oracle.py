@@ -194,7 +194,7 @@ def _scd_sql(cols: list[str], key: str, updated_at: str, fmt: str) -> str:
             f"LEAD({updated_at}) OVER (PARTITION BY {key} ORDER BY {_date(updated_at, fmt)} ASC NULLS FIRST, "
             f"{updated_at} ASC NULLS FIRST) AS valid_to "
             f"FROM (SELECT {c} FROM raw_house QUALIFY row_number() OVER "
-            f"(PARTITION BY {key}, {updated_at} ORDER BY id) = 1) d")
+            f"(PARTITION BY {key}, {_date(updated_at, fmt)} ORDER BY id) = 1) d")
 
 
 NB_KEYS = "listing_neighbourhood, month_year"

@@ -118,3 +118,9 @@ def test_bounded_broadcast_checks_size(spark):
         assert "BroadcastHashJoin" not in unhinted._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scd2_bulk_same_date_spelled_twice(spark):
+    df = _batch(spark, [(1, 7, "7/1/2013", "a"), (2, 7, "07/01/2013", "b"), (3, 7, "08/01/2013", "c")])
+    h = scd2_bulk(df, "k", "d", order_by=_dmy)
+    assert rows_of(h, "v", "valid_from", "valid_to") == [("a", "7/1/2013", "08/01/2013"), ("c", "08/01/2013", None)]
