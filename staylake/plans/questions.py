@@ -57,7 +57,7 @@ Q1_ORDER = [("estimate_revenue", True), ("population_under_35", True),
             ("lga_name", False), ("listing_neighbourhood", False)]
 
 
-def q1_order_list(wh: Warehouse) -> DataFrame:
+def area_revenue(wh: Warehouse) -> DataFrame:
     """Neighbourhood revenue next to its LGA's population profile."""
     return fold_join(neighbourhood_revenue(wh), lga_population(wh),
                      "listing_neighbourhood", "suburb_name").select(*Q1_COLUMNS)
@@ -66,7 +66,7 @@ def q1_order_list(wh: Warehouse) -> DataFrame:
 def q1_best_worst(wh: Warehouse) -> DataFrame:
     """Best and worst neighbourhood by estimated revenue (ties broken by
     population under 35, then names)."""
-    return first_last(q1_order_list(wh), Q1_ORDER)
+    return first_last(area_revenue(wh), Q1_ORDER)
 
 
 def with_total_rows(df: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def q3_local_rate(wh: Warehouse, sort: bool = False) -> DataFrame:
     return out.orderBy(F.col("local_rate").desc_nulls_last(), "host_lga") if sort else out
 
 
-def month_repay(wh: Warehouse) -> DataFrame:
+def mortgage_repayments(wh: Warehouse) -> DataFrame:
     return wh.fact_two().select(lga_code_parse("lga_code_2016").alias("lga_code"),
                                 F.col("median_mortgage_repay_monthly").alias("monthly_repay"))
 
@@ -179,7 +179,7 @@ def single_host_revenue(wh: Warehouse) -> DataFrame:
 def q4_mortgage_cover(wh: Warehouse) -> DataFrame:
     """Share of (single-type host, neighbourhood) rows whose estimated
     revenue exceeds a year of the LGA's median mortgage repayment."""
-    lga_repay = wh.lga_lookup().join(month_repay(wh), "lga_code")
-    rt = fold_join(single_host_revenue(wh), lga_repay, "listing_neighbourhood", "suburb_name")
+    repay_by_suburb = wh.lga_lookup().join(mortgage_repayments(wh), "lga_code")
+    rt = fold_join(single_host_revenue(wh), repay_by_suburb, "listing_neighbourhood", "suburb_name")
     covers = F.col("estimate_revenue") > F.col("monthly_repay") * 12
     return rt.agg(ratio(F.sum(F.when(covers, 1).otherwise(0)), F.count("*")).alias("covered"))

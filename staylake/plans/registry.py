@@ -93,7 +93,7 @@ _wh_query("q4_mortgage_cover", questions.q4_mortgage_cover)
 _wh_query("neighbourhood_revenue", questions.neighbourhood_revenue)
 _wh_query("age_bands", lambda wh: questions.age_bands(wh.fact_one()))
 _wh_query("lga_population", questions.lga_population)
-_wh_query("total_rows", lambda wh: questions.with_total_rows(questions.q1_order_list(wh)))
+_wh_query("total_rows", lambda wh: questions.with_total_rows(questions.area_revenue(wh)))
 _wh_query("top5_neighbourhoods", lambda wh: questions.top_neighbourhoods(questions.room_revenue_stays(wh)))
 _wh_query("top1_per_group",
           lambda wh: questions.best_room_per_neighbourhood(questions.room_revenue_stays(wh))
@@ -102,7 +102,7 @@ _wh_query("host_room_types", questions.host_room_types)
 _wh_query("hosts_multi", questions.hosts_multi)
 _wh_query("hosts_single", questions.hosts_single)
 _wh_query("single_host_revenue", questions.single_host_revenue)
-_wh_query("lga_code_parse", lambda wh: questions.month_repay(wh))
+_wh_query("lga_code_parse", lambda wh: questions.mortgage_repayments(wh))
 
 
 @query("assemble3")
