@@ -1,7 +1,7 @@
 """Benchmark: headline models at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 The load stage (deriving and writing the raw tables) is timed as
-``load_raw`` (one warm-up, median of three); every model is then run to completion with the ``noop`` sink
+``load_raw`` (two warm-ups, median of three); every model is then run to completion with the ``noop`` sink
 (full execution, nothing collected): two warm-ups, median of three runs.
 Prints one JSON line.
 """
@@ -40,7 +40,8 @@ def main() -> None:
                         shuffle_partitions=partitions)
     spark.sparkContext.setLogLevel("ERROR")
 
-    load_warehouse(spark, sf_dir)  # warm-up (JVM start, code generation)
+    for _ in range(2):  # warm-up (JVM start, JIT, code generation)
+        load_warehouse(spark, sf_dir)
     loads = []
     for _ in range(runs):
         t0 = time.perf_counter()
