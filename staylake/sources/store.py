@@ -7,16 +7,25 @@ executor recomputes from files rather than from the feed joins.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from staylake.session import scratch_path
 
 
 def materialize(spark: SparkSession, tables: dict[str, DataFrame], label: str = "raw") -> dict[str, DataFrame]:
-    """Write every table as Parquet under a fresh folder and read it back."""
-    out = {}
-    for name, df in tables.items():
-        path = scratch_path(spark, label, name)
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return out
+    """Write every table as Parquet under a fresh folder and read it back.
+
+    The writes are independent Spark jobs submitted together, so the small
+    lookup tables are written while the large one is still running.
+    """
+    paths = {name: scratch_path(spark, label, name) for name in tables}
+
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite").parquet(paths[name])
+
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        for done in [pool.submit(write, name) for name in tables]:
+            done.result()
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
