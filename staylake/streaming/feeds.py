@@ -20,6 +20,7 @@ import os
 import re
 from typing import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,7 @@ def latest_history(spark: SparkSession, history_path: str, before: int | None =
     """The newest committed history version (optionally older than ``before``)."""
     try:
         files = spark.read.parquet(history_path).inputFiles()
-    except Exception:  # no version written yet
+    except AnalysisException:  # no version written yet (path not found)
         return None
     versions = sorted({int(m.group(1)) for f in files for m in [_VERSION.search(f)] if m})
     if before is not None:
