@@ -25,7 +25,7 @@ KPI_COLUMNS = [
 
 
 def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
-                               date_col: str = "scraped_date") -> DataFrame:
+                               date_col: str = "scraped_date", median: str = "exact") -> DataFrame:
     """One row per (keys, month label) with the additive parts of every KPI.
 
     The distinct host count is its own aggregate, joined back on the group
@@ -33,8 +33,16 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
     aggregate (median buffers included) at (keys, month, host) grain and
     shuffle those. Both sides are partial-aggregated and hash-partitioned on
     the same keys, so the join adds no exchange. The exact median keeps a
-    price -> count map per group, bounded by the number of distinct prices.
+    price -> count map per group, bounded by the number of distinct prices;
+    ``median="approx"`` uses a fixed-size sketch instead (an actual price
+    within about 0.1% of rank, not the interpolated median) for groups
+    whose distinct prices are too many to hold.
     """
+    if median not in ("exact", "approx"):
+        raise ValueError("median must be 'exact' or 'approx'")
+    active_price = active_only("price")
+    median_col = (F.percentile(active_price, F.lit(0.5)) if median == "exact"
+                  else F.percentile_approx(active_price, F.lit(0.5), F.lit(1000)).cast("double"))
     month = month_label(date_col).alias("month_year")
     group = [*keys, "month_year"]
     active = is_true("has_availability")
@@ -50,7 +58,7 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
         flag_count(inactive).alias("n_inactive"),
         F.min(active_only("price")).alias("minimum_price"),
         F.max(active_only("price")).alias("maximum_price"),
-        F.percentile(active_only("price"), F.lit(0.5)).alias("median_price"),
+        median_col.alias("median_price"),
         F.sum(active_only("price").cast("bigint")).alias("sum_active_price"),
         F.count(active_only("price")).alias("n_active_price"),
         flag_count(is_true("host_is_superhost")).alias("n_superhost"),
@@ -75,7 +83,7 @@ def distinct_count(df: DataFrame, group: Sequence[str], col: str, out: str) -> D
 
 
 def listing_kpis(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_date",
-                 order: str = "label") -> DataFrame:
+                 order: str = "label", median: str = "exact") -> DataFrame:
     """The fourteen monthly KPI columns per ``keys``.
 
     ``order="label"`` ranks months by their ``MM/yyyy`` text (the models'
@@ -83,7 +91,7 @@ def listing_kpis(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_
     them by date. The change columns compare a month with the next one in
     that order within the same ``keys``.
     """
-    agg = monthly_listing_aggregates(rows, keys, date_col)
+    agg = monthly_listing_aggregates(rows, keys, date_col, median)
     agg = agg.withColumn("_month_order", F.col("month_year") if order == "label"
                          else label_time_key("month_year"))
     agg = period_change(agg, "n_active", keys, "_month_order", "active_change", denom="n_active")
