@@ -347,10 +347,10 @@ def oracle_queries() -> dict[str, str]:
         "sink_roundtrip": f"SELECT id, {house_cols} FROM raw_house",
         # streaming ingestion: the open version of every listing is its latest row
         "stream_ingest": (
-            "SELECT id, listing_id, scraped_date, listing_neighbourhood, "
+            "SELECT listing_id, scraped_date, "
             "md5(concat_ws('|', CAST(listing_id AS VARCHAR), scraped_date)) AS scd_id, "
             "scraped_date AS updated_at, scraped_date AS valid_from, CAST(NULL AS VARCHAR) AS valid_to "
             f"FROM raw_house QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY "
-            f"{_date('scraped_date', SCRAPE_FMT)} DESC, scraped_date DESC, id ASC) = 1"),
+            f"{_date('scraped_date', SCRAPE_FMT)} DESC, scraped_date DESC) = 1"),
     }
     return {name: _with(sql) for name, sql in q.items()}

@@ -344,7 +344,10 @@ def _sink_roundtrip(spark, sf_dir):
 def _stream_ingest(spark, sf_dir):
     """The listings feed as monthly CSV folders, ingested by the incremental
     stream (load, month-partitioned raw table, history merge per batch); the
-    result is the current version of every listing."""
+    result is the current version of every listing: its latest scrape date
+    and history columns, which do not depend on the order files arrive in
+    (rows repeating a listing's latest date in two batches are the same
+    version, whichever came first)."""
     from staylake.operators.history import current_rows
     from staylake.streaming import ingest_feed, latest_history
 
@@ -355,7 +358,8 @@ def _stream_ingest(spark, sf_dir):
                 partition_by=["FEED_MONTH"], fmt="csv")
     ingest_feed(spark, f"{base}/feed/*/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint",
                 files_per_batch=256)
-    return current_rows(latest_history(spark, f"{base}/history"))
+    return current_rows(latest_history(spark, f"{base}/history")).select(
+        "listing_id", "scraped_date", "scd_id", "updated_at", "valid_from", "valid_to")
 
 
 def _configured(fn: Query) -> Query:
