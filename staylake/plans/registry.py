@@ -28,6 +28,7 @@ from staylake.sources.feeds import (coerce_types, fill_defaults, load_feed, proj
 from staylake.sources.sinks import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
+FILES_PER_MONTH = 4  # month-partitioned writes: at most this many files per month
 QUERIES: dict[str, Query] = {}
 
 
@@ -291,7 +292,8 @@ def _union_months(spark, sf_dir):
 def _feed_roundtrip(spark, df: DataFrame, name: str, partition_by=()) -> DataFrame:
     path = scratch_path(spark, "feeds", name)
     write_table(df.select(*[F.col(c).alias(c.upper()) for c in df.columns]),
-                path, partition_by=[p.upper() for p in partition_by], fmt="csv")
+                path, partition_by=[p.upper() for p in partition_by], fmt="csv",
+                files_per_partition=FILES_PER_MONTH if partition_by else None)
     return load_feed(spark, name, path, with_id="id" in df.columns)
 
 
@@ -335,8 +337,9 @@ def _sink_roundtrip(spark, sf_dir):
     configure(spark)
     house = fixtures.house(spark, sf_dir).withColumn("scrape_month", F.substring("scraped_date", 1, 7))
     path = scratch_path(spark, "tables", "house")
-    write_table(house, path, partition_by=["scrape_month"])
-    write_table(house.filter(F.col("scraped_date") >= "1999-01-01"), path, partition_by=["scrape_month"])
+    write_table(house, path, partition_by=["scrape_month"], files_per_partition=FILES_PER_MONTH)
+    write_table(house.filter(F.col("scraped_date") >= "1999-01-01"), path, partition_by=["scrape_month"],
+                files_per_partition=FILES_PER_MONTH)
     return spark.read.parquet(path).select("id", *schemas.HOUSE_COLUMNS)
 
 
@@ -355,7 +358,7 @@ def _stream_ingest(spark, sf_dir):
     feed = fixtures.house_feed(spark, sf_dir).withColumn(
         "feed_month", F.date_format(parse_date("scraped_date", SCRAPED_DATE_FORMAT), "yyyy_MM"))
     write_table(feed.select(*[F.col(c).alias(c.upper()) for c in feed.columns]), f"{base}/feed",
-                partition_by=["FEED_MONTH"], fmt="csv")
+                partition_by=["FEED_MONTH"], fmt="csv", files_per_partition=FILES_PER_MONTH)
     ingest_feed(spark, f"{base}/feed/*/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint",
                 files_per_batch=256)
     return current_rows(latest_history(spark, f"{base}/history")).select(

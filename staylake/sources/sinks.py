@@ -5,21 +5,33 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 fmt: str = "parquet", mode: str = "overwrite",
-                skip_empty: bool = True, header: bool = True) -> bool:
+                skip_empty: bool = True, header: bool = True,
+                files_per_partition: int | None = None) -> bool:
     """Write ``df``; with ``partition_by``, only the partitions present in
     ``df`` are replaced (dynamic overwrite), so re-running a month's load
     replaces that month instead of appending a second copy.
 
     An unpartitioned overwrite of an empty input would wipe the table; with
     ``skip_empty`` nothing is written then (one cheap ``isEmpty`` probe).
+    ``files_per_partition`` bounds the files per partition value: rows are
+    shuffled on the partition columns plus a hash of the row modulo that
+    number, so each value (a month, say) is written by that many tasks, a
+    large month never lands in one task, and every task writes few files
+    instead of one per value it holds. The hash is of the row itself, so a
+    retried task reproduces the same split.
+
     Returns whether anything was written.
     """
     if skip_empty and not partition_by and df.isEmpty():
         return False
+    if partition_by and files_per_partition:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], salt)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")

@@ -106,3 +106,15 @@ def test_feed_folder_to_models(spark):
     assert set(out) == set(MODELS)
     assert spark.read.parquet(out["dm_listing_neighbourhood"]).count() > 0
     assert spark.read.parquet(out["q1_best_worst"]).count() == 2
+
+
+def test_files_per_partition_bounds_file_count(spark):
+    import os as _os
+
+    path = scratch_path(spark, "sink-files")
+    df = spark.range(0, 20000, numPartitions=16).selectExpr("id", "cast(id % 5 as int) AS m")
+    write_table(df, path, partition_by=["m"], files_per_partition=3)
+    for m in range(5):
+        files = [f for f in _os.listdir(f"{path}/m={m}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 3
+    assert spark.read.parquet(path).count() == 20000
