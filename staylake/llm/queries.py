@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.llm import chat, common, exact_dedup, near_dup, repeats, url_rules
+from staylake.llm import chat, common, exact_dedup, near_dup, packing, records, repeats, url_rules
+from staylake.session import scratch_path
 
 # ---- fixed values: the rule set of the URL query ----------------------------
 URL_RULES = [
@@ -33,6 +34,22 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM d WINDOW w AS (PARTITION BY t)"""
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "llm", "records")
+    records.write_records(common.table(spark, sf_dir, "documents"), folder, tokenizer_file("word_bpe_49k.json"), spaced=False, end_id=2)
+    return records.read_records(spark, folder)
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(common.table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -98,5 +115,5 @@ SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(s.role || chr(10) || s.
   (any_value(c.chars) + coalesce(any_value(h.chars), 0))::BIGINT AS formatted_chars
 FROM sized s JOIN chars c USING (conv_id) LEFT JOIN hist h USING (conv_id) GROUP BY s.conv_id"""
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op8_minhash_near_dedup, op9_url_filter, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op4_best_fit_packing, op5_token_records, op8_minhash_near_dedup, op9_url_filter, op10_chat_format)}
 SQL = {"op3_exact_dedup": OP3_SQL, "op9_url_filter": OP9_SQL, "op10_chat_format": OP10_SQL}

@@ -79,8 +79,12 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
-def parse(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words of the documents ``data[offsets[i]:offsets[i + 1]]``."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return window_hashes(byte_weights()[data], starts, ends, BASE)
+
+
+def parse(data: np.ndarray, offsets: np.ndarray, lower: bool = False, hashed: bool = True) -> Words:
+    """Words of the documents ``data[offsets[i]:offsets[i + 1]]``; ``hashed=False`` leaves their hashes out."""
     if lower:
         data = lowered(data)
     gap = (data == 32) | ((data >= 9) & (data <= 13))
@@ -92,7 +96,7 @@ def parse(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     before[inner] = True
     after[inner - 1] = True
     starts, ends = np.flatnonzero(~gap & before), np.flatnonzero(~gap & after) + 1
-    hashes = window_hashes(byte_weights()[data], starts, ends, BASE)
+    hashes = word_hashes(data, starts, ends) if hashed else np.zeros(0, np.uint64)
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
