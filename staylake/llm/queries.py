@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.llm import chat, common, exact_dedup, near_dup, packing, records, repeats, url_rules
+from staylake.llm import chat, common, decontaminate, exact_dedup, licenses, near_dup, packing, records, repeats, toxicity, url_rules
 from staylake.session import scratch_path
 
 # ---- fixed values: the rule set of the URL query ----------------------------
@@ -18,6 +18,11 @@ URL_RULES = [
 ]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "aligned", "matched")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove_repeats(common.table(spark, sf_dir, "documents"), with_text=False)
     return out.withColumnRenamed("id", "doc_id")
@@ -50,6 +55,29 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(spark, folder)
 
 
+def document_paths(docs: DataFrame) -> DataFrame:
+    """The documents as files of a tree: a folder per source, in it one per thousand and one per
+    hundred ids; the first file of a folder, and of each ten, is a licence file."""
+    thousands, hundreds = F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 100).cast("string")
+    tens = F.floor(F.col("doc_id") / 10).cast("string")
+    path = (F.when(F.col("doc_id") % 1000 == 0, F.concat_ws("/", "source", thousands, F.lit("LICENSE")))
+            .when(F.col("doc_id") % 100 == 0, F.concat_ws("/", "source", thousands, hundreds, F.lit("LICENSE.txt")))
+            .when(F.col("doc_id") % 10 == 0, F.concat_ws("/", "source", thousands, hundreds, tens, F.lit("COPYING")))
+            .otherwise(F.concat_ws("/", "source", thousands, hundreds, tens, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
+    return docs.withColumn("path", path)
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(document_paths(common.table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    labels = common.table(spark, sf_dir, "labels").filter(~toxicity.held_out())
+    scored = toxicity.fit(docs, labels).score(docs.select("doc_id", "text"))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(common.table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -115,5 +143,5 @@ SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(s.role || chr(10) || s.
   (any_value(c.chars) + coalesce(any_value(h.chars), 0))::BIGINT AS formatted_chars
 FROM sized s JOIN chars c USING (conv_id) LEFT JOIN hist h USING (conv_id) GROUP BY s.conv_id"""
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op4_best_fit_packing, op5_token_records, op8_minhash_near_dedup, op9_url_filter, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_exact_dedup, op4_best_fit_packing, op5_token_records, op6_license_scan, op7_toxicity, op8_minhash_near_dedup, op9_url_filter, op10_chat_format)}
 SQL = {"op3_exact_dedup": OP3_SQL, "op9_url_filter": OP9_SQL, "op10_chat_format": OP10_SQL}
