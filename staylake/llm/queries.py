@@ -56,14 +56,14 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_paths(docs: DataFrame) -> DataFrame:
-    """The documents as files of a tree: a folder per source, in it one per thousand and one per
-    hundred ids; the first file of a folder, and of each ten, is a licence file."""
-    thousands, hundreds = F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 100).cast("string")
-    tens = F.floor(F.col("doc_id") / 10).cast("string")
-    path = (F.when(F.col("doc_id") % 1000 == 0, F.concat_ws("/", "source", thousands, F.lit("LICENSE")))
-            .when(F.col("doc_id") % 100 == 0, F.concat_ws("/", "source", thousands, hundreds, F.lit("LICENSE.txt")))
-            .when(F.col("doc_id") % 10 == 0, F.concat_ws("/", "source", thousands, hundreds, tens, F.lit("COPYING")))
-            .otherwise(F.concat_ws("/", "source", thousands, hundreds, tens, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
+    """The documents as files of a tree: a folder per source, in it folders per 10,000, 1,000 and
+    100 ids; the first files of each folder are licence files."""
+    at = F.floor(F.col("doc_id") / 20)  # sources take turns
+    wide, middle, narrow = (F.floor(at / n).cast("string") for n in (500, 50, 5))
+    path = (F.when(at % 500 == 0, F.concat_ws("/", "source", wide, F.lit("LICENSE")))
+            .when(at % 50 == 0, F.concat_ws("/", "source", wide, middle, F.lit("LICENSE.txt")))
+            .when(at % 5 == 0, F.concat_ws("/", "source", wide, middle, narrow, F.lit("COPYING")))
+            .otherwise(F.concat_ws("/", "source", wide, middle, narrow, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
     return docs.withColumn("path", path)
 
 
