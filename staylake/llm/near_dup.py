@@ -11,12 +11,14 @@ banded buckets and star-shaped candidate edges, confirmed on full shingle sets.
    are dropped (a pair at 0.75 does so with a chance below 1e-9), the others
    are confirmed on full sets.
 3. A star can miss a link between two members that are both unlike the centre.
-   So buckets that still span several components are gone through again: their
-   members' signatures are compared in blocks of at most 2048 x 2048 inside
-   tasks, and only pairs of different components whose signatures agree in 58 %
-   of the bins or more come out, to be confirmed on full sets as before.
-   No bucket is capped. A bucket of n members in different components costs
-   n * n / 2 signature comparisons, spread over (n / 2048)**2 tasks.
+   So buckets that still span several components are gone through again (one of
+   those that hold the same members): tasks compare them block against block, a
+   block being about 2048 members or a million shingles at most. Pairs of
+   different components whose signatures agree in 58 % of the bins are confirmed
+   on the full sets there and then; only links come out, one for each two
+   components that a block pair ties together. No bucket is capped. A bucket of
+   n members in different components costs n * n / 2 signature comparisons,
+   spread over (n / 2048)**2 tasks.
 4. Connected components over all confirmed links.
 
 A link at similarity 0.75 shares no bucket with a chance of
@@ -42,7 +44,7 @@ from staylake.llm.components import components
 
 SHINGLE, BINS, BAND_ROWS = 5, 128, 4
 STAR_AGREE, CROSS_AGREE = 64, 74  # of 128 bins, see above
-BLOCK = 2048
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 
 
 def _digest(doc: np.ndarray, h: np.ndarray, n: int, salt: int) -> np.ndarray:
@@ -92,22 +94,48 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _cross(agree: int):
-    """Pairs of one block pair whose signatures agree and whose components differ."""
+def _full_sets(k: int):
+    def run(batches):
+        for part, w in words.parsed_slices(batches, "text", lower=True):
+            doc, h = minhash.shingle_sets(w, k)
+            at = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32) * 8
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.Array.from_buffers(pa.binary(), part.num_rows, [
+                None, pa.py_buffer(at), pa.py_buffer(h.tobytes())])], names=["node", "shingles"])
+    return run
+
+
+def _cross(agree: int, percent: int):
+    """Links between components inside one block pair; ``side`` 1 is a block against itself."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["side", "node"])
-        left, right = pdf[pdf.side <= 1], pdf[pdf.side >= 1]  # side 1: a block against itself
+        left, right = pdf[pdf.side <= 1], pdf[pdf.side >= 1]
         ls, rs = (np.frombuffer(b"".join(x.sig), np.uint8).reshape(len(x), -1) for x in (left, right))
+        sets = {node: np.frombuffer(x, np.uint64) for node, x in zip(pdf.node, pdf.shingles)}
         ln, rn, ll, rl = left.node.to_numpy(), right.node.to_numpy(), left.label.to_numpy(), right.label.to_numpy()
-        out = []
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        u, v = [], []
         for i in range(len(left)):
             other = np.flatnonzero(rl != ll[i])
             if left.side.iat[i] == 1:
                 other = other[rn[other] > ln[i]]
-            hit = other[(rs[other] == ls[i]).sum(axis=1) >= agree]
-            if len(hit):
-                out.append(pd.DataFrame({"u": np.minimum(ln[i], rn[hit]), "v": np.maximum(ln[i], rn[hit])}))
-        return pd.concat(out) if out else pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+            a = sets[ln[i]]
+            for j in other[(rs[other] == ls[i]).sum(axis=1) >= agree]:
+                x, y, b = top(ll[i]), top(rl[j]), sets[rn[j]]
+                if x == y or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                    continue
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    parent[x] = y
+                    u.append(min(ln[i], rn[j]))
+                    v.append(max(ln[i], rn[j]))
+        return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
     return run
 
 
@@ -140,13 +168,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     classes = saved(full.groupBy(*same).agg(F.min("node").alias("class")), "classes")
     member = full.select("node", *same).join(classes, same).select("node", "class")
     ties = member.groupBy("node").agg(F.min("class").alias("u"), F.max("class").alias("v")).filter("u < v").select("u", "v")
-    reps = full.join(classes, same).filter("node = class").select("node", "bands", "sig")
+    reps = full.join(classes, same).filter("node = class").select("node", "n_shingles", "bands", "sig")
 
     key = reps.select("node", F.explode("bands").alias("key"))
     crowded = key.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("centre")).filter("size > 1")
     buckets = saved(key.join(crowded, "key"), "buckets")
     involved = buckets.select("node").distinct()
-    sigs = saved(reps.select("node", "sig").join(involved, "node").dropDuplicates(["node"]), "signatures")
+    sigs = saved(reps.select("node", "n_shingles", "sig").join(involved, "node").dropDuplicates(["node"]), "signatures")
     texts = saved(rows.join(involved, "node", "left_semi"), "texts")
 
     def confirmed(edges: DataFrame, label: str) -> DataFrame:
@@ -159,18 +187,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     label = components(links)
 
     # buckets of three or more that still span several components, in blocks against blocks
-    open_ = (buckets.filter("size > 2").join(label, "node", "left")
-             .select("key", "node", F.coalesce("label", "node").alias("label")))
-    spread = (open_.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-              .filter("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    open_ = (buckets.filter("size > 2").join(label, "node", "left").join(sigs.select("node", "n_shingles"), "node")
+             .select("key", "node", "n_shingles", F.coalesce("label", "node").alias("label")))
+    weight = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    spread = (open_.groupBy("key").agg(F.ceil(weight).cast("int").alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                       F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"))
+              .filter("lo < hi").groupBy("n", "who").agg(F.min("key").alias("key"), F.max("blocks").alias("blocks")).select("key", "blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = open_.join(spread, "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("key", "node", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                           F.when(F.col("block") == F.col("other"), 1).when(F.col("block") < F.col("other"), 0).otherwise(2).alias("side"))
-    cross = (placed.join(sigs, "node").groupBy("key", "i", "j")
-             .applyInPandas(_cross(CROSS_AGREE), "u bigint, v bigint").distinct())
-    cross = cross.join(star, ["u", "v"], "left_anti")
-    more = confirmed(saved(cross, "candidates"), "links")
+    placed = saved(placed.select("key", "node", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                                 F.when(F.col("block") == F.col("other"), 1).when(F.col("block") < F.col("other"), 0).otherwise(2).alias("side")), "blocks")
+    sets = texts.join(placed.select("node").distinct(), "node", "left_semi").mapInArrow(_full_sets(SHINGLE), "node bigint, shingles binary")
+    whole = saved(sets.join(sigs.select("node", "sig"), "node").dropDuplicates(["node"]), "sets")
+    more = saved(placed.join(whole, "node").groupBy("key", "i", "j").applyInPandas(_cross(CROSS_AGREE, percent), "u bigint, v bigint").distinct(), "links")
     if not more.isEmpty():
         label = components(links.unionAll(more))
 
