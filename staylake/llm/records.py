@@ -4,13 +4,13 @@ A shard ``part-N.rec`` holds one record per document:
 
     uint64  length of the payload
     uint32  masked checksum of the length's 8 bytes
-    payload int64 document id, uint8 (1: the id is NULL), uint32 ids
+    payload int64 document id, uint8 (1: the id is NULL), uint8 bytes per id, the ids
     uint32  masked checksum of the payload
 
-all little-endian. The checksum is CRC-32, masked as rotated right by 15 bits
+all little-endian; ids take 2 bytes each in vocabularies of up to 65,536, else 4. The checksum is CRC-32, masked as rotated right by 15 bits
 plus 0xA282EAD8, so that a record stored inside a record does not check out by
 itself. ``part-N.idx`` has 16 bytes per record, its offset in the shard and its
-number of ids, so that records can be read in any order. The ``manifest`` table
+size, so that records can be read in any order. The ``manifest`` table
 has a row per shard with the ids and documents before it.
 
 Documents stand in ascending id order over the shards in turn (NULL first;
@@ -35,13 +35,14 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from staylake.llm.common import ship, whole_text
 from staylake.llm.encode import encoded_slices
 
-HEAD, TAIL, OWNER = "<QI", "<I", "<qB"
+HEAD, TAIL, OWNER = "<QI", "<I", "<qBB"
 HEAD_SIZE, TAIL_SIZE, OWNER_SIZE = (struct.calcsize(x) for x in (HEAD, TAIL, OWNER))
-ENTRY = np.dtype([("offset", "<u8"), ("n", "<u8")])
+ENTRY = np.dtype([("offset", "<u8"), ("size", "<u8")])
 SHARDS = "shard bigint, n_docs bigint, n_tokens bigint"
 
 
@@ -65,8 +66,8 @@ def unframe(data: bytes) -> bytes:
 
 
 def parse_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
-    doc, missing = struct.unpack_from(OWNER, payload)
-    return None if missing else doc, np.frombuffer(payload, "<u4", offset=OWNER_SIZE)
+    doc, missing, width = struct.unpack_from(OWNER, payload)
+    return None if missing else doc, np.frombuffer(payload, f"<u{width}", offset=OWNER_SIZE).astype("<u4")
 
 
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
@@ -77,7 +78,7 @@ def _name(shard: int) -> str:
     return f"part-{shard:07d}"
 
 
-def _write(folder: str, tokenizer, spaced: bool, end_id: int):
+def _write(folder: str, tokenizer, spaced: bool, end_id: int, width: int):
     def run(batches):
         task = TaskContext.get()
         shard, own = task.partitionId(), f"_{task.partitionId()}-{task.taskAttemptId()}"
@@ -87,9 +88,9 @@ def _write(folder: str, tokenizer, spaced: bool, end_id: int):
         with store.open_output_stream(f"{root}/{own}.rec") as out:
             for part, encoded in encoded_slices(batches, "text", tokenizer.value, spaced, end_id):
                 for doc, ids in zip(part.column(0).to_pylist(), encoded):
-                    record = frame(struct.pack(OWNER, doc or 0, doc is None) + ids.astype("<u4").tobytes())
+                    record = frame(struct.pack(OWNER, doc or 0, doc is None, width) + ids.astype(f"<u{width}").tobytes())
                     out.write(record)
-                    index.append((offset, len(ids)))
+                    index.append((offset, len(record)))
                     offset += len(record)
                     n_tokens += len(ids)
         if not index:
@@ -110,13 +111,15 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, spaced: boo
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = spark.sparkContext.broadcast(f.read())
+    largest = max(end_id, *Tokenizer.from_str(tokenizer.value).get_vocab().values())
+    width = 2 if largest < 1 << 16 else 4
     store, root = _place(folder)
     store.create_dir(f"{root}/data", recursive=True)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), whole_text(text).alias("text")).withColumns(
         {"hash": F.xxhash64("text"), "tie": F.monotonically_increasing_id()})  # ties are dealt out too
     order = ["doc_id", "hash", "tie"]
     dealt = rows.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
-    shards = dealt.select("doc_id", "text").mapInArrow(_write(f"{folder}/data", tokenizer, spaced, end_id), SHARDS)
+    shards = dealt.select("doc_id", "text").mapInArrow(_write(f"{folder}/data", tokenizer, spaced, end_id, width), SHARDS)
     shards.write.parquet(f"{folder}/shards")
     # one row per shard
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -168,7 +171,7 @@ def _entries(folder: str):
                 with store.open_input_stream(f"{root}/{_name(shard)}.idx") as f:
                     index = np.frombuffer(f.read(), ENTRY)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(index), shard)), pa.array(index["offset"].astype(np.int64)),
-                                                  pa.array(index["n"].astype(np.int64))], names=["shard", "offset", "n"])
+                                                  pa.array(index["size"].astype(np.int64))], names=["shard", "offset", "size"])
     return run
 
 
@@ -177,9 +180,8 @@ def _seek(folder: str):
         store, root = _place(f"{folder}/data")
         for batch in batches:
             docs, ids = [], []
-            for shard, offset, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for shard, offset, size in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 with store.open_input_file(f"{root}/{_name(shard)}.rec") as f:
-                    size = HEAD_SIZE + OWNER_SIZE + 4 * n + TAIL_SIZE
                     doc, own = parse_payload(unframe(f.read_at(size, offset)))
                 docs.append(doc)
                 ids.append(own.astype(np.int64))
@@ -190,7 +192,7 @@ def _seek(folder: str):
 def read_shuffled(spark: SparkSession, folder: str, seed: int) -> DataFrame:
     """All documents (``doc_id``, ``ids``) in an order drawn by ``seed``, by seeks through the index."""
     ship("staylake.llm.records")
-    entries = read_manifest(spark, folder).select("shard").mapInArrow(_entries(folder), "shard bigint, offset bigint, n bigint")
+    entries = read_manifest(spark, folder).select("shard").mapInArrow(_entries(folder), "shard bigint, offset bigint, size bigint")
     order = F.xxhash64(F.lit(seed), "shard", "offset")
-    drawn = entries.withColumn("order", order).repartitionByRange("order").sortWithinPartitions("order").select("shard", "offset", "n")
+    drawn = entries.withColumn("order", order).repartitionByRange("order").sortWithinPartitions("order").select("shard", "offset", "size")
     return drawn.mapInArrow(_seek(folder), "doc_id bigint, ids array<bigint>")
