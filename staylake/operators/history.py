@@ -75,64 +75,42 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, key: str | Sequence[str]
                tie_break: str | None = "id") -> DataFrame:
     """One snapshot run: merge a batch into an existing history.
 
-    New key -> open version. Same key with a later ``updated_at`` than the
-    open version's ``valid_from`` -> the open version closes at the new
-    ``updated_at`` and a new one opens. Not later -> no change. Keys absent
-    from the batch are untouched. The batch is first reduced to its latest
-    row per key (among equally late rows, the smallest ``tie_break``, as in
-    ``scd2_bulk``). One full outer join between open versions and the batch
-    produces every output row in a single pass; closed versions pass through.
+    The batch may hold several versions of a key: it is first reduced to one
+    row per key and point in time (the smallest ``tie_break``, as in
+    ``scd2_bulk``), of which those later than the key's open version are kept;
+    a missing time is earlier than any other. Open versions and kept rows then
+    form one time line per key, whose windows hold a key's new dates, not its
+    history. Not later -> no change; keys absent from the batch are untouched;
+    closed versions pass through. NULL keys are a key like any other.
     The result must be written to a new location (a table cannot be
     overwritten while it is read).
     """
+    closed, line = scd2_parts(history, incoming, key, updated_at, order_by, tie_break)
+    return closed.unionByName(line)
+
+
+def scd2_parts(history: DataFrame, incoming: DataFrame, key: str | Sequence[str], updated_at: str,
+               order_by: OrderFn | None = None, tie_break: str | None = "id") -> tuple[DataFrame, DataFrame]:
+    """The versions that were closed before, and the merged time lines of the open ones."""
     keys = _keys(key)
     order_by = order_by or (lambda c: c)
-    data_cols = [c for c in incoming.columns]
-    packed = F.struct(*[F.col(c) for c in data_cols])
-    rank = [order_by(F.col(updated_at)), F.col(updated_at)]
-    if tie_break and tie_break in data_cols:
-        rank.append(-F.col(tie_break))
-    latest = (incoming.groupBy(*keys)
-              .agg(F.max_by(packed, F.struct(*rank)).alias("_r"))
-              .select(*[F.col(f"_r.{c}").alias(c) for c in data_cols]))
-
-    closed = history.filter(F.col("valid_to").isNotNull())
-    open_ = history.filter(F.col("valid_to").isNull())
-    o = open_.select(*[F.col(c).alias(f"o_{c}") for c in open_.columns])
-    i = latest.select(*[F.col(c).alias(f"i_{c}") for c in latest.columns])
-    cond = None
-    for k in keys:
-        c = F.col(f"o_{k}") == F.col(f"i_{k}")
-        cond = c if cond is None else cond & c
-    j = o.join(i, cond, "full_outer")
-
-    has_open = F.col(f"o_{keys[0]}").isNotNull()
-    has_new = F.col(f"i_{keys[0]}").isNotNull()
-    newer = has_open & has_new & (order_by(F.col(f"i_{updated_at}")) > order_by(F.col("o_valid_from")))
-    out_cols = [c for c in history.columns]
-    ts_new = F.col(f"i_{updated_at}")
-
-    def new_value(c: str) -> Column:
-        if c == "scd_id":
-            return F.md5(F.concat_ws("|", *[F.col(f"i_{k}").cast("string") for k in keys],
-                                     ts_new.cast("string")))
-        if c in ("updated_at", "valid_from"):
-            return ts_new
-        if c == "valid_to":
-            return F.lit(None).cast(history.schema["valid_to"].dataType)
-        return F.col(f"i_{c}")
-
-    def kept_value(c: str) -> Column:
-        if c == "valid_to":
-            return F.when(newer, ts_new).otherwise(F.col("o_valid_to"))
-        return F.col(f"o_{c}")
-
-    kept = F.struct(*[kept_value(c).alias(c) for c in out_cols])
-    opened = F.struct(*[new_value(c).alias(c) for c in out_cols])
-    rows = F.array(F.when(has_open, kept), F.when(has_new & (~has_open | newer), opened))
-    merged = (j.select(F.explode(rows).alias("r")).filter(F.col("r").isNotNull())
-              .select(*[F.col(f"r.{c}").alias(c) for c in out_cols]))
-    return closed.unionByName(merged)
+    ts = F.col(updated_at)
+    cols = [c for c in history.columns if c not in HISTORY_COLUMNS]
+    batch = incoming.select(*cols)
+    packed = F.struct(*[F.col(c) for c in cols])
+    first_of = F.min_by(packed, F.col(tie_break)) if tie_break and tie_break in cols else F.min(packed)
+    batch = (batch.groupBy(*keys, order_by(ts).alias("_at")).agg(first_of.alias("_row"))
+             .select("_at", *[F.col(f"_row.{c}").alias(c) for c in cols])
+             .withColumns({"_open": F.lit(False), "scd_id": _scd_id(keys, ts), "updated_at": ts, "valid_from": ts}))
+    open_ = current_rows(history).drop("valid_to").withColumns({"_at": order_by(F.col("valid_from")), "_open": F.lit(True)})
+    whole = Window.partitionBy(*keys)
+    later = F.col("_at").isNotNull() & (F.col("_opened").isNull() | (F.col("_at") > F.col("_opened")))
+    line = (open_.unionByName(batch)
+            .withColumns({"_has_open": F.max("_open").over(whole), "_opened": F.max(F.when(F.col("_open"), F.col("_at"))).over(whole)})
+            .filter(F.col("_open") | ~F.col("_has_open") | later))
+    ahead = whole.orderBy(F.col("_at").asc_nulls_first(), F.col("valid_from").asc_nulls_first())
+    line = line.withColumn("valid_to", F.lead("valid_from").over(ahead)).select(*history.columns)
+    return history.filter(F.col("valid_to").isNotNull()), line
 
 
 def current_rows(df: DataFrame) -> DataFrame:

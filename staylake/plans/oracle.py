@@ -10,6 +10,7 @@ use the same exact integer rounding as ``staylake.functions.exact``.
 
 from __future__ import annotations
 
+from staylake.plans.questions import BANDS_20_34, UNDER_20_BANDS
 from staylake.sources import fixtures, schemas
 
 
@@ -76,17 +77,16 @@ def model_ctes() -> list[tuple[str, str]]:
         ("dim_host", "SELECT * FROM stg_host"),
         ("dim_listing", "SELECT * FROM stg_listing"),
         ("dim_property", "SELECT * FROM stg_property"),
-        ("dim_lga", "SELECT c.lga_code, s.lga_name, s.suburb_name FROM stg_lga_suburb s, stg_lga_code c "
-                    "WHERE s.lga_name = c.lga_name"),
+        ("dim_lga", "SELECT (map_from_entries((SELECT list((lga_name, lga_code)) FROM stg_lga_code)))[lga_name] AS lga_code, "
+                    "lga_name, suburb_name FROM stg_lga_suburb WHERE lga_name IN (SELECT lga_name FROM stg_lga_code)"),
         ("fact_one", "SELECT * FROM raw_census_one"),
         ("fact_two", "SELECT * FROM raw_census_two"),
         ("fact_review", "SELECT * FROM review_snapshot"),
         ("fact_listing_base",
-         "SELECT l.id AS listing_id, l.listing_id AS original_listing_id, l.scraped_date, h.host_id, h.host_name, "
-         "h.host_neighbourhood, l.listing_neighbourhood, p.property_type, p.room_type, p.accommodates, p.price, "
-         "p.has_availability, p.availability_30, r.number_of_reviews, r.review_scores_rating "
-         "FROM dim_listing l, dim_host h, dim_property p, fact_review r "
-         "WHERE h.id = l.id AND p.id = l.id AND r.id = l.id"),
+         f"SELECT id AS listing_id, listing_id AS original_listing_id, {_date('scraped_date', SCRAPE_FMT)} AS scraped_date, "
+         "host_id, host_name, lower(host_neighbourhood) AS host_neighbourhood, lower(listing_neighbourhood) AS listing_neighbourhood, "
+         "property_type, room_type, accommodates, price, has_availability, availability_30, number_of_reviews, review_scores_rating "
+         "FROM raw_house WHERE host_name <> '' AND host_since <> '' AND price > 5"),
         ("fact_listing",
          "SELECT b.*, g.lga_name AS listing_neighbourhood_lga, g.suburb_name AS listing_suburb "
          "FROM fact_listing_base b LEFT JOIN dim_lga g ON lower(g.suburb_name) = lower(b.listing_neighbourhood)"),
@@ -99,34 +99,34 @@ def model_ctes() -> list[tuple[str, str]]:
         ("rated_rows", "SELECT s.*, r.review_scores_rating FROM stay_rows s, fact_review r WHERE r.id = s.id"),
         ("monthly_nb", _monthly_sql("listing_neighbourhood")),
         ("monthly_kind", _monthly_sql("property_type, room_type, accommodates")),
-        # census profile and neighbourhood revenue (question 1)
-        ("age_profile",
-         "SELECT CAST(replace(lga_code_2016, 'LGA', '') AS INTEGER) AS lga_code, "
-         "age_0_4_yr_m + age_5_14_yr_m + age_15_19_yr_m AS population_under_20, "
-         "age_0_4_yr_m + age_5_14_yr_m + age_15_19_yr_m + age_20_24_yr_m + age_25_34_yr_m AS population_under_35, "
-         + sql_pct("age_20_24_yr_m + age_25_34_yr_m",
-                   "age_0_4_yr_m + age_5_14_yr_m + age_15_19_yr_m + age_20_24_yr_m + age_25_34_yr_m")
-         + " AS rate_20_34 FROM fact_one"),
+        # one relation of listings with what every slice keeps, and the rows each slice alone would keep
+        ("listing",
+         "SELECT *, host_name <> '' AND host_since <> '' AS has_host, price > 5 AS has_price, "
+         "lower(listing_neighbourhood) AS nb, lower(host_neighbourhood) AS home, "
+         "(CASE WHEN has_availability THEN 30 - availability_30 ELSE 0 END) * price AS revenue, "
+         "struct_pack(property_type, room_type, accommodates) AS kind FROM raw_house"),
+        # the council areas that claim a suburb, as lists
+        ("claims",
+         "SELECT lower(suburb_name) AS suburb, list({'code': c.lga_code, 'area': c.lga_name}) AS areas "
+         "FROM raw_lga_suburb, (SELECT lga_code, lower(lga_name) AS lga_name FROM raw_lga_code) c "
+         "WHERE lower(raw_lga_suburb.lga_name) = c.lga_name GROUP BY 1"),
+        ("age_profile", _age_profile_sql()),
         ("nb_revenue",
-         f"SELECT l.listing_neighbourhood, CAST(sum({nights_p} * p.price) AS BIGINT) AS estimate_revenue "
-         "FROM dim_property p JOIN dim_listing l ON l.id = p.id GROUP BY l.listing_neighbourhood"),
+         "SELECT nb AS listing_neighbourhood, CAST(sum(revenue) AS BIGINT) AS estimate_revenue FROM listing WHERE has_price GROUP BY nb"),
         ("area_revenue",
-         "SELECT g.lga_name, n.listing_neighbourhood, a.population_under_20, a.population_under_35, "
-         "a.rate_20_34, n.estimate_revenue FROM nb_revenue n "
-         "JOIN dim_lga g ON lower(g.suburb_name) = lower(n.listing_neighbourhood) "
-         "JOIN age_profile a ON a.lga_code = g.lga_code"),
-        # room kinds per host (questions 3 and 4)
-        ("kinds",
-         "SELECT DISTINCT h.host_id, p.property_type, p.room_type, p.accommodates "
-         "FROM dim_host h, dim_listing l, dim_property p WHERE l.id = h.id AND p.id = h.id"),
-        ("kind_counts", "SELECT host_id, count(*) AS n_kinds FROM kinds WHERE host_id IS NOT NULL GROUP BY host_id"),
+         "SELECT a.area AS lga_name, listing_neighbourhood, population_under_20, population_under_35, rate_20_34, estimate_revenue "
+         "FROM (SELECT unnest(areas) AS a, listing_neighbourhood, estimate_revenue FROM nb_revenue, claims WHERE suburb = lower(listing_neighbourhood)), "
+         "age_profile WHERE age_profile.lga_code = a.code"),
+        # hosts by how many room kinds they offer (questions 3 and 4)
+        ("kind_counts",
+         "SELECT host_id, len(list(DISTINCT kind)) AS n_kinds FROM listing WHERE has_host AND has_price AND host_id IS NOT NULL GROUP BY host_id"),
+        ("kinds", "SELECT host_id, unnest(list(DISTINCT kind), recursive := true) FROM listing WHERE has_host AND has_price GROUP BY host_id"),
         ("single_host_revenue_sql",
-         f"SELECT h.host_id, h.host_name, l.listing_neighbourhood, CAST(sum({nights_p} * p.price) AS BIGINT) "
-         "AS estimate_revenue FROM dim_host h JOIN dim_listing l ON l.id = h.id JOIN dim_property p ON p.id = h.id "
-         "WHERE h.host_id IN (SELECT host_id FROM kind_counts WHERE n_kinds = 1) GROUP BY ALL"),
+         "SELECT host_id, host_name, nb AS listing_neighbourhood, CAST(sum(revenue) AS BIGINT) AS estimate_revenue "
+         "FROM listing SEMI JOIN (FROM kind_counts WHERE n_kinds = 1) USING (host_id) WHERE has_host AND has_price GROUP BY ALL"),
         ("repayments",
-         "SELECT CAST(replace(lga_code_2016, 'LGA', '') AS INTEGER) AS lga_code, "
-         "median_mortgage_repay_monthly AS monthly_repay FROM fact_two"),
+         "SELECT CAST(regexp_extract(lga_code_2016, '[0-9]+') AS INTEGER) AS lga_code, "
+         "median_mortgage_repay_monthly AS monthly_repay FROM raw_census_two"),
         # rooms of the listing fact per neighbourhood (question 2)
         ("nb_rooms",
          f"SELECT f.listing_neighbourhood, p.property_type, p.room_type, f.accommodates, "
@@ -137,6 +137,17 @@ def model_ctes() -> list[tuple[str, str]]:
     ]
 
 
+def _age_profile_sql() -> str:
+    """Persons per age band as rows, added up by the bands each age group is defined by."""
+    bands = [f"{b}_m" for b in [*UNDER_20_BANDS, *BANDS_20_34]]
+    young = ", ".join(f"'{b}_m'" for b in UNDER_20_BANDS)
+    return ("SELECT lga_code, CAST(sum(persons) FILTER (band IN (" + young + ")) AS INTEGER) AS population_under_20, "
+            "CAST(sum(persons) AS INTEGER) AS population_under_35, "
+            + sql_pct("sum(persons) FILTER (band NOT IN (" + young + "))", "sum(persons)") + " AS rate_20_34 "
+            "FROM (UNPIVOT (SELECT CAST(regexp_extract(lga_code_2016, '[0-9]+') AS INTEGER) AS lga_code, " + ", ".join(bands)
+            + " FROM raw_census_one) ON " + ", ".join(bands) + " INTO NAME band VALUE persons) GROUP BY lga_code")
+
+
 def _monthly_sql(keys: str) -> str:
     """Additive monthly parts of every KPI from the rated listing rows."""
     return (
@@ -251,10 +262,9 @@ def oracle_queries() -> dict[str, str]:
             "SELECT hg.lga_name AS host_lga, count(*) AS total_listings, "
             "count(*) FILTER (WHERE hg.lga_name = lg.lga_name) AS local_listings, "
             + sql_pct("count(*) FILTER (WHERE hg.lga_name = lg.lga_name)", "count(*)") + " AS local_rate "
-            "FROM dim_host h JOIN dim_listing l ON l.id = h.id "
-            "JOIN dim_lga hg ON lower(hg.suburb_name) = lower(h.host_neighbourhood) "
-            "JOIN dim_lga lg ON lower(lg.suburb_name) = lower(l.listing_neighbourhood) "
-            "WHERE h.host_id IN (SELECT host_id FROM kind_counts WHERE n_kinds > 1) GROUP BY hg.lga_name"),
+            "FROM (SELECT home, nb FROM listing SEMI JOIN (FROM kind_counts WHERE n_kinds > 1) USING (host_id) WHERE has_host) h, "
+            "(SELECT suburb, unnest(areas).area AS lga_name FROM claims) hg, (SELECT suburb, unnest(areas).area AS lga_name FROM claims) lg "
+            "WHERE hg.suburb = h.home AND lg.suburb = h.nb GROUP BY hg.lga_name"),
         "q4_mortgage_cover": (
             "SELECT " + sql_ratio("count(*) FILTER (WHERE s.estimate_revenue > r.monthly_repay * 12)", "count(*)")
             + " AS covered FROM single_host_revenue_sql s "
@@ -345,12 +355,8 @@ def oracle_queries() -> dict[str, str]:
         "src_census_one": "SELECT * EXCLUDE (id) FROM raw_census_one",
         "src_house": f"SELECT id, {house_cols} FROM raw_house",
         "sink_roundtrip": f"SELECT id, {house_cols} FROM raw_house",
-        # streaming ingestion: the open version of every listing is its latest row
-        "stream_ingest": (
-            "SELECT listing_id, scraped_date, "
-            "md5(concat_ws('|', CAST(listing_id AS VARCHAR), scraped_date)) AS scd_id, "
-            "scraped_date AS updated_at, scraped_date AS valid_from, CAST(NULL AS VARCHAR) AS valid_to "
-            f"FROM raw_house QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY "
-            f"{_date('scraped_date', SCRAPE_FMT)} DESC, scraped_date DESC) = 1"),
+        # streaming ingestion: the same history and rows as in one load
+        "stream_ingest": _scd_sql(LISTING_COLS, "listing_id", "scraped_date", SCRAPE_FMT),
+        "stream_raw": f"SELECT id, {house_cols} FROM raw_house",
     }
     return {name: _with(sql) for name, sql in q.items()}

@@ -265,7 +265,8 @@ def _coerce_types(spark, sf_dir):
 @query("surrogate_id")
 def _surrogate_id(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    out = surrogate_id(li, F.col("l_orderkey") * fixtures.LINE_SLOTS + F.col("l_linenumber"),
+    out = surrogate_id(li, F.when(F.col("l_linenumber").between(0, fixtures.LINE_SLOTS - 1),
+                                  F.col("l_orderkey") * fixtures.LINE_SLOTS + F.col("l_linenumber")),
                        ["l_orderkey", "l_linenumber"], fixtures.LINEITEM_ORDER, fixtures.COPY_SLOTS)
     return out.select("l_orderkey", "l_linenumber", "id")
 
@@ -282,7 +283,7 @@ def _union_months(spark, sf_dir):
     Both layouts are cut from the loaded listings table (one scan each)."""
     house = _wh(spark, sf_dir).house
     older = house.filter(F.col("scraped_date") < "1998-01-01").drop(*schemas.REVIEW_SCORES)
-    newer = house.filter(F.col("scraped_date") >= "1998-01-01")
+    newer = house.filter(F.col("scraped_date").isNull() | (F.col("scraped_date") >= "1998-01-01"))
     merged = union_months([newer, older])
     loaded = fill_defaults(coerce_types(merged, schemas.HOUSE_TYPES), schemas.HOUSE_FILL)
     return loaded.select("id", *schemas.HOUSE_COLUMNS)
@@ -343,26 +344,36 @@ def _sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).select("id", *schemas.HOUSE_COLUMNS)
 
 
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """The listings feed as CSV files in time order (a folder per year, two files in each, split by
+    listing), ingested by the stream three files at a time, so that years are split over batches."""
+    from staylake.streaming import ingest_feed
+
+    base = scratch_path(spark, "stream")
+    feed = fixtures.house_feed(spark, sf_dir)
+    upper = feed.select(*[F.col(c).alias(c.upper()) for c in feed.columns])
+    years = [r[0] for r in feed.select(F.substring("scraped_date", 1, 4).alias("y")).distinct().orderBy("y").collect()]
+    for year in years:  # one folder after another: files are taken in the order of their times
+        of_year = F.substring("SCRAPED_DATE", 1, 4).eqNullSafe(F.lit(year))
+        write_table(upper.filter(of_year).repartition(2, "LISTING_ID"), f"{base}/feed/{year}", fmt="csv")
+    ingest_feed(spark, f"{base}/feed/*/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint", files_per_batch=3)
+    return base
+
+
 @query("stream_ingest")
 def _stream_ingest(spark, sf_dir):
-    """The listings feed as monthly CSV folders, ingested by the incremental
-    stream (load, month-partitioned raw table, history merge per batch); the
-    result is the current version of every listing: its latest scrape date
-    and history columns, which do not depend on the order files arrive in
-    (rows repeating a listing's latest date in two batches are the same
-    version, whichever came first)."""
-    from staylake.operators.history import current_rows
-    from staylake.streaming import ingest_feed, latest_history
+    """The complete history of the listings after several micro-batches; it
+    equals the history built in one go (``scd2_listing``)."""
+    from staylake.streaming import latest_history
 
-    base = scratch_path(spark, "stream")
-    feed = fixtures.house_feed(spark, sf_dir).withColumn(
-        "feed_month", F.date_format(parse_date("scraped_date", SCRAPED_DATE_FORMAT), "yyyy_MM"))
-    write_table(feed.select(*[F.col(c).alias(c.upper()) for c in feed.columns]), f"{base}/feed",
-                partition_by=["FEED_MONTH"], fmt="csv", files_per_partition=FILES_PER_MONTH)
-    ingest_feed(spark, f"{base}/feed/*/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint",
-                files_per_batch=256)
-    return current_rows(latest_history(spark, f"{base}/history")).select(
-        "listing_id", "scraped_date", "scd_id", "updated_at", "valid_from", "valid_to")
+    return latest_history(spark, f"{_ingested(spark, sf_dir)}/history")
+
+
+@query("stream_raw")
+def _stream_raw(spark, sf_dir):
+    """The raw table that the stream wrote, all batches of all months."""
+    raw = spark.read.parquet(f"{_ingested(spark, sf_dir)}/raw")
+    return raw.select("id", *schemas.HOUSE_COLUMNS)
 
 
 def _configured(fn: Query) -> Query:

@@ -71,16 +71,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_LOCAL_FALLBACK: dict[int, str] = {}
+_LOCAL_FALLBACK: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and materialised tables."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        key = id(spark.sparkContext)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        key = spark.sparkContext.applicationId
         if key not in _LOCAL_FALLBACK:
-            # Only reached when the session names no folder (local tests).
+            # One process: its own temporary folder is shared by all tasks.
             _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="staylake-ckpt-")
         path = _LOCAL_FALLBACK[key]
     sc = spark.sparkContext

@@ -17,26 +17,56 @@ from staylake.functions.dates import parse_date
 from staylake.sources import schemas
 
 
+def csv_options(multi_line: bool = False) -> dict[str, str]:
+    """Reading options of every feed, batch or stream: quotes are doubled inside quoted text, headers
+    are checked against the schema, and every row is parsed in full so that a malformed one fails.
+
+    ``multi_line`` admits line breaks inside quoted text; a file is then read by one task."""
+    return {"header": "true", "enforceSchema": "false", "mode": "FAILFAST", "escape": '"',
+            "columnPruning": "false", "multiLine": str(multi_line).lower()}
+
+
 def read_feed_csv(spark: SparkSession, name: str, paths: str | Sequence[str],
-                  base_path: str | None = None, with_id: bool = False) -> DataFrame:
+                  base_path: str | None = None, with_id: bool = False, multi_line: bool = False,
+                  columns: Sequence[str] | None = None) -> DataFrame:
     """Schema'd CSV scan of one feed (no inference).
 
     Header names are checked against the declared schema (case-insensitive),
     so a feed whose columns moved fails instead of loading shifted data.
     ``paths`` may be a list of monthly files: one distributed scan.
+    ``columns`` gives the files' own column order; unknown columns are text.
     """
     schema, _ = schemas.FEEDS[name]
     if with_id:
         schema = T.StructType([T.StructField("id", T.LongType())] + schema.fields)
-    reader = (spark.read.schema(schema)
-              .option("header", True)
-              .option("enforceSchema", False)
-              .option("mode", "FAILFAST"))
+    if columns is not None:
+        known = {f.name: f for f in schema.fields}
+        schema = T.StructType([known.get(c.lower(), T.StructField(c, T.StringType())) for c in columns])
+    reader = spark.read.schema(schema).options(**csv_options(multi_line))
     if base_path:
         reader = reader.option("basePath", base_path)
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
+def read_months_csv(spark: SparkSession, name: str, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """Monthly files aligned by column name: files with one header are scanned together, and the
+    scans are united by name; a column that a month lacks is NULL there, one that the feed does
+    not declare is dropped. Only the header lines are read on the driver."""
+    declared = [f.name for f in schemas.FEEDS[name][0].fields]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = tuple(spark.read.option("header", True).option("escape", '"').csv(path).columns)
+        by_header.setdefault(header, []).append(path)
+    frames = []
+    for header, files in by_header.items():
+        df = read_feed_csv(spark, name, files, multi_line=multi_line, columns=header)
+        present = {c.lower() for c in header}
+        frames.append(df.select(*[c for c in declared if c in present]))
+    whole = union_months(frames)
+    types = {f.name: f.dataType for f in schemas.FEEDS[name][0].fields}
+    return whole.select(*[F.col(c) if c in whole.columns else F.lit(None).cast(types[c]).alias(c) for c in declared])
+
+
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     """Fill gaps with typed defaults (text, boolean and numeric in one pass).
 
@@ -56,7 +86,7 @@ def _coerce(c: Column, source_type: str, target: str, round_numbers: bool) -> Co
             # Numeric insert into an integer column rounds half away from zero.
             c = F.round(c)
         elif source_type == "string":
-            c = c.try_cast("double")
+            c = c.try_cast("decimal(38,10)")  # keeps every digit of a bigint
             c = F.round(c) if round_numbers else c
         return c.try_cast(target)
     if target == "boolean":
@@ -97,20 +127,22 @@ def surrogate_id(df: DataFrame, base: Column, partition: Sequence[str],
                  order: Sequence[str], copies: int = 64, name: str = "id") -> DataFrame:
     """Deterministic distributed row key: ``base * copies + row_number``.
 
-    ``base`` must be an integral expression unique per ``partition`` value; the
-    row number tells apart the (few) rows sharing a natural key, ordered by
-    ``order``. More than ``copies`` rows on one key aborts the job rather than
-    emitting a duplicate id. Unlike load order or
-    ``monotonically_increasing_id``, the result does not depend on how the
-    files were split, so a re-run or a lost executor reproduces the same ids.
+    ``base`` must be an integral expression unique per ``partition`` value, or
+    NULL where it does not fit; the row number tells apart the rows sharing a
+    natural key, ordered by ``order``. Rows beyond ``copies`` and rows without
+    a base get a negative id, the hash of their natural key and number, so no
+    count or value of a key stops a load (``check_unique`` proves a loaded
+    table). Unlike load order or ``monotonically_increasing_id``, the result
+    does not depend on how the files were split, so a re-run or a lost executor
+    reproduces the same ids.
     """
     w = Window.partitionBy(*partition).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     df = df.withColumn("_copy", F.row_number().over(w))
     rn = F.col("_copy")
-    rid = base.cast("bigint") * F.lit(copies) + rn
-    guarded = F.when(rn > copies, F.raise_error(
-        F.lit(f"surrogate_id: more than {copies} rows share one natural key"))).otherwise(rid)
-    return df.withColumn(name, guarded.cast("bigint")).drop("_copy")
+    hashed = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in partition], rn)
+    beyond = -F.lit((1 << 63) - 1).bitwiseAND(hashed) - 1
+    rid = F.when(base.isNotNull() & (rn <= copies), base.cast("bigint") * F.lit(copies) + rn).otherwise(beyond)
+    return df.withColumn(name, rid.cast("bigint")).drop("_copy")
 
 
 def union_months(frames: Iterable[DataFrame]) -> DataFrame:
@@ -125,19 +157,22 @@ def project_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def load_feed(spark: SparkSession, name: str, paths: str | Sequence[str],
-              base_path: str | None = None, with_id: bool = False) -> DataFrame:
+              base_path: str | None = None, with_id: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV feed to a typed raw table: scan, fill gaps, coerce types.
 
     ``with_id`` reads a leading ``id`` column that the file already carries
     (otherwise assign one with ``surrogate_id``).
     """
-    _, types = schemas.FEEDS[name]
     keep = ["id"] if with_id else []
-    df = read_feed_csv(spark, name, paths, base_path, with_id)
+    return typed(read_feed_csv(spark, name, paths, base_path, with_id, multi_line), name, keep)
+
+
+def typed(df: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """A feed's rows with the table's types and filled gaps."""
+    _, types = schemas.FEEDS[name]
+    df = coerce_types(df, types)
     if name == "house":
-        df = fill_defaults(coerce_types(df, types), schemas.HOUSE_FILL)
-    else:
-        df = coerce_types(df, types)
+        df = fill_defaults(df, schemas.HOUSE_FILL)
     return df.select(*keep, *[c for c in types if c in df.columns])
 
 
@@ -150,7 +185,7 @@ FEED_FILES = {
 }
 LISTINGS_FOLDER = "listings"
 MONTH_SLOTS = 4096          # months since 1970 fit below this for 340 years
-MAX_LISTING_ID = 2 ** 44    # keeps listing_id * MONTH_SLOTS * 64 inside 63 bits
+MAX_LISTING_ID = 2 ** 44    # larger ids than listing_id * MONTH_SLOTS * 64 can hold are hashed
 
 
 def house_ids(df: DataFrame) -> DataFrame:
@@ -159,25 +194,23 @@ def house_ids(df: DataFrame) -> DataFrame:
     order, so a re-run or a lost task gives the same ids."""
     month = parse_date("scraped_date", "yyyy-MM-dd")
     month_index = (F.year(month) - 1970) * 12 + F.month(month) - 1
-    checked = F.when(F.col("listing_id") >= MAX_LISTING_ID,
-                     F.raise_error(F.lit("house_ids: listing_id too large for the id layout"))
-                     ).otherwise(F.col("listing_id"))
+    fits = F.when(F.col("listing_id").between(0, MAX_LISTING_ID - 1), F.col("listing_id"))
     df = df.withColumn("_month_index", F.coalesce(month_index, F.lit(MONTH_SLOTS - 1)))
-    out = surrogate_id(df, checked * MONTH_SLOTS + F.col("_month_index"),
+    out = surrogate_id(df, fits * MONTH_SLOTS + F.col("_month_index"),
                        ["listing_id", "_month_index"],
                        [c for c in schemas.HOUSE_COLUMNS if c != "listing_id"])
     return out.drop("_month_index")
 
 
-def load_feeds(spark: SparkSession, folder: str, months: Sequence[str]) -> dict[str, DataFrame]:
+def load_feeds(spark: SparkSession, folder: str, months: Sequence[str], multi_line: bool = False) -> dict[str, DataFrame]:
     """The five raw tables from a feed folder: the LGA and census files, and
     the monthly listing files ``listings/<MM_YYYY>.csv`` named in ``months``
-    (read together in one distributed scan). LGA-level rows get load-order
+    (aligned by column name; months with one header in one distributed scan). LGA-level rows get load-order
     ids (no model reads them); listing rows get ``house_ids``."""
     tables = {}
     for name, rel in FEED_FILES.items():
         df = load_feed(spark, name, f"{folder}/{rel}")
         tables[name] = df.select(F.monotonically_increasing_id().alias("id"), *df.columns)
-    house = load_feed(spark, "house", [f"{folder}/{LISTINGS_FOLDER}/{m}.csv" for m in months])
+    house = typed(read_months_csv(spark, "house", [f"{folder}/{LISTINGS_FOLDER}/{m}.csv" for m in months], multi_line), "house")
     tables["house"] = house_ids(house).select("id", *schemas.HOUSE_COLUMNS)
     return tables

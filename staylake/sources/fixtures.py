@@ -96,7 +96,7 @@ def house_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     rows = surrogate_id(
         rows,
-        base=F.col("l_orderkey") * LINE_SLOTS + F.col("l_linenumber"),
+        base=F.when(F.col("l_linenumber").between(0, LINE_SLOTS - 1), F.col("l_orderkey") * LINE_SLOTS + F.col("l_linenumber")),
         partition=["l_orderkey", "l_linenumber"],
         order=LINEITEM_ORDER, copies=COPY_SLOTS)
     rows = (rows.join(cust, F.col("o_custkey") == F.col("c_custkey"))

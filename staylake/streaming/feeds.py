@@ -1,13 +1,17 @@
 """Incremental ingestion of the monthly listings feed.
 
 New feed files dropped into a folder are picked up by a file-source stream.
-Every micro-batch is (1) loaded like a batch feed (typed, gaps filled),
-(2) written into the raw table partitioned by scrape month with dynamic
-overwrite, so a retried batch replaces its months instead of duplicating
-them, and (3) merged into the type-2 history, written as a new version
-folder ``version=<batch id>``. A retried batch rewrites the same version from
-the same previous version, so the result is the same after a lost executor
-or a restarted query; readers take the newest committed version.
+Every micro-batch is (1) read with the options of the batch loader (checked
+headers, doubled quotes, malformed rows fail), typed and filled; (2) written
+into the raw table under ``scrape_month=../batch_id=..``, so that files of one
+month that arrive in several batches add up while a repeated batch replaces
+only its own rows; (3) merged into the type-2 history with all versions it
+holds. Versions closed by a batch are written once, to ``closed/batch=..``; the
+open ones are rewritten, to ``open/version=..``; a row in ``commits`` written
+last publishes both. A repeated batch starts from the version before it, so
+the result is the same after a lost executor or a restarted query, and does
+not depend on how the files are dealt over batches as long as each listing's
+rows arrive in time order.
 
 ``trigger(availableNow=True)`` processes everything new and stops (the
 scheduled monthly run); the stream checkpoint remembers which files were
@@ -16,8 +20,6 @@ done, so the next run only reads files that arrived since.
 
 from __future__ import annotations
 
-import os
-import re
 from typing import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -26,59 +28,61 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylake.functions.dates import SCRAPED_DATE_FORMAT, parse_date
-from staylake.operators.history import scd2_bulk, scd2_merge
+from staylake.operators.history import current_rows, scd2_bulk, scd2_parts
 from staylake.sources import schemas
-from staylake.sources.feeds import coerce_types, fill_defaults
+from staylake.sources.feeds import coerce_types, csv_options, fill_defaults
 from staylake.sources.sinks import write_table
 
-_VERSION = re.compile(r"version=(\d+)")
+def _last_commit(spark: SparkSession, history_path: str, before: int | None) -> tuple[int, str] | None:
+    try:
+        commits = spark.read.schema("batch bigint, columns string").parquet(f"{history_path}/commits")
+        if before is not None:
+            commits = commits.filter(F.col("batch") < before)
+        row = commits.orderBy(F.col("batch").desc()).first()
+    except AnalysisException:  # nothing committed yet (path not found)
+        return None
+    return (row["batch"], row["columns"]) if row else None
 
 
 def latest_history(spark: SparkSession, history_path: str, before: int | None = None) -> DataFrame | None:
-    """The newest committed history version (optionally older than ``before``)."""
-    try:
-        files = spark.read.parquet(history_path).inputFiles()
-    except AnalysisException:  # no version written yet (path not found)
-        return None
-    versions = sorted({int(m.group(1)) for f in files for m in [_VERSION.search(f)] if m})
-    if before is not None:
-        versions = [v for v in versions if v < before]
-    if not versions:
+    """The newest committed history (optionally as of before a batch)."""
+    last = _last_commit(spark, history_path, before)
+    if last is None:
         return None
-    return (spark.read.parquet(history_path)
-            .filter(F.col("version") == versions[-1]).drop("version"))
+    version, columns = last
+    open_ = spark.read.schema(columns).parquet(f"{history_path}/open/version={version}")
+    closed = spark.read.schema(columns + ", batch bigint").parquet(f"{history_path}/closed").filter(F.col("batch") <= version).drop("batch")
+    return closed.unionByName(open_)
 
 
 def ingest_feed(spark: SparkSession, feed_glob: str, raw_path: str, history_path: str,
                 checkpoint: str, key: str = "listing_id", updated_at: str = "scraped_date",
                 history_columns: Sequence[str] = ("id", "listing_id", "scraped_date", "listing_neighbourhood"),
                 order_by: Callable[[Column], Column] | None = None,
-                files_per_batch: int = 1, with_id: bool = True) -> None:
+                files_per_batch: int = 1, with_id: bool = True, multi_line: bool = False) -> None:
     """Run the ingestion stream until all current files are processed."""
     order_by = order_by or (lambda c: parse_date(c, SCRAPED_DATE_FORMAT))
     schema = schemas.HOUSE_FEED
     if with_id:
         schema = T.StructType([T.StructField("id", T.LongType())] + schema.fields)
-    stream = (spark.readStream.schema(schema)
-              .option("header", True)
+    stream = (spark.readStream.schema(schema).options(**csv_options(multi_line))
               .option("maxFilesPerTrigger", files_per_batch)
               .csv(feed_glob))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         loaded = fill_defaults(coerce_types(batch, schemas.HOUSE_TYPES), schemas.HOUSE_FILL)
-        loaded = loaded.withColumn("scrape_month", F.substring(updated_at, 1, 7))
-        write_table(loaded, raw_path, partition_by=["scrape_month"])
+        loaded = loaded.withColumns({"scrape_month": F.substring(updated_at, 1, 7), "batch_id": F.lit(batch_id)})
+        write_table(loaded, raw_path, partition_by=["scrape_month", "batch_id"])
         incoming = loaded.select(*history_columns)
         previous = latest_history(spark, history_path, before=batch_id)
         if previous is None:
-            # first load: one version per key (the batch's latest row), as a
-            # merge into an empty history would give
-            merged = scd2_merge(
-                scd2_bulk(incoming.limit(0), key, updated_at, unique_key=True),
-                incoming, key, updated_at, order_by)
-        else:
-            merged = scd2_merge(previous, incoming, key, updated_at, order_by)
-        merged.write.mode("overwrite").parquet(os.path.join(history_path, f"version={batch_id}"))
+            previous = scd2_bulk(incoming.limit(0), key, updated_at, unique_key=True)
+        _, line = scd2_parts(previous, incoming, key, updated_at, order_by)
+        line.filter(F.col("valid_to").isNotNull()).write.mode("overwrite").parquet(f"{history_path}/closed/batch={batch_id}")
+        current_rows(line).write.mode("overwrite").parquet(f"{history_path}/open/version={batch_id}")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in line.schema)
+        (spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"), F.lit(columns).alias("columns"))
+         .write.mode("overwrite").parquet(f"{history_path}/commits/run={batch_id}"))
 
     query = (stream.writeStream.foreachBatch(process)
              .option("checkpointLocation", checkpoint)
