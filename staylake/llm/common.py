@@ -37,5 +37,5 @@ def whole_text(text: str = "text") -> Column:
 
 
 def node_id(id_col: str, text: str = "text") -> Column:
-    """The document's integer id; a row without one is identified by its text."""
-    return F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(whole_text(text)))
+    """The document's integer id; a row without one gets a number above 2**62 from its text."""
+    return F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(whole_text(text)).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62))

@@ -63,7 +63,8 @@ def anchored(w: words.Words, window: int, anchor: int) -> tuple[np.ndarray, np.n
     while have < need:  # minima over `have` runs from each word, grown by as much as fits
         step = min(have, need - have)
         right, right_place = np.full(n, TOP), np.arange(n)
-        right[:n - step], right_place[:n - step] = low[step:], place[step:]
+        rest = max(0, n - step)
+        right[:rest], right_place[:rest] = low[n - rest:], place[n - rest:]
         less = right < low
         low, place = np.where(less, right, low), np.where(less, right_place, place)
         have += step
@@ -181,12 +182,10 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _scan(key, docs: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
-    if docs.empty or passages.empty:
-        return pd.DataFrame({"node": np.zeros(0, np.int64), "version": np.zeros(0, np.int64), "spans": []})
     found = locate(docs.text.tolist(), passages.passage.tolist())
-    hit = [i for i, s in enumerate(found) if s]
-    return pd.DataFrame({"node": docs.node.to_numpy()[hit], "version": docs.version.to_numpy()[hit],
-                         "spans": [[x for s in found[i] for x in s] for i in hit]})
+    hit = np.array([i for i, s in enumerate(found) if s], np.int64)
+    spans = pd.Series([[x for s in found[i] for x in s] for i in hit], dtype=object)  # empty too
+    return pd.DataFrame({"node": docs.node.to_numpy()[hit], "version": docs.version.to_numpy()[hit], "spans": spans})
 
 
 def _cut(batches):

@@ -123,7 +123,7 @@ def learn_lexicon(sample: DataFrame, least_documents: int, least_lift: float, si
                                                for k in STEMS]))
     counts = (sample.select("toxic", F.explode(terms).alias("term")).groupBy("term")
               .agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter(F.col("t") >= least_documents))
-    lift = ((F.col("t") + 0.5) / (n.get(1, 0) + 1)) / ((F.col("c") + 0.5) / (n.get(0, 0) + 1))
+    lift = ((F.col("t") + 0.5) / (n.get(1, 0) + 1)) / ((F.col("c") + 2) / (n.get(0, 0) + 4))
     best = counts.withColumn("lift", lift).filter(F.col("lift") >= least_lift).orderBy((F.col("t") * F.log("lift")).desc(), "term").limit(size)
     return sorted(r["term"] for r in best.select("term").collect())  # at most ``size`` terms
 
