@@ -28,11 +28,11 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
                                date_col: str = "scraped_date", median: str = "exact") -> DataFrame:
     """One row per (keys, month label) with the additive parts of every KPI.
 
-    The distinct host count is its own aggregate, joined back on the group
-    keys: folded into the main aggregate, Spark would compute every other
-    aggregate (median buffers included) at (keys, month, host) grain and
-    shuffle those. Both sides are partial-aggregated and hash-partitioned on
-    the same keys, so the join adds no exchange. The exact median keeps a
+    The distinct host count is its own aggregate: folded into the main one,
+    Spark would compute every other aggregate (median buffers included) at
+    (keys, month, host) grain and shuffle those. The two small results, one row
+    per group each, are put together by a union and one more aggregate, where
+    NULL keys meet without a null-safe join. The exact median keeps a
     price -> count map per group, bounded by the number of distinct prices;
     ``median="approx"`` uses a fixed-size sketch instead (an actual price
     within about 0.1% of rank, not the interpolated median) for groups
@@ -69,10 +69,11 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
         F.sum(revenue_or_zero).alias("sum_revenue_or_zero"),
         F.count(revenue_or_zero).alias("n_revenue_or_zero"),
     )
-    hosts = distinct_count(base, group, "host_id", "distinct_host").alias("h")
-    cond = [F.col(f"m.{k}").eqNullSafe(F.col(f"h.{k}")) for k in group]
-    return (main.alias("m").join(hosts, cond, "left")
-            .select("m.*", F.coalesce(F.col("h.distinct_host"), F.lit(0).cast("bigint")).alias("distinct_host")))
+    hosts = distinct_count(base, group, "host_id", "distinct_host")
+    figures = [c for c in main.columns if c not in group]
+    both = main.unionByName(hosts, allowMissingColumns=True)  # at most one value of a figure per group
+    return both.groupBy(*group).agg(*[F.max(c).alias(c) for c in figures],
+                                    F.coalesce(F.max("distinct_host"), F.lit(0).cast("bigint")).alias("distinct_host"))
 
 
 def distinct_count(df: DataFrame, group: Sequence[str], col: str, out: str) -> DataFrame:

@@ -76,11 +76,19 @@ def with_total_rows(df: DataFrame) -> DataFrame:
 
 def room_revenue_stays(wh: Warehouse) -> DataFrame:
     """Revenue and stays per (neighbourhood, property, room, accommodates)
-    over the listing fact (whose LGA fan-out is kept)."""
-    fl = wh.fact_listing()
-    return (fl.groupBy("listing_neighbourhood", *ROOM_KIND)
+    over the listing fact, whose LGA fan-out is kept: the sums are taken before
+    the lookup and multiplied by the number of LGAs of the suburb (left join:
+    a neighbourhood without one counts once)."""
+    rows = wh.rows(host=True, listing=True, property=True)
+    sums = (rows.groupBy("listing_neighbourhood", *ROOM_KIND)
             .agg(F.sum(estimated_revenue()).alias("estimate_revenue"),
                  F.sum(estimated_nights()).alias("stays")))
+    fan = (wh.lga_lookup().filter(F.col("suburb_name").isNotNull())
+           .groupBy(fold(F.col("suburb_name")).alias("suburb")).agg(F.count("*").alias("n_lga")))
+    times = F.coalesce("n_lga", F.lit(1).cast("bigint"))
+    return (fold_join(sums, fan, "listing_neighbourhood", "suburb", "left")
+            .select("listing_neighbourhood", *ROOM_KIND,
+                    *[(F.col(c) * times).alias(c) for c in ("estimate_revenue", "stays")]))
 
 
 def top_neighbourhoods(rooms: DataFrame, k: int = TOP_NEIGHBOURHOODS) -> DataFrame:
@@ -95,22 +103,24 @@ def best_room_per_neighbourhood(rooms: DataFrame) -> DataFrame:
                            ("room_type", False), ("accommodates", False)])
 
 
-def q2_best_type(wh: Warehouse) -> DataFrame:
+def q2_best_type(wh: Warehouse, sort: bool = False) -> DataFrame:
     """In the five top-revenue neighbourhoods, the (property, room,
     accommodates) with the most stays.
 
-    One aggregate of the listing fact feeds one window per neighbourhood that
+    One aggregate of the listings feeds one window per neighbourhood that
     carries both the neighbourhood's total revenue and the best room kind;
-    the top five of those rows are kept. The fact is scanned once, with no
+    the top five of those rows are kept. The listings are scanned once, with no
     join back. A NULL neighbourhood still takes a top-five place but is not
-    reported (the original joins the top five back on the name).
+    reported (the original joins the top five back on the name). ``sort`` puts
+    the most stays first, as the question does.
     """
     rooms = room_revenue_stays(wh).withColumn(
         "nb_revenue", F.sum("estimate_revenue").over(Window.partitionBy("listing_neighbourhood")))
     top = top_k(best_room_per_neighbourhood(rooms), TOP_NEIGHBOURHOODS,
                 [("nb_revenue", True), ("listing_neighbourhood", False)])
-    return (top.filter(F.col("listing_neighbourhood").isNotNull())
-            .select("listing_neighbourhood", *ROOM_KIND, "stays"))
+    out = (top.filter(F.col("listing_neighbourhood").isNotNull())
+           .select("listing_neighbourhood", *ROOM_KIND, "stays"))
+    return out.orderBy(F.col("stays").desc_nulls_last(), "listing_neighbourhood") if sort else out
 
 
 def host_room_types(wh: Warehouse) -> DataFrame:

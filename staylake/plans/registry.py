@@ -86,8 +86,8 @@ _wh_query("dm_listing_neighbourhood", lambda wh: marts.dm_listing_neighbourhood(
 _wh_query("dm_listing_neighbourhood_time", lambda wh: marts.dm_listing_neighbourhood(wh, order="time"))
 _wh_query("dm_property_type", marts.dm_property_type)
 _wh_query("q1_best_worst", questions.q1_best_worst)
-_wh_query("q2_best_type", questions.q2_best_type)
-_wh_query("q3_local_rate", questions.q3_local_rate)
+_wh_query("q2_best_type", lambda wh: questions.q2_best_type(wh, sort=True))
+_wh_query("q3_local_rate", lambda wh: questions.q3_local_rate(wh, sort=True))
 _wh_query("q4_mortgage_cover", questions.q4_mortgage_cover)
 
 # ---- building blocks of the questions -------------------------------------
