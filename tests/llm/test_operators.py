@@ -183,6 +183,53 @@ def test_licenses(spark):
     assert licenses.scan(docs).count() == len(rows) and licenses.scan(docs.limit(0)).count() == 0
 
 
+def _brute_licences(rows, least=0.7):
+    from collections import Counter
+    from math import log, sqrt
+    split = licenses._words
+    df = Counter(t for _, x in rows for t in set(split(x)))
+    idf = lambda t: 1 + log((1 + len(rows)) / (1 + df[t]))
+    vector = lambda x: {t: n * idf(t) for t, n in Counter(x).items()}
+    out = {}
+    for i, text in rows:
+        best = {}
+        for k, (lic, notice) in enumerate(licenses.TEMPLATES):
+            b, x = vector(split(notice)), split(text)
+            size = len(split(notice))
+            units = [split(y) for y in re.split("\r\n|\r|\n", text)] + [x[j:j + size] for j in range(max(0, len(x) - size) + 1)]
+            for u in units:
+                a = vector(u)
+                if a:
+                    score = round(sum(v * b.get(t, 0) for t, v in a.items()) / sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values())), 6)
+                    if score >= least:
+                        f = best.setdefault(lic.split("-")[0], [(0,), (0,)])
+                        f[0] = max(f[0], (score, -k, lic))
+                        if notice not in licenses.SHARED:
+                            f[1] = max(f[1], (score, -k, lic))
+        top = max(((*a[:2], (b if len(b) > 1 else a)[2]) for a, b in best.values()), default=(None, None, None))
+        out[i] = (top[2], top[0])
+    return out
+
+
+def test_license_windows(spark):
+    import random
+    rnd = random.Random(6)
+    gpl = "This program is free software: you can redistribute it and/or modify it\nunder the terms of the GNU {}General Public License as published by\nthe Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    notices = [("MIT", "All code here is released under the MIT License."), ("MIT", "Copyright 2024 Jane Doe. Released under the MIT License."),
+               ("MIT", "Released under the MIT License, see the LICENSE file for details."), ("Apache-2.0", "Copyright 2020 Google Inc. Licensed under the\n# Apache License,\n# Version 2.0 (the License);"),
+               ("GPL-2.0", gpl.format("", "2")), ("GPL-3.0", gpl.format("", "3")), ("AGPL-3.0", gpl.format("Affero ", "3")), ("LGPL-2.1", gpl.format("Lesser ", "2.1")),
+               ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991\n Copyright (C) 1989, 1991"), ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007"),
+               ("BSD-2-Clause", licenses.BSD[0] + licenses.BSD[2]), ("BSD-3-Clause", "\n".join(licenses.BSD)), ("MIT", licenses.MIT.replace("person", "one"))]
+    rows = [(i, sentence(rnd, 30) + "\n" + x + " " + sentence(rnd, 20)) for i, (_, x) in enumerate(notices)]
+    rows += [(100 + i, sentence(rnd, 60) + "\nthe use of this version without the software and a license") for i in range(30)] + [(200, "MIT License"), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("path", F.lit("x.txt"))
+    got = {r.id: (r.own, r.score) for r in licenses.scan(docs).collect()}
+    assert {i: got[i][0] for i in range(len(notices))} == {i: x for i, (x, _) in enumerate(notices)} and got[100][0] is None
+    brute = _brute_licences(rows)
+    assert {i: x for i, (x, _) in got.items()} == {i: x for i, (x, _) in brute.items()}
+    assert all(abs((s or 0) - (brute[i][1] or 0)) < 2e-6 for i, (_, s) in got.items())
+
+
 # ---- 7 ----------------------------------------------------------------------
 def test_toxicity(spark):
     sf = "/root/testdata/sf0.01"
