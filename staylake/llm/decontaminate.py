@@ -1,18 +1,19 @@
-"""Benchmark decontamination by spaced-seed hashing.
-
-Texts become lower-case tokens (runs of letters and digits). A seed is a fixed
-mask over ``SPAN`` consecutive tokens: four pairs of adjacent tokens are hashed,
-the tokens between them are ignored, so a substituted token spoils only the
-masks that look at it. Hashes of all benchmark seeds meet those of all
-positions of all documents; a hit names an alignment (document position minus
-item position). All masks share their first and last pair, so positions whose
-pairs occur nowhere in the benchmark are passed over before hashing (while the
-benchmark has at most ``KNOWN_PAIRS`` pairs; the result is the same without).
+"""Benchmark decontamination by hashed token runs.
+
+Texts become lower-case tokens (runs of letters and digits). An alignment
+(document position minus item position) is accepted if a stretch of s tokens
+agrees in all but m of them; the m others cut the stretch into m + 1 runs, so one
+run of ceil((s - m) / (m + 1)) tokens at least agrees (4 of 20; see ``run_length``).
+Hashes of all runs of that length of the benchmark meet those of all positions
+of all documents, so that no accepted alignment lacks a hit. Positions whose
+first or last pair of tokens occurs nowhere in the benchmark are passed over
+before hashing (while the benchmark has at most ``KNOWN_PAIRS`` pairs; the result
+is the same without).
 
 Each alignment is then verified token by token: it counts if some stretch of
 ``min(window, item length)`` aligned tokens agrees in ``share`` of them.
-Substitutions are tolerated, insertions start a new alignment. Items shorter
-than the span are hashed whole, over as many tokens as they have.
+Substitutions are tolerated, insertions start a new alignment. Items under five
+tokens (at 80 %) must agree whole.
 
 The benchmark's seeds are broadcast only when counted to be at most
 ``BROADCAST_SEEDS``; beyond that both sides are shuffled by hash. Only DataFrame
@@ -26,13 +27,13 @@ ignored, empty tables give an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylake.llm.common import node_id, saved, whole_text
 
-SPAN = 12
-PAIRS = ((0, 3, 6, 10), (0, 2, 7, 10), (0, 4, 8, 10))  # 110110110011, 111100011011, 110011001111
 KNOWN_PAIRS = 50_000
 WINDOW, SHARE = 20, 0.8
 BROADCAST_SEEDS = 1_000_000
@@ -49,24 +50,25 @@ def _coded(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("p", F.when(F.size("h") > 1, pairs).otherwise(F.array().cast("array<bigint>")))
 
 
-def _none() -> Column:
-    return F.array().cast("array<int>")
+def run_length(stretch: int, share: float = SHARE) -> int:
+    """The tokens in a row that agree at least, if ``share`` of ``stretch`` tokens do."""
+    matched = math.ceil(stretch * share)
+    return max(1, -(-matched // (stretch - matched + 1)))
 
 
-def _seeds(df: DataFrame, keep: list[str], position: str, lengths: list[int], known: str | None) -> DataFrame:
-    """One row per mask and position: ``keep``, ``position``, ``seed``. ``known``: list of the pair
-    hashes that can begin or end a seed. ``lengths``: also runs of so many tokens."""
-    n = F.size("h")
-    begin = F.when(n >= SPAN, F.sequence(F.lit(0), n - SPAN)).otherwise(_none())
-    df = df.withColumn("begin", begin)
+def _seeds(df: DataFrame, keep: list[str], position: str, runs: list[int], known: str | None) -> DataFrame:
+    """One row per position and length of ``runs``: ``keep``, ``position``, ``seed``. ``known``: list of
+    the pair hashes that can begin or end a seed."""
     if known is not None:
-        df = df.withColumn("begin", F.expr(f"filter(begin, i -> p[i] IN ({known}) AND p[i + {SPAN - 2}] IN ({known}))"))
-    def seeds(places: Column, number: int, source: str, steps) -> Column:
-        return F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(number), *[F.get(source, i + o) for o in steps]).alias("seed")))
-
-    at = [seeds(F.col("begin"), k, "p", mask) for k, mask in enumerate(PAIRS)]
-    for m in lengths:
-        at.append(seeds(F.when(n >= m, F.sequence(F.lit(0), n - m)).otherwise(_none()), 100 + m, "h", range(m)))
+        df = df.withColumn("k", F.expr(f"transform(p, x -> x IN ({known}))"))
+    at = []
+    for m in runs:
+        places = F.when(F.size("h") >= m, F.sequence(F.lit(0), F.size("h") - m)).otherwise(F.array().cast("array<int>"))
+        if known is not None and m > 1:
+            places = F.filter(places, lambda i: F.get("k", i) & F.get("k", i + m - 2))
+        at.append(F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(m), *[F.get("h", i + o) for o in range(m)]).alias("seed"))))
+    if not at:
+        at.append(F.array().cast("array<struct<at:int,seed:bigint>>"))
     return df.select(*keep, F.explode(F.concat(*at)).alias("s")).select(*keep, F.col("s.at").alias(position), "s.seed")
 
 
@@ -76,11 +78,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     token of the document), ``aligned`` and ``matched`` tokens of the best alignment."""
     items = saved(_coded(benchmark.select(F.col(item_col).alias("item"), whole_text(item_text).alias("text")).distinct())
                   .filter(F.size("h") > 0).withColumn("key", F.xxhash64("h", "item")).drop("text"), "benchmark")
-    short = sorted(r[0] for r in items.filter(F.size("h") < SPAN).select(F.size("h")).distinct().collect())  # under SPAN numbers
-    own = _seeds(items.filter(F.size("h") >= SPAN), ["key"], "item_at", [], None)
-    for m in short:
-        whole = _seeds(items.filter(F.size("h") == m), ["key"], "item_at", [m], None)
-        own = own.unionByName(whole)
+    needs = F.get(F.array(*[F.lit(run_length(n, share)) for n in range(1, window + 1)]), F.least(F.size("h"), F.lit(window)) - 1)
+    sized = items.select("key", "h", F.size("h").alias("size"), needs.alias("run"))
+    runs = sorted(r[0] for r in sized.select("run").distinct().collect())  # at most ``window`` numbers
+    own = _seeds(sized.limit(0), ["key", "size"], "item_at", [], None)
+    for m in runs:
+        own = own.unionByName(_seeds(sized.filter(F.col("run") == m), ["key", "size"], "item_at", [m], None))
     own = saved(own, "benchmark-seeds")
     if own.count() <= BROADCAST_SEEDS:
         own = F.broadcast(own)
@@ -88,17 +91,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     known = None if len(pairs) > KNOWN_PAIRS else ", ".join(f"{x}L" for x in pairs if x != -(1 << 63)) or "0L"
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), node_id(id_col, text).alias("node"), whole_text(text).alias("text"))
-    hits = (_seeds(_coded(rows.select("node", "text")), ["node"], "doc_at", short, known).join(own, "seed")
-            .select("node", "key", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct())
-    hits = saved(hits.groupBy("node").agg(F.collect_list(F.struct("key", "diagonal")).alias("hits")), "seed-hits")
-
-    # a document's alignments, its hashes and the items' hashes side by side
-    met = _coded(rows.join(hits, "node").select("id", "node", "text", "hits")).select("id", "node", F.col("h").alias("doc"), F.explode("hits").alias("hit"))
-    aligned = (met.select("id", "node", "doc", "hit.key", "hit.diagonal").join(items.select("key", "item", F.col("h").alias("own")), "key")
-               .withColumn("first", F.greatest(F.lit(0), -F.col("diagonal")))
-               .withColumn("last", F.least(F.size("own"), F.size("doc") - F.col("diagonal"))).filter("last > first")
+    hits = (_seeds(_coded(rows.select("node", "text")), ["node"], "doc_at", runs, known).join(own, "seed")
+            .select("node", "key", "size", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct())
+    hits = saved(hits.groupBy("node").agg(F.collect_list(F.struct("key", "size", "diagonal")).alias("hits")), "seed-hits")
+
+    # the aligned part of a document and the item's hashes side by side
+    def part(x: Column) -> Column:
+        first, last = F.greatest(F.lit(0), -x["diagonal"]), F.least(x["size"], F.size("h") - x["diagonal"])
+        said = F.slice("h", first + x["diagonal"] + 1, F.greatest(F.lit(0), last - first))
+        return F.struct(x["key"].alias("key"), x["diagonal"].alias("diagonal"), first.alias("first"), last.alias("last"), said.alias("doc"))
+
+    met = _coded(rows.join(hits, "node").select("id", "node", "text", "hits")).select("id", "node", F.explode(F.transform("hits", part)).alias("hit"))
+    aligned = (met.select("id", "node", "hit.*").join(items.select("key", "item", F.col("h").alias("own")), "key").filter("last > first")
                .withColumn("same", F.transform(F.sequence(F.col("first"), F.col("last") - 1), lambda i: (
-                   F.get("own", i) == F.get("doc", i + F.col("diagonal"))).cast("int"))))
+                   F.get("own", i) == F.get("doc", i - F.col("first"))).cast("int"))))
     stretch = F.least(F.size("own"), F.lit(window))
     ones = lambda i: F.aggregate(F.slice("same", i, stretch), F.lit(0), lambda a, x: a + x)
     begins = F.when(F.size("same") >= stretch, F.sequence(F.lit(1), F.size("same") - stretch + 1)).otherwise(F.array().cast("array<int>"))

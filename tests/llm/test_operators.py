@@ -56,6 +56,36 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(d.limit(0), b).count() == 0 and decontaminate.overlaps(d, b.limit(0)).count() == 0
 
 
+def test_every_accepted_pattern_has_a_seed():
+    from itertools import combinations
+    for size in range(1, 21):
+        m, run = size - -(-size * 8 // 10), decontaminate.run_length(size)
+        for spoiled in combinations(range(size), m):  # fewer spoiled tokens leave longer runs
+            ends = [-1, *spoiled, size]
+            assert max(y - x - 1 for x, y in zip(ends, ends[1:])) >= run
+
+
+def test_decontamination_spread_substitutions(spark):
+    import random
+    rnd = random.Random(4)
+    items, docs = [], []
+    for n in [*range(1, 25), 40]:
+        items.append((n, sentence(rnd, n, 10 ** 6)))
+        size = min(20, n)
+        m = size - -(-size * 8 // 10)
+        for extra in (0, 1):  # as many as are accepted, spread evenly, and one more
+            w = items[-1][1].split(" ")
+            if m + extra:
+                for j in range(m + extra):
+                    w[min(n - 1, (2 * j + 1) * size // (2 * (m + extra)))] = "other"
+            if n == 40:
+                w[20:] = ["other"] * 20
+            docs.append((100 * n + extra, sentence(rnd, 9) + " " + " ".join(w) + " " + sentence(rnd, 9)))
+    found = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {(r.id, r.item) for r in found.collect()}
+    assert got == _brute_overlaps(docs, items) and {(100 * n, n) for n, _ in items} <= got
+
+
 # ---- 2 ----------------------------------------------------------------------
 def _brute_repeats(texts, k=35):
     docs = [WORDS(t or "") for t in texts]
