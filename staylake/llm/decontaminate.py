@@ -12,8 +12,9 @@ is the same without).
 
 Each alignment is then verified token by token: it counts if some stretch of
 ``min(window, item length)`` aligned tokens agrees in ``share`` of them.
-Substitutions are tolerated, insertions start a new alignment. Items under five
-tokens (at 80 %) must agree whole.
+Substitutions are tolerated. Alignments are never added up: an inserted or dropped
+token ends one, and the item is lost if no side of it is accepted by itself.
+Items under five tokens (at 80 %) must agree whole.
 
 The benchmark's seeds are broadcast only when counted to be at most
 ``BROADCAST_SEEDS``; beyond that both sides are shuffled by hash. Only DataFrame
