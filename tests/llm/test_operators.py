@@ -320,6 +320,19 @@ def test_near_duplicates_edges(spark):
     assert near_dup.near_duplicates(no_docs(spark)).count() == 0
 
 
+def test_near_duplicates_of_few_words(spark):
+    """3 of 4 shingles, two shared buckets, but 55 of 128 bins; and small sets without any common bin."""
+    import numpy as np
+    import pandas as pd
+    text = "w349724 w69932 w557383 w221045 w473402 w982413 w80122 w743495"
+    docs = spark.createDataFrame([(1, text), (2, text.rsplit(" ", 1)[0]), (3, "other words")], "doc_id bigint, text string")
+    assert {r.id: r.component_id for r in near_dup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    sets = [[1, 2, 3, 4], [1, 2, 4], [1, 2], [4, 5, 6]]
+    block = pd.DataFrame({"side": 1, "node": range(4), "label": range(4), "sig": [bytes([i] * 128) for i in range(4)],
+                          "shingles": [np.array(x, np.uint64).tobytes() for x in sets]})
+    assert near_dup._cross(near_dup.CROSS_AGREE, 75)(block).values.tolist() == [[0, 1]]
+
+
 # ---- 9 ----------------------------------------------------------------------
 def test_url_rules(spark):
     rules = [*queries.URL_RULES, ("block", "com", "/x"), ("allow", "", "")]
