@@ -74,9 +74,9 @@ def _sketch(k: int, bins: int, rows: int):
             keys = minhash.band_keys(sig, rows).view(np.int64)
             keys = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(size.astype(np.int64)), pa.array(_digest(doc, h, n, 1)), pa.array(_digest(doc, h, n, 2)),
+                [part.column(0), part.column(2), pa.array(size.astype(np.int64)), pa.array(_digest(doc, h, n, 1)), pa.array(_digest(doc, h, n, 2)),
                  keys, _fixed_binary((sig & np.uint64(255)).astype(np.uint8))],
-                names=["node", "n_shingles", "hi", "lo", "bands", "sig"])
+                names=["node", "said", "n_shingles", "hi", "lo", "bands", "sig"])
     return run
 
 
@@ -189,23 +189,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     marks the document that has it.
     """
     ship("staylake.llm.words", "staylake.llm.minhash", "staylake.llm.near_dup")
-    rows = docs.select(node_id(id_col, text).alias("node"), whole_text(text).alias("text"))
+    rows = docs.select(node_id(id_col, text).alias("node"), whole_text(text).alias("text")).withColumn("said", F.xxhash64("text"))
     sketch = saved(rows.mapInArrow(_sketch(SHINGLE, BINS, BAND_ROWS),
-                                   "node bigint, n_shingles bigint, hi bigint, lo bigint, bands array<bigint>, sig binary"), "sketch")
+                                   "node bigint, said bigint, n_shingles bigint, hi bigint, lo bigint, bands array<bigint>, sig binary"), "sketch")
     same = ["n_shingles", "hi", "lo"]
     full = sketch.filter("n_shingles > 0")
-    # one class per distinct set; rows of one id with different texts are tied together by extra links
-    classes = saved(full.groupBy(*same).agg(F.min("node").alias("class")), "classes")
-    member = full.select("node", *same).join(classes, same).select("node", "class")
-    ties = member.groupBy("node").agg(F.min("class").alias("u"), F.max("class").alias("v")).filter("u < v").select("u", "v")
-    reps = full.join(classes, same).filter("node = class").select("node", "n_shingles", "bands", "sig")
+    # one class per distinct set, named by its smallest id; where that names several sets (an id with different
+    # texts), all but one of them get a number above 2**62 from their digest
+    named = full.groupBy(*same).agg(F.min(F.struct("node", "said")).alias("first"))
+    named = saved(named.select(*same, "first.node", "first.said"), "sets-named")
+    one = named.groupBy("node").agg(F.min(F.struct(*same)).alias("one"))
+    own = F.xxhash64(*same).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    classes = saved(named.join(one, "node").withColumn("class", F.when(F.col("one") == F.struct(*same), F.col("node")).otherwise(own))
+                    .select(*same, "class", "node", "said"), "classes")
+    member = full.select("node", *same).join(classes.select(*same, "class"), same).select("node", "class")
+    # all classes of one id are tied to its smallest
+    several = member.groupBy("node").agg(F.min("class").alias("u"), F.max("class").alias("last")).filter("u < last").select("node", "u")
+    ties = member.join(several, "node").select("u", F.col("class").alias("v")).filter("u < v").distinct()
+    first = full.join(classes, [*same, "node", "said"]).dropDuplicates(["class"])
+    reps = first.select(F.col("class").alias("node"), "n_shingles", "bands", "sig")
 
     key = reps.select("node", F.explode("bands").alias("key"))
     crowded = key.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("centre")).filter("size > 1")
     buckets = saved(key.join(crowded, "key"), "buckets")
     involved = buckets.select("node").distinct()
     sigs = saved(reps.select("node", "n_shingles", "sig").join(involved, "node").dropDuplicates(["node"]), "signatures")
-    texts = saved(rows.join(involved, "node", "left_semi"), "texts")
+    met = classes.join(involved.withColumnRenamed("node", "class"), "class").select("class", "node", "said")
+    texts = saved(rows.join(met, ["node", "said"]).select(F.col("class").alias("node"), "text").dropDuplicates(["node"]), "texts")
 
     def confirmed(edges: DataFrame, label: str) -> DataFrame:
         pairs = (edges.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v")

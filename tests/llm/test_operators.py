@@ -333,6 +333,18 @@ def test_near_duplicates_of_few_words(spark):
     assert near_dup._cross(near_dup.CROSS_AGREE, 75)(block).values.tolist() == [[0, 1]]
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """The texts of one id are each other's links, whichever of them its row is found by."""
+    import random
+    rnd = random.Random(12)
+    rows = []
+    for i in range(4):
+        texts = [sentence(rnd, 60, 10 ** 6) for _ in range(4)]
+        rows += [(10 * i, t) for t in texts] + [(10 * i + 1 + k, t + " end") for k, t in enumerate(texts)] + [(10 * i + 8, sentence(rnd, 60, 10 ** 6))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows) and {(r.id, r.component_id) for r in got} == {(i, i if i % 10 == 8 else i // 10 * 10) for i, _ in rows}
+
+
 # ---- 9 ----------------------------------------------------------------------
 def test_url_rules(spark):
     rules = [*queries.URL_RULES, ("block", "com", "/x"), ("allow", "", "")]
