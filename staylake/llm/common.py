@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staylake.session import scratch_path
@@ -39,3 +39,17 @@ def whole_text(text: str = "text") -> Column:
 def node_id(id_col: str, text: str = "text") -> Column:
     """The document's integer id; a row without one gets a number above 2**62 from its text."""
     return F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(whole_text(text)).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62))
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Row numbers 0, 1, 2, .. in ``name``, in the order of ``df``'s partitions and rows.
+
+    The table is written once with each row's place, so that the numbers stay what they are;
+    only the row counts per write task are added up, one row each.
+    """
+    placed = saved(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(name, 33)
+    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return (placed.join(F.broadcast(parts), part == F.col("_part"))  # a row per write task
+            .withColumn(name, F.col("_before") + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_before"))

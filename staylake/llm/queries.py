@@ -1,11 +1,12 @@
-"""Registered queries of the ten operators, and their SQL where SQL can express them."""
+"""Registered queries of the thirteen operators, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.llm import chat, common, decontaminate, exact_dedup, licenses, near_dup, packing, records, repeats, toxicity, url_rules
+from staylake.llm import (chat, common, decontaminate, exact_dedup, hard_negatives, licenses, mixing, near_dup, packing, ranked, records,
+                          repeats, toxicity, url_rules)
 from staylake.session import scratch_path
 
 # ---- fixed values: the rule set of the URL query ----------------------------
@@ -143,5 +144,120 @@ SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(s.role || chr(10) || s.
   (any_value(c.chars) + coalesce(any_value(h.chars), 0))::BIGINT AS formatted_chars
 FROM sized s JOIN chars c USING (conv_id) LEFT JOIN hist h USING (conv_id) GROUP BY s.conv_id"""
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_exact_dedup, op4_best_fit_packing, op5_token_records, op6_license_scan, op7_toxicity, op8_minhash_near_dedup, op9_url_filter, op10_chat_format)}
-SQL = {"op3_exact_dedup": OP3_SQL, "op9_url_filter": OP9_SQL, "op10_chat_format": OP10_SQL}
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = mixing.mix(common.table(spark, sf_dir, "documents"), with_text=False)
+    return dealt.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('mix' || chr(31) || coalesce(doc_id::VARCHAR, '') || chr(31) || t), 1, 15))::BIGINT AS draw FROM docs),
+sources AS (
+  SELECT source, sum(size)::HUGEINT AS words, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM sized GROUP BY source),
+filled AS (  -- sources in the order in which they reach their cap, and the water level if those before are clamped
+  SELECT *, 3 * words AS cap, sum(words) OVER () - coalesce(sum(3 * words) OVER before, 0) AS level,
+    sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weights, row_number() OVER rising AS nth
+  FROM sources WINDOW rising AS (ORDER BY words / weight, source NULLS LAST), before AS (ORDER BY words / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+fixed AS (SELECT level, weights, nth FROM filled WHERE cap * weights >= level * weight ORDER BY nth LIMIT 1),
+targets AS (
+  SELECT s.source, s.words, s.nth < f.nth AS above,
+    CASE WHEN s.nth < f.nth THEN s.cap::DOUBLE ELSE f.level::DOUBLE * s.weight / f.weights::DOUBLE END AS target,
+    CASE WHEN s.nth < f.nth THEN 3 WHEN s.words = 0 THEN 0 ELSE f.level * s.weight // (f.weights * s.words) END AS whole,
+    f.level * s.weight AS asked, f.weights AS unit FROM filled s, fixed f),
+needs AS (
+  SELECT *, CASE WHEN above OR words = 0 THEN 0 ELSE (2 * (asked - whole * unit * words) + unit) // (2 * unit) END AS need FROM targets),
+drawn AS (
+  SELECT d.*, n.words, n.target, n.whole, n.need, sum(size) OVER up_to AS upto,
+    row_number() OVER (PARTITION BY d.source, draw) AS copy, count(*) OVER (PARTITION BY d.source, draw) AS copies,
+    sum(size) OVER (PARTITION BY d.source, draw) AS draw_words
+  FROM sized d JOIN needs n ON d.source IS NOT DISTINCT FROM n.source WINDOW up_to AS (PARTITION BY d.source ORDER BY draw)),
+edge AS (  -- where the running sum of the draws reaches what is needed
+  SELECT source, draw AS at_draw, (need - upto + draw_words) // (draw_words // copies) AS at_copies,
+    (need - upto + draw_words) % (draw_words // copies) AS missing
+  FROM drawn WHERE need > 0 AND upto >= need AND copy = 1 QUALIFY row_number() OVER (PARTITION BY source ORDER BY draw) = 1),
+{fills}
+extra AS ({extras})
+SELECT d.doc_id, d.size, d.words::BIGINT AS source_size, d.target,
+  (d.size * (d.whole + CASE
+    WHEN d.draw = e.at_draw OR x.draw IS NOT NULL
+      THEN CASE WHEN d.copy <= CASE WHEN d.draw = e.at_draw THEN e.at_copies ELSE 0 END + CASE WHEN x.draw IS NOT NULL THEN 1 ELSE 0 END THEN 1 ELSE 0 END
+    WHEN d.draw < e.at_draw THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM drawn d LEFT JOIN edge e ON d.source IS NOT DISTINCT FROM e.source LEFT JOIN extra x ON d.source IS NOT DISTINCT FROM x.source AND d.draw = x.draw"""
+OP11_FILL = """
+free_{n} AS (
+  SELECT d.source, d.draw, d.size, l.missing FROM drawn d JOIN (
+    SELECT source, at_draw, at_copies, missing - coalesce((SELECT sum(x.size) FROM ({earlier}) x WHERE x.source IS NOT DISTINCT FROM edge.source), 0) AS missing
+    FROM edge {going}) l ON d.source IS NOT DISTINCT FROM l.source
+  WHERE (d.draw > l.at_draw OR (d.draw = l.at_draw AND l.at_copies < d.copies)) AND abs(d.size - l.missing) < l.missing
+    AND NOT EXISTS (SELECT 1 FROM ({earlier}) x WHERE x.source IS NOT DISTINCT FROM d.source AND x.draw = d.draw)),
+near_{n} AS (SELECT source, draw, abs(size - missing) AS miss FROM free_{n} QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(size - missing), draw) = 1),
+fit_{n} AS (SELECT source, draw, size FROM free_{n} WHERE size <= missing QUALIFY row_number() OVER (PARTITION BY source ORDER BY missing - size, draw) = 1),"""
+
+
+def _op11_sql() -> str:
+    """OP11_SQL with its steps of filling up, each after those before it."""
+    earlier, fills, going = "SELECT NULL AS source, NULL::BIGINT AS draw, 0 AS size WHERE false", "", ""
+    options, ends = "SELECT source, 0 AS n, missing AS miss FROM edge", []
+    for n in range(mixing.FILLS):
+        fills += OP11_FILL.format(n=n, earlier=earlier, going=going)
+        options += f" UNION ALL SELECT source, {n + 1} AS n, miss FROM near_{n}"
+        ends += [f"SELECT f.source, f.draw FROM ({earlier}) f JOIN chosen c ON f.source IS NOT DISTINCT FROM c.source AND c.n = {n + 1}",
+                 f"SELECT f.source, f.draw FROM near_{n} f JOIN chosen c ON f.source IS NOT DISTINCT FROM c.source AND c.n = {n + 1}"]
+        earlier += f" UNION ALL SELECT source, draw, size FROM fit_{n}"
+        going = f"WHERE EXISTS (SELECT 1 FROM fit_{n} x WHERE x.source IS NOT DISTINCT FROM edge.source)"
+    fills += f"\nchosen AS (SELECT source, n FROM ({options}) QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, n) = 1),"
+    return OP11_SQL.replace("{fills}", fills).replace("{extras}", " UNION ALL ".join(ends))
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"item": "item_id", "doc": "doc_id"})
+
+
+OP12_SQL = r"""
+WITH terms AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words,
+    row_number() OVER () AS nth FROM documents),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+corpus AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_words FROM terms WHERE len(words) > 0),
+damped AS (SELECT nth, 100 - 90 + (90 * len(words) * n_docs) // n_words AS m FROM terms, corpus WHERE len(words) > 0),
+tf AS (SELECT nth, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM (SELECT nth, doc_id, unnest(words) AS term FROM terms)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY nth, term),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus),
+scores AS (
+  SELECT item_id, nth, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN tf USING (term) JOIN damped USING (nth) GROUP BY item_id, nth)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) QUALIFY rank <= 10"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(common.table(spark, sf_dir, "embeddings").withColumn("label", shifted))
+
+
+OP13_SQL = """
+WITH finite AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS nth,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM finite),
+pairs AS (
+  SELECT a.nth, a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a, vectors b WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT nth, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER best AS place
+  FROM pairs WHERE label = anchor_label AND vec_id IS DISTINCT FROM anchor_id
+  WINDOW best AS (PARTITION BY nth ORDER BY score DESC, vec_id NULLS LAST) QUALIFY place <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.nth = n.nth AND n.label <> n.anchor_label AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+WINDOW best AS (PARTITION BY p.nth, p.place ORDER BY n.score DESC, n.vec_id NULLS LAST) QUALIFY rank <= 5"""
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_substring_dedup, op3_exact_dedup, op4_best_fit_packing, op5_token_records, op6_license_scan, op7_toxicity, op8_minhash_near_dedup, op9_url_filter, op10_chat_format,
+                                  op11_source_mix, op12_ranked_search, op13_hard_negatives)}
+SQL = {"op3_exact_dedup": OP3_SQL, "op9_url_filter": OP9_SQL, "op10_chat_format": OP10_SQL, "op11_source_mix": _op11_sql(),
+       "op12_ranked_search": OP12_SQL, "op13_hard_negatives": OP13_SQL}
