@@ -2,7 +2,9 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``docs`` is what
 the stage before kept, written as Parquet and read again. All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``. Nulls in any column, empty and very long
+texts, repeated rows and ids, empty tables and further columns of any name pass
+through; a stage's docstring says what it does with them. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -13,28 +15,44 @@ from pyspark.sql import functions as F
 from staylake.llm import common, decontaminate, exact_dedup, near_dup, packing, queries, toxicity
 
 
+def _held(docs: DataFrame) -> DataFrame:
+    """The rows as one struct ``row`` and numbered, written once: stages judge rows by their number, so
+    that neither repeated or missing ids nor columns named like an operator's own matter."""
+    return common.saved(docs.select(common.as_row(docs), F.monotonically_increasing_id().alias("number")), "stage-input")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null and empty texts are scored like others; repeated rows get equal scores and stay or go together."""
     labels = common.table(spark, sf_dir, "labels").filter(~toxicity.held_out())
-    scored = toxicity.fit(docs, labels).score(docs)
-    return scored.filter("predicted = 0").select(*docs.columns)
+    model = toxicity.fit(docs.select("doc_id", "text"), labels)
+    scored = model.score(docs.select(common.as_row(docs), F.col("text")))
+    return scored.filter("predicted = 0").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (null counts as empty) the row with the largest id stays."""
     return exact_dedup.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id."""
-    kept = near_dup.near_duplicates(docs).filter("kept").select(F.col("id").alias("_node")).distinct()
-    return docs.withColumn("_node", common.node_id("doc_id")).join(kept, "_node", "left_semi").select(*docs.columns)
+    """One document of each group stays: the one with the smallest id (null last, then the first row).
+    Rows count as documents of their own, also those that share an id; texts without words all stay."""
+    rows = _held(docs)
+    groups = near_dup.near_duplicates(rows.select("number", F.col("row.text").alias("text")), id_col="number")
+    member = rows.select("number", F.col("row.doc_id").alias("doc")).join(groups.select(F.col("id").alias("number"), "component_id"), "number")
+    kept = member.groupBy("component_id").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "number"))["number"].alias("number"))
+    return rows.join(kept, "number", "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.overlaps(docs, common.table(spark, sf_dir, "benchmark")).select(F.col("node").alias("_node")).distinct()
-    return docs.withColumn("_node", common.node_id("doc_id")).join(found, "_node", "left_anti").select(*docs.columns)
+    """Every row that overlaps a benchmark item goes; null and empty texts overlap nothing."""
+    rows = _held(docs)
+    found = decontaminate.overlaps(rows.select("number", F.col("row.text").alias("text")), common.table(spark, sf_dir, "benchmark"), id_col="number")
+    return rows.join(found.select(F.col("id").alias("number")).distinct(), "number", "left_anti").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null and empty texts are the end id alone; repeated rows are packed each."""
     return packing.pack(docs, queries.tokenizer_file("byte_bpe_50k.json"))
 
 

@@ -41,6 +41,11 @@ def node_id(id_col: str, text: str = "text") -> Column:
     return F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(whole_text(text)).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62))
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``row``, so that none can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """Row numbers 0, 1, 2, .. in ``name``, in the order of ``df``'s partitions and rows.
 

@@ -1,14 +1,19 @@
-"""Benchmark decontamination by hashed token runs.
-
-Texts become lower-case tokens (runs of letters and digits). An alignment
-(document position minus item position) is accepted if a stretch of s tokens
-agrees in all but m of them; the m others cut the stretch into m + 1 runs, so one
-run of ceil((s - m) / (m + 1)) tokens at least agrees (4 of 20; see ``run_length``).
-Hashes of all runs of that length of the benchmark meet those of all positions
-of all documents, so that no accepted alignment lacks a hit. Positions whose
-first or last pair of tokens occurs nowhere in the benchmark are passed over
-before hashing (while the benchmark has at most ``KNOWN_PAIRS`` pairs; the result
-is the same without).
+"""Benchmark decontamination by spaced-seed hashing.
+
+Texts become lower-case tokens (runs of letters and digits). A seed is the hash of
+the tokens that a fixed mask keeps of a stretch; what stands in the mask's holes does
+not matter, so a seed survives substitutions there. Seeds of all positions of the
+benchmark meet those of all positions of all documents.
+
+Masks (``family``) are chosen by a greedy cover: an alignment is accepted if a
+stretch of s tokens agrees in all but m of them, and every choice of m spoiled
+tokens must leave one of the masks whole at some place, so that no accepted
+alignment lacks a hit. For 20 tokens with 4 spoiled, four masks that keep 7 tokens
+each do; shorter items have masks of fewer tokens (15: three of 6, 10: three of 5, 5: two of 3),
+and items of which no token may differ (under five) are hashed whole. Positions
+whose adjacent kept tokens at a mask's ends occur nowhere in the benchmark are
+passed over before hashing (while the benchmark has at most ``KNOWN_PAIRS`` pairs;
+the result is the same without).
 
 Each alignment is then verified token by token: it counts if some stretch of
 ``min(window, item length)`` aligned tokens agrees in ``share`` of them.
@@ -20,6 +25,9 @@ The benchmark's seeds are broadcast only when counted to be at most
 ``BROADCAST_SEEDS``; beyond that both sides are shuffled by hash. Only DataFrame
 functions are used.
 
+Hits are gathered per document and ``STRETCH`` alignments, so that a long text's hits do not
+meet in one row. Very long texts are read whole.
+
 NULL and empty texts have no tokens; items without tokens match nothing.
 Repeated documents are reported each, repeated items once. A NULL document id
 is found under a hash of its text and reported as NULL. Extra columns are
@@ -29,7 +37,10 @@ ignored, empty tables give an empty result.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
+from itertools import combinations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +49,8 @@ from staylake.llm.common import node_id, saved, whole_text
 KNOWN_PAIRS = 50_000
 WINDOW, SHARE = 20, 0.8
 BROADCAST_SEEDS = 1_000_000
+STRETCH = 4096
+FEW, WEIGHTS, SPAN = 4, range(7, 1, -1), 20
 
 
 def tokens(text: Column) -> Column:
@@ -51,23 +64,61 @@ def _coded(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("p", F.when(F.size("h") > 1, pairs).otherwise(F.array().cast("array<bigint>")))
 
 
-def run_length(stretch: int, share: float = SHARE) -> int:
-    """The tokens in a row that agree at least, if ``share`` of ``stretch`` tokens do."""
-    matched = math.ceil(stretch * share)
-    return max(1, -(-matched // (stretch - matched + 1)))
-
-
-def _seeds(df: DataFrame, keep: list[str], position: str, runs: list[int], known: str | None) -> DataFrame:
-    """One row per position and length of ``runs``: ``keep``, ``position``, ``seed``. ``known``: list of
-    the pair hashes that can begin or end a seed."""
+def _masks(weight: int, stretch: int) -> list[tuple[int, ...]]:
+    """All masks of a weight with a hole, as kept offsets; heavier ones begin and end with two kept tokens."""
+    ends = 2 if weight >= 5 else 1
+    out = []
+    for span in range(weight + 1, stretch + 1):
+        for middle in combinations(range(ends, span - ends), weight - 2 * ends):
+            out.append((*range(ends), *middle, *range(span - ends, span)))
+    return out
+
+
+@lru_cache(maxsize=None)
+def family(stretch: int, spoiled: int) -> tuple[tuple[int, ...], ...]:
+    """The masks for ``stretch`` tokens of which ``spoiled`` may differ: the heaviest family of at most ``FEW``
+    masks one of which is left whole by every choice of spoiled tokens."""
+    if not spoiled:
+        return (tuple(range(stretch)),)
+    parts = -(-stretch // SPAN)
+    if parts > 1:  # one of the parts has no more than its share of the spoiled tokens
+        return family(stretch // parts, spoiled // parts)
+    patterns = np.array([sum(1 << p for p in c) for c in combinations(range(stretch), spoiled)])
+    for weight in WEIGHTS:
+        masks = _masks(weight, stretch) if weight < stretch else []
+        whole = [np.any([patterns & (sum(1 << o for o in m) << at) == 0 for at in range(stretch - m[-1])], axis=0) for m in masks]
+        left, chosen = np.ones(len(patterns), bool), []
+        while left.any() and len(chosen) < FEW and masks:
+            best = max(range(len(masks)), key=lambda i: int((whole[i] & left).sum()))
+            chosen.append(masks[best])
+            left &= ~whole[best]
+        if not left.any():
+            return tuple(chosen)
+    return (tuple(range(max(1, -(-(stretch - spoiled) // (spoiled + 1))))),)  # too short for holes: a run that always agrees
+
+
+def masks_for(size: int, window: int = WINDOW, share: float = SHARE) -> tuple[tuple[int, ...], ...]:
+    """The masks of items of ``size`` tokens; items with equally many spoiled tokens share theirs."""
+    size = min(size, window)
+    spoiled = size - math.ceil(size * share)
+    least = min(n for n in range(1, size + 1) if n - math.ceil(n * share) == spoiled) if spoiled else size
+    return family(least, spoiled)
+
+
+def _seeds(df: DataFrame, keep: list[str], position: str, masks: list[tuple[int, ...]], known: str | None) -> DataFrame:
+    """One row per position and mask: ``keep``, ``position``, ``seed``. ``known``: list of the
+    pair hashes that can stand at the ends of a seed."""
     if known is not None:
         df = df.withColumn("k", F.expr(f"transform(p, x -> x IN ({known}))"))
     at = []
-    for m in runs:
-        places = F.when(F.size("h") >= m, F.sequence(F.lit(0), F.size("h") - m)).otherwise(F.array().cast("array<int>"))
-        if known is not None and m > 1:
-            places = F.filter(places, lambda i: F.get("k", i) & F.get("k", i + m - 2))
-        at.append(F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(m), *[F.get("h", i + o) for o in range(m)]).alias("seed"))))
+    for mask in masks:
+        span = mask[-1] + 1
+        places = F.when(F.size("h") >= span, F.sequence(F.lit(0), F.size("h") - span)).otherwise(F.array().cast("array<int>"))
+        ends = [o for o in sorted({0, span - 2}) if o in mask and o + 1 in mask] if known is not None else []
+        if ends:
+            places = F.filter(places, lambda i: F.get("k", i + ends[0]) & F.get("k", i + ends[-1]))
+        name = F.lit(sum(1 << o for o in mask))
+        at.append(F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(name, *[F.get("h", i + o) for o in mask]).alias("seed"))))
     if not at:
         at.append(F.array().cast("array<struct<at:int,seed:bigint>>"))
     return df.select(*keep, F.explode(F.concat(*at)).alias("s")).select(*keep, F.col("s.at").alias(position), "s.seed")
@@ -79,12 +130,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     token of the document), ``aligned`` and ``matched`` tokens of the best alignment."""
     items = saved(_coded(benchmark.select(F.col(item_col).alias("item"), whole_text(item_text).alias("text")).distinct())
                   .filter(F.size("h") > 0).withColumn("key", F.xxhash64("h", "item")).drop("text"), "benchmark")
-    needs = F.get(F.array(*[F.lit(run_length(n, share)) for n in range(1, window + 1)]), F.least(F.size("h"), F.lit(window)) - 1)
-    sized = items.select("key", "h", F.size("h").alias("size"), needs.alias("run"))
-    runs = sorted(r[0] for r in sized.select("run").distinct().collect())  # at most ``window`` numbers
+    families = [masks_for(n, window, share) for n in range(1, window + 1)]
+    kinds = sorted(set(families))
+    kind = F.get(F.array(*[F.lit(kinds.index(x)) for x in families]), F.least(F.size("h"), F.lit(window)) - 1)
+    sized = items.select("key", "h", F.size("h").alias("size"), kind.alias("kind"))
+    used = sorted(r[0] for r in sized.select("kind").distinct().collect())  # at most ``window`` numbers
     own = _seeds(sized.limit(0), ["key", "size"], "item_at", [], None)
-    for m in runs:
-        own = own.unionByName(_seeds(sized.filter(F.col("run") == m), ["key", "size"], "item_at", [m], None))
+    for k in used:
+        own = own.unionByName(_seeds(sized.filter(F.col("kind") == k), ["key", "size"], "item_at", list(kinds[k]), None))
+    masks = sorted({m for k in used for m in kinds[k]})
     own = saved(own, "benchmark-seeds")
     if own.count() <= BROADCAST_SEEDS:
         own = F.broadcast(own)
@@ -92,9 +146,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     known = None if len(pairs) > KNOWN_PAIRS else ", ".join(f"{x}L" for x in pairs if x != -(1 << 63)) or "0L"
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), node_id(id_col, text).alias("node"), whole_text(text).alias("text"))
-    hits = (_seeds(_coded(rows.select("node", "text")), ["node"], "doc_at", runs, known).join(own, "seed")
+    hits = (_seeds(_coded(rows.select("node", "text")), ["node"], "doc_at", masks, known).join(own, "seed")
             .select("node", "key", "size", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct())
-    hits = saved(hits.groupBy("node").agg(F.collect_list(F.struct("key", "size", "diagonal")).alias("hits")), "seed-hits")
+    hits = saved(hits.groupBy("node", F.floor(F.col("diagonal") / STRETCH)).agg(F.collect_list(F.struct("key", "size", "diagonal")).alias("hits")), "seed-hits")
 
     # the aligned part of a document and the item's hashes side by side
     def part(x: Column) -> Column:

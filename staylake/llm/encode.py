@@ -7,7 +7,7 @@ together with numpy. What is kept of earlier words belongs to the Python
 worker, holds ``CACHE_WORDS`` words at most and is dropped when full. The
 result equals encoding the text in one call; texts where cutting at white space
 could differ (gaps other than one space or line break for a vocabulary that
-keeps spaces, white space beyond ASCII) take that call.
+keeps spaces, white space beyond ASCII) take that call; their words are not looked up.
 
 Words are told apart by 64-bit hashes: among the words of a full cache two
 collide with a chance of about 1e-8.
@@ -52,8 +52,9 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spaces: np.ndarray, keys: np.ndarray) -> None:
-        """Encode new and distinct words, each followed by the mark, many in one text."""
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spaces: np.ndarray, keys: np.ndarray) -> bool:
+        """Encode new and distinct words, each followed by the mark, many in one text. False, and
+        nothing learnt, if a word does not stay apart from its mark."""
         size = ends - starts
         step = spaces + size + len(self.between)
         to = np.cumsum(step) - step
@@ -64,12 +65,15 @@ class Encoder:
         raw, cut = joined.tobytes(), [*to[::JOINED], len(joined)]
         ids = np.concatenate(self._ids([raw[a:z].decode() for a, z in zip(cut, cut[1:])]))
         marks = np.flatnonzero(ids == self.mark_id)
+        if len(marks) != len(keys):
+            return False
         lens = np.diff(marks, prepend=-1) - 1
         at = len(self.flat) + np.cumsum(lens) - lens
         self.flat = np.concatenate([self.flat, np.delete(ids, marks)])
         keys, at, lens = (np.concatenate([a, b]) for a, b in ((self.keys, keys), (self.at, at), (self.lens, lens)))
         order = np.argsort(keys, kind="stable")
         self.keys, self.at, self.lens = keys[order], at[order], lens[order]
+        return True
 
     def _kinds(self, data: np.ndarray, offsets: np.ndarray, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
         """What stands before each word (0 nothing, 1 a space, 2 a line break) and the documents to encode whole."""
@@ -113,22 +117,25 @@ class Encoder:
             total = np.concatenate([[0], np.cumsum(data == ord(self.mark))])
             marked = total[w.ends] > total[w.starts]
             whole[np.repeat(np.arange(len(texts)), w.counts)[marked]] = True
-            w.ends = np.where(marked, w.starts, w.ends)  # not looked up
         if len(self.keys) > CACHE_WORDS:
             self._forget()
-        if not len(w.starts):
+        live = ~np.repeat(whole, w.counts)  # words of texts encoded in one call are not looked up
+        starts, ends, kinds = w.starts[live], w.ends[live], kinds[live]
+        first = np.concatenate([[0], np.cumsum(np.where(whole, 0, w.counts))])
+        if not len(starts):
             ids = [np.zeros(0, np.uint32) for _ in range(len(texts))]
         else:
-            stop = self._stops(data, w.starts, w.ends)
-            ends = w.ends - stop
+            stop = self._stops(data, starts, ends)
+            ends = ends - stop
             spaces = (kinds == 1).astype(np.int64)
-            keys = words.mix(words.word_hashes(data, w.starts, ends) + spaces.astype(np.uint64) * words.U(0x632BE59BD9B4E019))
+            keys = words.mix(words.word_hashes(data, starts, ends) + spaces.astype(np.uint64) * words.U(0x632BE59BD9B4E019))
             distinct, example, inverse = np.unique(keys, return_index=True, return_inverse=True)
             place = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
             new = self.keys[place] != distinct if len(self.keys) else np.ones(len(distinct), bool)
             if new.any():
                 some = example[new]
-                self._learn(data, w.starts[some], ends[some], spaces[some], distinct[new])
+                if not self._learn(data, starts[some], ends[some], spaces[some], distinct[new]):
+                    return self._ids(texts.to_pylist())
                 place = np.searchsorted(self.keys, distinct)
             code = place[inverse]
             own, breaks = self.lens[code], (kinds == 2).astype(np.int64)
@@ -138,7 +145,7 @@ class Encoder:
             out[total[stop] - 1] = self.stop_ids[data[ends[stop]]]
             inside = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
             out[np.repeat(total - stop - own, own) + inside] = self.flat[np.repeat(self.at[code], own) + inside]
-            cut = np.concatenate([[0], total])[w.first]
+            cut = np.concatenate([[0], total])[first]
             ids = [out[a:z] for a, z in zip(cut[:-1], cut[1:])]
         apart = np.flatnonzero(whole)
         for i, x in zip(apart, self._ids([texts[int(i)].as_py() for i in apart]) if len(apart) else ()):

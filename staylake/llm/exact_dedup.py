@@ -31,7 +31,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.llm.common import saved, whole_text
+from staylake.llm.common import as_row, saved, whole_text
 from staylake.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -150,6 +150,6 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     """The rows that stay, with all their columns."""
     spark = docs.sparkSession
     path = staged(docs)
-    found = exact_duplicates(spark, path, id_col, text).filter("kept").select(F.col("file").alias("_file"), F.col("row").alias("_row"))
-    rows = spark.read.schema(docs.schema).parquet(path).withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
-    return rows.join(found, ["_file", "_row"], "left_semi").select(*docs.columns)
+    found = exact_duplicates(spark, path, id_col, text).filter("kept").select("file", F.col("row").alias("place"))
+    rows = spark.read.schema(docs.schema).parquet(path).select(as_row(docs), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    return rows.join(found, ["file", "place"], "left_semi").select("row.*")

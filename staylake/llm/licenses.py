@@ -190,8 +190,9 @@ def scan(docs: DataFrame, path_col: str = "path", id_col: str = "doc_id", text:
     """One row per document: ``id``, ``path``, ``own`` licence and its ``score``, the ``inherited``
     licence with the directory it comes ``inherited_from``, and the ``licence`` that holds."""
     spark = docs.sparkSession
-    files = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(path_col).cast("string").alias("path"), whole_text(text).alias("text"),
-                        F.monotonically_increasing_id().alias("n"))
+    # written once: read again from any other plan, the rows would get other numbers
+    files = saved(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(path_col).cast("string").alias("path"), whole_text(text).alias("text"),
+                              F.monotonically_increasing_id().alias("n")), "license-input")
     if templates:
         counts = saved(files.select(F.explode(F.array_distinct(F.concat(F.array(F.lit("")), terms(F.col("text"))))).alias("term"))
                        .groupBy("term").count(), "license-terms")

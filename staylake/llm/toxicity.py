@@ -36,7 +36,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylake.llm.common import saved, whole_text
+from staylake.llm.common import as_row, saved, whole_text
 
 # ---- fixed values: a short list of common insults, and second-person words --
 INSULTS = ["idiot", "moron", "stupid", "dumb", "loser", "trash", "scum", "pathetic", "worthless", "disgusting", "clown", "fool",
@@ -100,18 +100,19 @@ class Model:
     share: float = 0.0
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """``docs`` with ``score`` and ``predicted``."""
+        """``docs`` with ``score`` and ``predicted`` (columns of these names are replaced)."""
+        df = docs.select(as_row(docs), F.col(text).alias("text"))
         if self.trees is None:
-            out = docs.withColumn("score", F.lit(self.share))
+            df = df.withColumn("_p", F.lit(self.share))
         else:
-            df, names = features(docs.drop(*SCORE_SCHEMA), text, self.learned)
+            df, names = features(df, "text", self.learned)
             df = VectorAssembler(inputCols=names, outputCol="_x").transform(df)
             df = self.trees.transform(df).withColumn("_p", vector_to_array("_probability")[1])
             if self.steps is not None:
                 df = self.steps.transform(df)
                 # the steps decide; the trees' own order is kept inside a step
                 df = df.withColumn("_p", F.least(F.greatest(0.999 * F.col("_score") + 0.001 * F.col("_p"), F.lit(0.0)), F.lit(1.0)))
-            out = df.withColumn("score", F.col("_p")).select(*[c for c in docs.columns if c not in SCORE_SCHEMA], "score")
+        out = df.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in SCORE_SCHEMA], F.col("_p").alias("score"))
         return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -58,11 +58,17 @@ def test_decontamination(spark):
 
 def test_every_accepted_pattern_has_a_seed():
     from itertools import combinations
-    for size in range(1, 21):
-        m, run = size - -(-size * 8 // 10), decontaminate.run_length(size)
-        for spoiled in combinations(range(size), m):  # fewer spoiled tokens leave longer runs
-            ends = [-1, *spoiled, size]
-            assert max(y - x - 1 for x, y in zip(ends, ends[1:])) >= run
+    for window in (20, 30):
+        for size in range(1, window + 1):
+            m, masks = size - -(-size * 8 // 10), decontaminate.masks_for(size, window)
+            assert len(masks) <= 4 and all(len(x) == size or len(x) <= 7 for x in masks)
+            if size >= 5:
+                assert all(len(x) < x[-1] + 1 for x in masks)  # spaced: every mask has holes
+            if window == 20:
+                places = [sum(1 << o for o in x) << at for x in masks for at in range(size - x[-1])]
+                for spoiled in combinations(range(size), m):
+                    bits = sum(1 << p for p in spoiled)
+                    assert any(not p & bits for p in places)
 
 
 def test_decontamination_spread_substitutions(spark):
@@ -155,6 +161,25 @@ def test_encoder_equals_library(name, spaced):
         assert [x.tolist() for x in own.encode(pa.array(texts))] == [expected(t)[:-1].tolist() for t in texts]
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_encoder_equals_library_on_random_texts(name, spaced):
+    import random
+    import pyarrow as pa
+
+    rnd = random.Random(14)
+    space = " \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\u200b\ufeff"
+    some = "ab9.,'~-é×Ññß中ع\U0001f600\u0301#_<|>" + space + "    \n"
+    texts = ["\xa0 e", "\n\xa0", "e\xa0 \n a"] + ["".join(rnd.choice(some) for _ in range(rnd.randrange(12))) for _ in range(40_000)]
+    texts += ["".join(chr(rnd.choice((rnd.randrange(1, 0x250), rnd.randrange(1, 0xd7ff), rnd.randrange(0x10000, 0x10ffff)))) if rnd.random() < 0.5
+                      else rnd.choice(some) for _ in range(rnd.randrange(9))) for _ in range(20_000)]
+    with open(queries.tokenizer_file(name), encoding="utf-8") as f:
+        own = encode.Encoder(f.read(), spaced)
+    expected = [x.ids for x in Tokenizer.from_file(queries.tokenizer_file(name)).encode_batch_fast(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 500):  # words met earlier are known
+        for text, x, y in zip(texts[at:at + 500], own.encode(pa.array(texts[at:at + 500])), expected[at:at + 500]):
+            assert x.tolist() == y, repr(text)
+
+
 def test_packing(spark):
     ids = _ids("byte_bpe_50k.json", 0)
     path = queries.tokenizer_file("byte_bpe_50k.json")
@@ -213,6 +238,19 @@ def test_licenses(spark):
     assert licenses.scan(docs).count() == len(rows) and licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licenses_of_shuffled_input(spark):
+    """Row numbers hold whatever plan the rows come from."""
+    rows = [(i, f"d{i}/x.txt", ("Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "plain words")[i % 3]) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        for given in (docs.repartition("doc_id"), docs.repartition(40).join(spark.range(1500).withColumnRenamed("id", "doc_id"), "doc_id")):
+            assert {r.id: r.own for r in licenses.scan(given).collect()} == {i: ("Apache-2.0", "MIT", None)[i % 3] for i, *_ in rows}
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+
+
 def _brute_licences(rows, least=0.7):
     from collections import Counter
     from math import log, sqrt

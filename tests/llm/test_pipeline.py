@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from staylake.llm import common, toxicity
+from tests.llm.data import edge_rows, no_docs
 from tests.llm.test_operators import _brute_components, _brute_overlaps
 
 SF = "/root/testdata/sf0.001"
@@ -33,3 +34,24 @@ def test_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, before, SF)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == kept
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_stages_leave_columns_and_texts_alone(spark):
+    """Edge rows, repeated ids with other texts, columns named like the operators' own."""
+    item = common.table(spark, SF, "benchmark").first().text
+    rows = [r[:5] for r in edge_rows()] + [(2, "a text of its own " * 9, "en", "s", 1), (2, "say " + item + " now", None, None, None), (1, item, None, None, None)]
+    names = ["_node", "score", "predicted", "_file", "_row", "file", "row", "place", "number", "_raw", "_words", "_x", "_p", "_score", "node", "found"]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = docs.withColumns({c: F.lit("mine") for c in names}).repartition(3)
+    before, left = docs, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = common.saved(stage(spark, before, SF), name)
+        assert before.columns == docs.columns and before.count() == before.filter(" AND ".join(f"`{c}` = 'mine'" for c in names)).count()
+        left[name] = [(r.doc_id, r.text) for r in before.collect()]
+    assert (2, "a text of its own " * 9) in left["decontamination"]
+    assert not any(item in (t or "") for _, t in left["decontamination"]) and sum(item in (t or "") for _, t in left["near_dedup"]) == 1
+    assert len(left["exact_dedup"]) == len({(t or "").lower() for _, t in left["toxicity"]})
+    assert corpus_pipeline.STAGES[-1][1](spark, before, SF).agg(F.countDistinct("sequence_id")).first()[0] > 0
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    assert no_docs(spark).columns[:5] == docs.columns[:5]
