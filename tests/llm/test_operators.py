@@ -119,7 +119,23 @@ def test_repeats(spark, group_bytes):
 def test_locate_splits_automata():
     text, passages = "a b c d e f g", ["b c d", "d e", "g"]
     for most in (1, 4, 100):
-        assert repeats.locate([text, "x"], passages, most) == [[(1, 5), (6, 7)], []]
+        found = repeats.locate([text, "x"], passages, most)
+        assert [sorted(x) for x in found] == [[(1, 4, 0), (3, 5, 1), (6, 7, 2)], []] and repeats.united([x[:2] for x in found[0]]) == [(1, 5), (6, 7)]
+
+
+@pytest.mark.parametrize("bits,group_bytes", [(12, repeats.GROUP_BYTES), (14, 3000)])
+def test_repeats_are_confirmed_whatever_the_hashes_say(spark, bits, group_bytes):
+    """Short hashes: different windows share them, yet only what occurs twice is cut, and all of that."""
+    import random
+    rnd = random.Random(15)
+    shared = [sentence(rnd, n, 10 ** 6) for n in (35, 36, 60, 200)]
+    texts = [sentence(rnd, 150, 10 ** 6) for _ in range(60)]
+    texts += [sentence(rnd, rnd.randrange(30), 10 ** 6) + " " + rnd.choice(shared) + " " + sentence(rnd, rnd.randrange(30), 10 ** 6) for _ in range(40)]
+    texts += [texts[0], "ab " * 200, shared[2][:-1] + "x"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5000, sentence(random.Random(2), 90, 10 ** 6))] * 3
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), group_bytes=group_bytes, hash_bits=bits).collect()
+    expected = [(r[0], *x) for r, x in zip(rows, _brute_repeats([r[1] for r in rows]))]
+    assert sorted(map(str, expected)) == sorted(str((r.id, r.n_words, r.n_removed, r.kept_sha256)) for r in got)
 
 
 # ---- 3 ----------------------------------------------------------------------
