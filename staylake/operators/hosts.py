@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROOM_KIND = ("property_type", "room_type", "accommodates")
@@ -33,3 +33,17 @@ def restrict_hosts(df: DataFrame, spread: DataFrame, multi: bool, host: str = "h
     """
     keep = spread.filter(F.col("multi") if multi else ~F.col("multi")).select(host)
     return df.join(keep, host)
+
+
+def hosts_by_kinds(sums: DataFrame, host: str, kind: str, multi: bool) -> DataFrame:
+    """Rows of hosts with several (``multi``) or exactly one ``kind``, a struct column; a NULL
+    struct is no kind, NULL fields are values. NULL hosts are left out.
+
+    One window over ``sums``, which should be pre-aggregated by host and kind: the smallest
+    and the largest kind of a host differ if it has several. Nothing is read or shuffled
+    twice, and a host's rows stay where the window put them for later sums by host.
+    """
+    own = Window.partitionBy(host)
+    marked = sums.filter(F.col(host).isNotNull()).withColumns({"_low": F.min(kind).over(own), "_high": F.max(kind).over(own)})
+    same = F.col("_low") == F.col("_high")
+    return marked.filter(F.col("_low").isNotNull() & (~same if multi else same)).drop("_low", "_high")

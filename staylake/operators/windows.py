@@ -29,12 +29,13 @@ def top1_per_group(df: DataFrame, keys: Sequence[str], order: OrderSpec) -> Data
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def _rank_key(df: DataFrame, order: OrderSpec) -> Column:
+def rank_key(df: DataFrame, order: OrderSpec) -> Column:
+    """One value whose ascending order is ``order`` (NULLs last), for ``min_by`` and ``max_by``."""
     fields = []
     for i, (c, desc) in enumerate(order):
         t = df.schema[c].dataType.simpleString()
         if desc and t in ("string", "boolean", "date", "timestamp"):
-            raise ValueError(f"first_last: descending order needs a numeric column, got {c}: {t}")
+            raise ValueError(f"descending order needs a numeric column, got {c}: {t}")
         fields.append(F.col(c).isNull().alias(f"n{i}"))
         fields.append((-F.col(c) if desc else F.col(c)).alias(f"v{i}"))
     return F.struct(*fields)
@@ -47,7 +48,7 @@ def first_last(df: DataFrame, order: OrderSpec) -> DataFrame:
     row into one partition; here one ``min_by``/``max_by`` aggregate does it
     with a per-task partial result, so only one row per task is merged.
     """
-    key = _rank_key(df, order)
+    key = rank_key(df, order)
     row = F.struct(*[F.col(c) for c in df.columns])
     agg = df.agg(F.min_by(row, key).alias("first"), F.max_by(row, key).alias("last"),
                  F.count("*").alias("n"))

@@ -77,8 +77,7 @@ def model_ctes() -> list[tuple[str, str]]:
         ("dim_host", "SELECT * FROM stg_host"),
         ("dim_listing", "SELECT * FROM stg_listing"),
         ("dim_property", "SELECT * FROM stg_property"),
-        ("dim_lga", "SELECT (map_from_entries((SELECT list((lga_name, lga_code)) FROM stg_lga_code)))[lga_name] AS lga_code, "
-                    "lga_name, suburb_name FROM stg_lga_suburb WHERE lga_name IN (SELECT lga_name FROM stg_lga_code)"),
+        ("dim_lga", "SELECT c.lga_code, c.lga_name, s.suburb_name FROM stg_lga_code c JOIN stg_lga_suburb s ON s.lga_name = c.lga_name"),
         ("fact_one", "SELECT * FROM raw_census_one"),
         ("fact_two", "SELECT * FROM raw_census_two"),
         ("fact_review", "SELECT * FROM review_snapshot"),
@@ -95,32 +94,24 @@ def model_ctes() -> list[tuple[str, str]]:
          "SELECT l.id, l.scraped_date, strftime(l.scraped_date, '%m/%Y') AS month_year, l.listing_neighbourhood, "
          "h.host_id, h.host_name, h.host_is_superhost, h.host_neighbourhood, p.property_type, p.room_type, "
          f"p.accommodates, p.price, p.has_availability, p.availability_30, {nights_p} AS nights "
-         "FROM dim_listing l, dim_host h, dim_property p WHERE h.id = l.id AND p.id = l.id"),
-        ("rated_rows", "SELECT s.*, r.review_scores_rating FROM stay_rows s, fact_review r WHERE r.id = s.id"),
+         "FROM dim_listing l JOIN dim_host h ON h.id = l.id JOIN dim_property p ON p.id = l.id"),
+        ("rated_rows", "SELECT s.*, r.review_scores_rating FROM stay_rows s JOIN fact_review r ON r.id = s.id"),
         ("monthly_nb", _monthly_sql("listing_neighbourhood")),
         ("monthly_kind", _monthly_sql("property_type, room_type, accommodates")),
         # one relation of listings with what every slice keeps, and the rows each slice alone would keep
         ("listing",
          "SELECT *, host_name <> '' AND host_since <> '' AS has_host, price > 5 AS has_price, "
          "lower(listing_neighbourhood) AS nb, lower(host_neighbourhood) AS home, "
-         "(CASE WHEN has_availability THEN 30 - availability_30 ELSE 0 END) * price AS revenue, "
-         "struct_pack(property_type, room_type, accommodates) AS kind FROM raw_house"),
-        # the council areas that claim a suburb, as lists
-        ("claims",
-         "SELECT lower(suburb_name) AS suburb, list({'code': c.lga_code, 'area': c.lga_name}) AS areas "
-         "FROM raw_lga_suburb, (SELECT lga_code, lower(lga_name) AS lga_name FROM raw_lga_code) c "
-         "WHERE lower(raw_lga_suburb.lga_name) = c.lga_name GROUP BY 1"),
+         "(CASE WHEN has_availability THEN 30 - availability_30 ELSE 0 END) * price AS revenue FROM raw_house"),
         ("age_profile", _age_profile_sql()),
         ("nb_revenue",
          "SELECT nb AS listing_neighbourhood, CAST(sum(revenue) AS BIGINT) AS estimate_revenue FROM listing WHERE has_price GROUP BY nb"),
         ("area_revenue",
-         "SELECT a.area AS lga_name, listing_neighbourhood, population_under_20, population_under_35, rate_20_34, estimate_revenue "
-         "FROM (SELECT unnest(areas) AS a, listing_neighbourhood, estimate_revenue FROM nb_revenue, claims WHERE suburb = lower(listing_neighbourhood)), "
-         "age_profile WHERE age_profile.lga_code = a.code"),
+         "SELECT g.lga_name, r.listing_neighbourhood, a.population_under_20, a.population_under_35, a.rate_20_34, r.estimate_revenue "
+         "FROM nb_revenue r JOIN dim_lga g ON lower(g.suburb_name) = lower(r.listing_neighbourhood) JOIN age_profile a ON a.lga_code = g.lga_code"),
         # hosts by how many room kinds they offer (questions 3 and 4)
-        ("kind_counts",
-         "SELECT host_id, len(list(DISTINCT kind)) AS n_kinds FROM listing WHERE has_host AND has_price AND host_id IS NOT NULL GROUP BY host_id"),
-        ("kinds", "SELECT host_id, unnest(list(DISTINCT kind), recursive := true) FROM listing WHERE has_host AND has_price GROUP BY host_id"),
+        ("kinds", "SELECT DISTINCT host_id, property_type, room_type, accommodates FROM listing WHERE has_host AND has_price"),
+        ("kind_counts", "SELECT host_id, count(*) AS n_kinds FROM kinds WHERE host_id IS NOT NULL GROUP BY host_id"),
         ("single_host_revenue_sql",
          "SELECT host_id, host_name, nb AS listing_neighbourhood, CAST(sum(revenue) AS BIGINT) AS estimate_revenue "
          "FROM listing SEMI JOIN (FROM kind_counts WHERE n_kinds = 1) USING (host_id) WHERE has_host AND has_price GROUP BY ALL"),
@@ -262,9 +253,8 @@ def oracle_queries() -> dict[str, str]:
             "SELECT hg.lga_name AS host_lga, count(*) AS total_listings, "
             "count(*) FILTER (WHERE hg.lga_name = lg.lga_name) AS local_listings, "
             + sql_pct("count(*) FILTER (WHERE hg.lga_name = lg.lga_name)", "count(*)") + " AS local_rate "
-            "FROM (SELECT home, nb FROM listing SEMI JOIN (FROM kind_counts WHERE n_kinds > 1) USING (host_id) WHERE has_host) h, "
-            "(SELECT suburb, unnest(areas).area AS lga_name FROM claims) hg, (SELECT suburb, unnest(areas).area AS lga_name FROM claims) lg "
-            "WHERE hg.suburb = h.home AND lg.suburb = h.nb GROUP BY hg.lga_name"),
+            "FROM (SELECT home, nb FROM listing SEMI JOIN (FROM kind_counts WHERE n_kinds > 1) USING (host_id) WHERE has_host) h "
+            "JOIN dim_lga hg ON lower(hg.suburb_name) = lower(h.home) JOIN dim_lga lg ON lower(lg.suburb_name) = lower(h.nb) GROUP BY hg.lga_name"),
         "q4_mortgage_cover": (
             "SELECT " + sql_ratio("count(*) FILTER (WHERE s.estimate_revenue > r.monthly_repay * 12)", "count(*)")
             + " AS covered FROM single_host_revenue_sql s "
@@ -291,13 +281,13 @@ def oracle_queries() -> dict[str, str]:
         "assemble3": ("SELECT l.id, l.listing_id, l.scraped_date, l.listing_neighbourhood, h.host_id, h.host_name, "
                       "h.host_since, h.host_is_superhost, h.host_neighbourhood, p.property_type, p.room_type, "
                       "p.accommodates, p.price, p.has_availability, p.availability_30 "
-                      "FROM dim_listing l, dim_host h, dim_property p WHERE h.id = l.id AND p.id = l.id"),
+                      "FROM dim_listing l JOIN dim_host h ON h.id = l.id JOIN dim_property p ON p.id = l.id"),
         "assemble4": ("SELECT l.id, l.listing_id, l.scraped_date, l.listing_neighbourhood, h.host_id, h.host_name, "
                       "h.host_since, h.host_is_superhost, h.host_neighbourhood, p.property_type, p.room_type, "
                       "p.accommodates, p.price, p.has_availability, p.availability_30, r.number_of_reviews, "
                       + ", ".join(f"r.{c}" for c in scores) +
-                      " FROM dim_listing l, dim_host h, dim_property p, fact_review r "
-                      "WHERE h.id = l.id AND p.id = l.id AND r.id = l.id"),
+                      " FROM dim_listing l JOIN dim_host h ON h.id = l.id JOIN dim_property p ON p.id = l.id "
+                      "JOIN fact_review r ON r.id = l.id"),
         "suburb_join": ("SELECT h.id, h.host_id, g.lga_code, g.lga_name, g.suburb_name FROM dim_host h "
                         "JOIN dim_lga g ON lower(g.suburb_name) = lower(h.host_neighbourhood)"),
         "semi_multi_hosts": ("SELECT id, host_id FROM dim_host h WHERE EXISTS "
@@ -355,8 +345,30 @@ def oracle_queries() -> dict[str, str]:
         "src_census_one": "SELECT * EXCLUDE (id) FROM raw_census_one",
         "src_house": f"SELECT id, {house_cols} FROM raw_house",
         "sink_roundtrip": f"SELECT id, {house_cols} FROM raw_house",
+        "catalog_months": f"SELECT id, {house_cols} FROM raw_house",
+        "catalog_pruned": f"SELECT id, {house_cols} FROM raw_house WHERE substr(scraped_date, 1, 7) IN ('1995-03', '1997-11')",
+        "load_rejects": (
+            "SELECT id, 'price' AS \"column\", 'n/a' AS text FROM raw_house WHERE id % 97 = 0 "
+            "UNION ALL SELECT id, 'has_availability', 'maybe' FROM raw_house WHERE id % 83 = 0 "
+            "UNION ALL SELECT id, 'accommodates', '99999999999' FROM raw_house WHERE id % 73 = 0"),
+        "load_checked": (
+            "SELECT id, CASE WHEN id % 79 = 0 THEN 100000000000000000 + listing_id % 1000 ELSE listing_id END AS listing_id, "
+            "CASE WHEN id % 73 = 0 THEN NULL ELSE accommodates END AS accommodates, "
+            "CASE WHEN id % 97 = 0 THEN NULL WHEN id % 89 = 0 THEN price + 1 ELSE price END AS price, "
+            "CASE WHEN id % 83 = 0 THEN NULL ELSE has_availability END AS has_availability FROM raw_house"),
+        "serial_ids": (
+            "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY CASE WHEN l_shipdate < DATE '1995-06-01' THEN 0 ELSE 1 END, "
+            "l_orderkey NULLS LAST, l_linenumber NULLS LAST, " + ", ".join(f"{c} NULLS LAST" for c in fixtures.LINEITEM_ORDER)
+            + ") AS id FROM lineitem WHERE l_shipdate IS NOT NULL"),
+        # persisted snapshot runs: the same history as in one go; hosts live where their latest listing is
+        "snapshot_host": _scd_sql([*HOST_COLS, "scraped_date"], "host_id", "scraped_date", SCRAPE_FMT).replace(
+            "FROM raw_house", "FROM (SELECT * REPLACE (listing_neighbourhood AS host_neighbourhood) FROM raw_house)"),
+        "snapshot_listing": _scd_sql(LISTING_COLS, "listing_id", "scraped_date", SCRAPE_FMT),
+        "snapshot_property": _scd_sql(["id", "listing_id"] + PROPERTY_COLS[1:], "listing_id", "scraped_date", SCRAPE_FMT),
+        "snapshot_review": _scd_sql(["id", "listing_id"] + REVIEW_COLS[1:], "listing_id", "scraped_date", SCRAPE_FMT),
         # streaming ingestion: the same history and rows as in one load
         "stream_ingest": _scd_sql(LISTING_COLS, "listing_id", "scraped_date", SCRAPE_FMT),
         "stream_raw": f"SELECT id, {house_cols} FROM raw_house",
     }
+    q |= {"assemble3_stored": q["assemble3"], "assemble4_stored": q["assemble4"]}
     return {name: _with(sql) for name, sql in q.items()}

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylake.functions.exact import pct, ratio
 from staylake.functions.listing import estimated_nights, estimated_revenue
 from staylake.functions.text import fold, lga_code_parse
-from staylake.operators.hosts import host_room_spread, restrict_hosts
+from staylake.operators.hosts import host_room_spread, hosts_by_kinds
 from staylake.operators.joins import fold_join
-from staylake.operators.windows import first_last, top1_per_group, top_k
+from staylake.operators.windows import first_last, rank_key, top1_per_group, top_k
 from staylake.plans.warehouse import Warehouse
+from staylake.sources.store import materialize
 
 # ---- fixed values: census age bands (male columns, as the question uses) ---
 UNDER_20_BANDS = ["age_0_4_yr", "age_5_14_yr", "age_15_19_yr"]
@@ -70,8 +71,10 @@ def q1_best_worst(wh: Warehouse) -> DataFrame:
 
 
 def with_total_rows(df: DataFrame) -> DataFrame:
-    """``COUNT(*) OVER ()`` as a scalar subquery: no single-partition window."""
-    return df.withColumn("total_rows", df.agg(F.count("*")).scalar())
+    """``COUNT(*) OVER ()``: the result, one row per group, is written once and counted from there, so
+    neither a single-partition window nor a second run of its plan is needed."""
+    kept = materialize(df.sparkSession, {"result": df}, "total-rows")["result"]
+    return kept.withColumn("total_rows", F.lit(kept.count()).cast("bigint"))
 
 
 def room_revenue_stays(wh: Warehouse) -> DataFrame:
@@ -97,29 +100,30 @@ def top_neighbourhoods(rooms: DataFrame, k: int = TOP_NEIGHBOURHOODS) -> DataFra
     return top_k(by_nb, k, [("estimate_revenue", True), ("listing_neighbourhood", False)])
 
 
+BEST_ROOM = [("stays", True), ("property_type", False), ("room_type", False), ("accommodates", False)]
+
+
 def best_room_per_neighbourhood(rooms: DataFrame) -> DataFrame:
-    return top1_per_group(rooms, ["listing_neighbourhood"],
-                          [("stays", True), ("property_type", False),
-                           ("room_type", False), ("accommodates", False)])
+    return top1_per_group(rooms, ["listing_neighbourhood"], BEST_ROOM)
 
 
 def q2_best_type(wh: Warehouse, sort: bool = False) -> DataFrame:
     """In the five top-revenue neighbourhoods, the (property, room,
     accommodates) with the most stays.
 
-    One aggregate of the listings feeds one window per neighbourhood that
-    carries both the neighbourhood's total revenue and the best room kind;
-    the top five of those rows are kept. The listings are scanned once, with no
-    join back. A NULL neighbourhood still takes a top-five place but is not
+    One aggregate of the listings, then one per neighbourhood that carries both
+    its total revenue and its best room kind (``min_by``, partially aggregated, so a
+    neighbourhood with very many kinds is not gathered in a task); the top five of those rows are kept. The listings are scanned
+    once, with no join back and no window. A NULL neighbourhood still takes a top-five place but is not
     reported (the original joins the top five back on the name). ``sort`` puts
     the most stays first, as the question does.
     """
-    rooms = room_revenue_stays(wh).withColumn(
-        "nb_revenue", F.sum("estimate_revenue").over(Window.partitionBy("listing_neighbourhood")))
-    top = top_k(best_room_per_neighbourhood(rooms), TOP_NEIGHBOURHOODS,
-                [("nb_revenue", True), ("listing_neighbourhood", False)])
-    out = (top.filter(F.col("listing_neighbourhood").isNotNull())
-           .select("listing_neighbourhood", *ROOM_KIND, "stays"))
+    rooms = room_revenue_stays(wh)
+    kinds = (rooms.groupBy("listing_neighbourhood")
+             .agg(F.sum("estimate_revenue").alias("nb_revenue"),
+                  F.min_by(F.struct(*ROOM_KIND, "stays"), rank_key(rooms, BEST_ROOM)).alias("best")))
+    top = top_k(kinds, TOP_NEIGHBOURHOODS, [("nb_revenue", True), ("listing_neighbourhood", False)])
+    out = top.filter(F.col("listing_neighbourhood").isNotNull()).select("listing_neighbourhood", "best.*")
     return out.orderBy(F.col("stays").desc_nulls_last(), "listing_neighbourhood") if sort else out
 
 
@@ -144,15 +148,16 @@ def q3_local_rate(wh: Warehouse, sort: bool = False) -> DataFrame:
     """For hosts with several room types: per host LGA, the share of their
     listings in that same LGA.
 
-    Rows are first reduced to (host, host suburb, listing suburb) counts, so
-    a host with very many listings shrinks map-side before the host join;
-    both suburb lookups are broadcast; summing the counts over the looked-up
+    Rows are first reduced to counts per (host, host suburb, listing suburb, room kind), so
+    a host with very many listings shrinks map-side; a window per host over these counts
+    tells whether its rooms are of several kinds, so the listings are scanned once.
+    Both suburb lookups are broadcast; summing the counts over the looked-up
     rows reproduces ``COUNT(*)`` of the row-level join, fan-out included.
     """
-    pairs = (wh.rows(host=True, listing=True)
-             .groupBy("host_id", "host_neighbourhood", "listing_neighbourhood")
+    priced = wh.rows(host=True, listing=True, kind=True)
+    pairs = (priced.groupBy("host_id", "host_neighbourhood", "listing_neighbourhood", "kind")
              .agg(F.count("*").alias("n")))
-    pairs = restrict_hosts(pairs, host_spread(wh), multi=True)
+    pairs = hosts_by_kinds(pairs, "host_id", "kind", multi=True)
     lga = wh.lga_lookup()
     h = lga.select(F.col("lga_name").alias("host_lga"), F.col("suburb_name").alias("h_suburb"))
     l = lga.select(F.col("lga_name").alias("listing_lga"), F.col("suburb_name").alias("l_suburb"))
@@ -174,14 +179,13 @@ def mortgage_repayments(wh: Warehouse) -> DataFrame:
 def single_host_revenue(wh: Warehouse) -> DataFrame:
     """Estimated revenue per (single-type host, name, listing neighbourhood).
 
-    Rows collapse to (host, name, neighbourhood, room kind) sums first; the
-    single-type test and the final sums both read that smaller aggregate.
+    Rows collapse to (host, name, neighbourhood, room kind) sums first; a window per
+    host over that smaller aggregate makes the single-type test, and the final sums need no further shuffle.
     """
     combos = (wh.rows(host=True, listing=True, property=True)
-              .groupBy("host_id", "host_name", "listing_neighbourhood", *ROOM_KIND)
+              .groupBy("host_id", "host_name", "listing_neighbourhood", F.struct(*ROOM_KIND).alias("kind"))
               .agg(F.sum(estimated_revenue()).alias("rev")))
-    spread = host_room_spread(combos, "host_id", ROOM_KIND)
-    return (restrict_hosts(combos, spread, multi=False)
+    return (hosts_by_kinds(combos, "host_id", "kind", multi=False)
             .groupBy("host_id", "host_name", "listing_neighbourhood")
             .agg(F.sum("rev").alias("estimate_revenue")))
 

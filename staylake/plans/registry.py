@@ -6,6 +6,7 @@ for the DuckDB oracle is in ``staylake.plans.oracle`` under the same name.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from staylake.functions.dates import (HOST_SINCE_FORMAT, SCRAPED_DATE_FORMAT, la
                                       month_label, parse_date)
 from staylake.functions.exact import avg_exact, pct
 from staylake.operators.history import scd2_bulk
-from staylake.operators.joins import fold_join
+from staylake.operators.joins import assemble, fold_join
 from staylake.operators.kpi import monthly_listing_aggregates
 from staylake.operators.quality import check_unique
 from staylake.operators.windows import period_change, running_total
@@ -23,11 +24,15 @@ from staylake.plans import marts, questions
 from staylake.plans.warehouse import Warehouse
 from staylake.session import configure, scratch_path
 from staylake.sources import fixtures, schemas
-from staylake.sources.feeds import (coerce_types, fill_defaults, load_feed, project_columns,
-                                    surrogate_id, union_months)
+from staylake.sources.catalog import create_raw_tables, read_raw_tables, read_slices, save_raw_tables, save_slices
+from staylake.sources.feeds import (coerce_types, fill_defaults, load_checked, load_feed, project_columns,
+                                    serial_ids, surrogate_id, union_months)
 from staylake.sources.sinks import write_table
+from staylake.sources.store import materialize
+from staylake.sources.snapshots import SnapshotStore, natural_slices, run_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
+SLICE_BUCKETS = 8  # for the test tables; size by table bytes on a cluster
 FILES_PER_MONTH = 4  # month-partitioned writes: at most this many files per month
 QUERIES: dict[str, Query] = {}
 
@@ -116,6 +121,32 @@ def _assemble4(spark, sf_dir):
     return _wh(spark, sf_dir).rows(host=True, listing=True, property=True, review=True)
 
 
+_SLICES: dict[tuple[str, str], str] = {}
+
+
+def _stored_slices(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
+    """The staged slices as bucketed tables, stored once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SLICES:
+        wh = _wh(spark, sf_dir)
+        _SLICES[key] = f"slices_{uuid.uuid4().hex}"
+        drop = ("scd_id", "updated_at", "valid_from", "valid_to")
+        parts = {"listing": wh.dim_listing(), "host": wh.dim_host(), "property": wh.dim_property(), "review": wh.fact_review()}
+        save_slices(spark, {n: df.drop(*drop) for n, df in parts.items()}, _SLICES[key], SLICE_BUCKETS)
+    return read_slices(spark, names, _SLICES[key])
+
+
+@query("assemble3_stored")
+def _assemble3_stored(spark, sf_dir):
+    """Three stored slices joined on the row id, bucket by bucket."""
+    return assemble(_stored_slices(spark, sf_dir, ["listing", "host", "property"]))
+
+
+@query("assemble4_stored")
+def _assemble4_stored(spark, sf_dir):
+    return assemble(_stored_slices(spark, sf_dir, ["listing", "host", "property", "review"]))
+
+
 @query("suburb_join")
 def _suburb_join(spark, sf_dir):
     wh = _wh(spark, sf_dir)
@@ -245,6 +276,27 @@ QUERIES["scd2_review"] = lambda spark, sf_dir: _scd(
     "listing_id", "scraped_date", SCRAPED_DATE_FORMAT)
 
 
+# ---- persisted history: snapshot runs over three loads ----------------------
+_SNAPSHOTS: dict[tuple[str, str], SnapshotStore] = {}
+LOAD_CUTS = ("1994-06-01", "1996-06-01")
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> SnapshotStore:
+    """Three loads in time order, in which hosts live where their latest listing is."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SNAPSHOTS:
+        house = _wh(spark, sf_dir).house.withColumn("host_neighbourhood", F.col("listing_neighbourhood"))
+        at = F.col("scraped_date")
+        first, last = LOAD_CUTS
+        loads = [house.filter(at.isNull() | (at < first)), house.filter((at >= first) & (at < last)), house.filter(at >= last)]
+        _SNAPSHOTS[key] = run_snapshots(SnapshotStore(spark, scratch_path(spark, "snapshots"), natural_slices(), buckets=SLICE_BUCKETS), loads)
+    return _SNAPSHOTS[key]
+
+
+for _name in ("host", "listing", "property", "review"):
+    QUERIES[f"snapshot_{_name}"] = (lambda n: lambda spark, sf_dir: _snapshots(spark, sf_dir).read(n))(_name)
+
+
 # ---- loading: cleaning, keys, checks (H1, H2, S12, S13, S15, U1) ----------
 @query("fill_defaults")
 def _fill_defaults(spark, sf_dir):
@@ -344,19 +396,89 @@ def _sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).select("id", *schemas.HOUSE_COLUMNS)
 
 
+@query("catalog_months")
+def _catalog_months(spark, sf_dir):
+    """Months saved into the catalog's partitioned listings table in three calls, one of which replaces months."""
+    house = _wh(spark, sf_dir).house
+    database = f"raw_{uuid.uuid4().hex}"
+    create_raw_tables(spark, database)
+    late = house.filter(F.col("scraped_date") >= "1996-01-01")
+    for part in (house.filter(F.col("scraped_date").isNull() | (F.col("scraped_date") < "1996-01-01")), late.withColumn("price", F.lit(0)), late):
+        save_raw_tables(spark, {"house": part}, database, files_per_month=FILES_PER_MONTH)
+    return read_raw_tables(spark, database)["house"]
+
+
+@query("catalog_pruned")
+def _catalog_pruned(spark, sf_dir):
+    """Two months of the partitioned table: only their folders are read."""
+    database = f"raw_{uuid.uuid4().hex}"
+    create_raw_tables(spark, database)
+    save_raw_tables(spark, {"house": _wh(spark, sf_dir).house}, database, files_per_month=FILES_PER_MONTH)
+    return read_raw_tables(spark, database, months=["1995-03", "1997-11"])["house"]
+
+
+def _spoilt_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listings feed as text, with malformed numbers and flags and 18-digit listing ids on some rows."""
+    h = _wh(spark, sf_dir).house
+    spoilt = {
+        "price": F.when(F.col("id") % 97 == 0, F.lit("n/a")).when(F.col("id") % 89 == 0, F.concat(F.col("price").cast("string"), F.lit(".5"))),
+        "has_availability": F.when(F.col("id") % 83 == 0, F.lit("maybe")),
+        "listing_id": F.when(F.col("id") % 79 == 0, F.concat(F.lit("100000000000000"), F.lpad((F.col("listing_id") % 1000).cast("string"), 3, "0"))),
+        "accommodates": F.when(F.col("id") % 73 == 0, F.lit("99999999999")),
+    }
+    return h.withColumns({c: F.coalesce(v, F.col(c).cast("string")) for c, v in spoilt.items()})
+
+
+def _checked(spark: SparkSession, sf_dir: str):
+    return load_checked(_spoilt_feed(spark, sf_dir), "house", scratch_path(spark, "checked"))
+
+
+@query("load_rejects")
+def _load_rejects(spark, sf_dir):
+    """The values that did not fit their column, as they came."""
+    return _checked(spark, sf_dir).rejects
+
+
+@query("load_checked")
+def _load_checked(spark, sf_dir):
+    """The same load's table: rounded prices, exact 18-digit ids, gaps where a value was rejected."""
+    return _checked(spark, sf_dir).table.select("id", "listing_id", "accommodates", "price", "has_availability")
+
+
+@query("serial_ids")
+def _serial_ids(spark, sf_dir):
+    """Two loads of order lines: the second continues the ids of the stored first."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    key = ["l_orderkey", "l_linenumber"]
+    stored = None
+    for part in (li.filter(F.col("l_shipdate") < "1995-06-01"), li.filter(F.col("l_shipdate") >= "1995-06-01")):
+        new = serial_ids(part.select(*key, *fixtures.LINEITEM_ORDER), stored, order=[*key, *fixtures.LINEITEM_ORDER])
+        path = scratch_path(spark, "serial")
+        (new if stored is None else stored.unionByName(new)).write.parquet(path)
+        stored = spark.read.parquet(path)
+    return stored.select(*key, "id")
+
+
+_INGESTED: dict[tuple[str, str], str] = {}
+
+
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     """The listings feed as CSV files in time order (a folder per year, two files in each, split by
     listing), ingested by the stream three files at a time, so that years are split over batches."""
     from staylake.streaming import ingest_feed
 
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _INGESTED:
+        return _INGESTED[key]
     base = scratch_path(spark, "stream")
-    feed = fixtures.house_feed(spark, sf_dir)
+    feed = materialize(spark, {"feed": fixtures.house_feed(spark, sf_dir)}, "stream-feed")["feed"]  # derived once, not once per year
     upper = feed.select(*[F.col(c).alias(c.upper()) for c in feed.columns])
     years = [r[0] for r in feed.select(F.substring("scraped_date", 1, 4).alias("y")).distinct().orderBy("y").collect()]
     for year in years:  # one folder after another: files are taken in the order of their times
         of_year = F.substring("SCRAPED_DATE", 1, 4).eqNullSafe(F.lit(year))
         write_table(upper.filter(of_year).repartition(2, "LISTING_ID"), f"{base}/feed/{year}", fmt="csv")
     ingest_feed(spark, f"{base}/feed/*/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint", files_per_batch=3)
+    _INGESTED[key] = base
     return base
 
 

@@ -76,10 +76,13 @@ def _review_staged() -> dict[str, Column]:
 
 
 class Warehouse:
-    """The star schema over one set of raw tables (all lazy DataFrames)."""
+    """The star schema over one set of raw tables. Models are lazy DataFrames, but for the row count
+    that decides whether the LGA lookup is broadcast. ``history``: a ``SnapshotStore`` whose slices
+    (``row_slices``) the staging models read instead of building them from the raw table."""
 
-    def __init__(self, raw: dict[str, DataFrame], broadcast_rows: int | None = None):
+    def __init__(self, raw: dict[str, DataFrame], broadcast_rows: int | None = None, history=None):
         self.raw = raw
+        self.history = history
         self._broadcast_rows = broadcast_rows
         self._lga_lookup: DataFrame | None = None
 
@@ -103,8 +106,8 @@ class Warehouse:
               "fact_review", "fact_listing")
 
     def register_views(self) -> list[str]:
-        """Every model as a temporary view of its (lazy) plan, so models can be
-        read by name from SQL; nothing is computed here."""
+        """Every model as a temporary view of its plan, so models can be read by
+        name from SQL; only the LGA lookup is counted here."""
         for name in self.MODELS:
             getattr(self, name)().createOrReplaceTempView(name)
         return list(self.MODELS)
@@ -114,17 +117,21 @@ class Warehouse:
         return self.raw["house"]
 
     # ---- history (H3-H6): the listings table is keyed by its unique row id
+    def _snapshot(self, name: str, columns: list[str], updated_at: str) -> DataFrame:
+        kept = self.history.read(name) if self.history is not None else None
+        return kept if kept is not None else scd2_bulk(self.house.select(*columns), "id", updated_at, unique_key=True)
+
     def host_snapshot(self) -> DataFrame:
-        return scd2_bulk(self.house.select(*HOST_COLUMNS), "id", "host_since", unique_key=True)
+        return self._snapshot("host", HOST_COLUMNS, "host_since")
 
     def listing_snapshot(self) -> DataFrame:
-        return scd2_bulk(self.house.select(*LISTING_COLUMNS), "id", "scraped_date", unique_key=True)
+        return self._snapshot("listing", LISTING_COLUMNS, "scraped_date")
 
     def property_snapshot(self) -> DataFrame:
-        return scd2_bulk(self.house.select(*PROPERTY_COLUMNS), "id", "scraped_date", unique_key=True)
+        return self._snapshot("property", PROPERTY_COLUMNS, "scraped_date")
 
     def review_snapshot(self) -> DataFrame:
-        return scd2_bulk(self.house.select(*REVIEW_COLUMNS), "id", "scraped_date", unique_key=True)
+        return self._snapshot("review", REVIEW_COLUMNS, "scraped_date")
 
     # ---- staging (M1-M5)
     def stg_lga_code(self) -> DataFrame:
@@ -181,9 +188,11 @@ class Warehouse:
 
     # ---- re-assembled listing rows
     def rows(self, host: bool = False, listing: bool = True, property: bool = False,
-             review: bool = False) -> DataFrame:
+             review: bool = False, kind: bool = False) -> DataFrame:
         """``listing JOIN host JOIN property JOIN review ON id`` for the chosen
-        slices, as one filtered scan of the listings table (row id is unique)."""
+        slices, as one filtered scan of the listings table (row id is unique).
+        ``kind`` adds the room kind of rows that the property slice keeps, NULL
+        on the others, without filtering them."""
         staged: dict[str, Column] = {}
         cond = F.lit(True)
         if listing:
@@ -196,6 +205,8 @@ class Warehouse:
             cond = cond & _property_filter()
         if review:
             staged.update({k: v for k, v in _review_staged().items() if k not in staged})
+        if kind:
+            staged["kind"] = F.when(_property_filter(), F.struct("property_type", "room_type", "accommodates"))
         return self.house.filter(cond).select(*[v.alias(k) for k, v in staged.items()])
 
     def fact_listing(self) -> DataFrame:

@@ -1,18 +1,23 @@
-"""Named tables: the ``raw`` namespace with typed, create-if-absent tables.
+"""Named tables: the ``raw`` namespace with typed, create-if-absent tables, and stored slices.
 
 The database and its tables live under the shared folder (never a
 machine-local warehouse directory); ``spark.table("raw.house")`` then reads
-a base table by its logical name.
+a base table by its logical name. Listings are partitioned by scrape month:
+saving a month replaces that month only, and a filter on months reads only theirs.
 """
 
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from staylake.session import shared_dir
 from staylake.sources import schemas
+from staylake.sources.sinks import dealt_by
 
 RAW_DATABASE = "raw"
 
@@ -22,6 +27,21 @@ def table_ddl(types: dict[str, str]) -> str:
     return ", ".join(["id BIGINT"] + [f"{c} {t.upper()}" for c, t in types.items()])
 
 
+MONTH = "scrape_month"  # partition of the listings: yyyy-MM of the scrape date, NULL where that is missing
+
+
+@contextmanager
+def _replacing_partitions(spark: SparkSession):
+    """Overwrites replace only the partitions that have incoming rows."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def create_raw_tables(spark: SparkSession, database: str = RAW_DATABASE,
                       location: str | None = None) -> str:
     """``CREATE DATABASE / TABLE IF NOT EXISTS`` for the five raw tables
@@ -29,18 +49,51 @@ def create_raw_tables(spark: SparkSession, database: str = RAW_DATABASE,
     base = location or os.path.join(shared_dir(spark), "staylake", "catalog", database)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
     for name, (_, types) in schemas.FEEDS.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({table_ddl(types)}) "
-                  f"USING parquet LOCATION '{os.path.join(base, name)}'")
+        columns, parts = table_ddl(types), ""
+        if name == "house":
+            columns, parts = f"{columns}, {MONTH} STRING", f"PARTITIONED BY ({MONTH}) "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) "
+                  f"USING parquet {parts}LOCATION '{os.path.join(base, name)}'")
     return base
 
 
 def save_raw_tables(spark: SparkSession, tables: dict[str, DataFrame],
-                    database: str = RAW_DATABASE) -> None:
-    """Replace the contents of the raw tables (columns matched by name)."""
+                    database: str = RAW_DATABASE, files_per_month: int | None = None) -> None:
+    """Replace the contents of the raw tables (columns matched by name); of the
+    listings, only the months that ``tables`` brings."""
     for name, df in tables.items():
         target = f"{database}.{name}"
-        df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        if name == "house":
+            df = df.withColumn(MONTH, F.substring("scraped_date", 1, 7))
+            df = dealt_by(df, [MONTH], files_per_month) if files_per_month else df
+        with _replacing_partitions(spark):
+            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+
+
+def register_months(spark: SparkSession, database: str = RAW_DATABASE) -> None:
+    """Make months known whose folders another session or tool wrote."""
+    spark.catalog.recoverPartitions(f"{database}.house")
+
+
+def read_raw_tables(spark: SparkSession, database: str = RAW_DATABASE, months: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The raw tables by name; ``months`` (yyyy-MM) reads only these months of the listings."""
+    tables = {name: spark.table(f"{database}.{name}") for name in schemas.FEEDS}
+    if months is not None:
+        tables["house"] = tables["house"].filter(F.col(MONTH).isin(list(months)))
+    return {**tables, "house": tables["house"].drop(MONTH)}
+
+
+def save_slices(spark: SparkSession, slices: dict[str, DataFrame], database: str, buckets: int,
+                location: str | None = None, on: str = "id") -> None:
+    """Slices as tables bucketed and sorted by ``on``, one file per bucket: joined on it
+    (``operators.assemble``), they are read bucket by bucket without a shuffle. The
+    number of buckets must be the same for slices that are joined; size them for a task's memory."""
+    base = location or os.path.join(shared_dir(spark), "staylake", "slices", database)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
+    for name, df in slices.items():
+        (df.repartition(buckets, on).write.mode("overwrite").format("parquet").bucketBy(buckets, on).sortBy(on)
+         .option("path", os.path.join(base, name)).saveAsTable(f"{database}.{name}"))
 
 
-def read_raw_tables(spark: SparkSession, database: str = RAW_DATABASE) -> dict[str, DataFrame]:
-    return {name: spark.table(f"{database}.{name}") for name in schemas.FEEDS}
+def read_slices(spark: SparkSession, names: Sequence[str], database: str) -> dict[str, DataFrame]:
+    return {name: spark.table(f"{database}.{name}") for name in names}

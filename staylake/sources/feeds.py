@@ -6,14 +6,17 @@ Every step is a DataFrame transformation; nothing is collected.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylake.functions.dates import parse_date
+from staylake.operators.quality import check_unique
+from staylake.session import scratch_path
 from staylake.sources import schemas
 
 
@@ -123,6 +126,70 @@ def coercion_rejects(raw: DataFrame, types: dict[str, str]) -> DataFrame:
     return raw.agg(*checks)
 
 
+REJECTS = "_rejects"
+
+
+def with_rejects(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Adds ``_rejects``: the columns whose value does not fit the declared type, with the text it came as."""
+    found = []
+    for name, target in types.items():
+        if name in df.columns:
+            new = _coerce(F.col(name), _simple_type(df, name), target, True)
+            found.append(F.when(F.col(name).isNotNull() & new.isNull(),
+                                F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("text"))))
+    none = F.array().cast("array<struct<column:string,text:string>>")
+    return df.withColumn(REJECTS, F.filter(F.array(*found), lambda x: x.isNotNull()) if found else none)
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """A written table, its rejected values (``key`` columns, column, text), and how many each column has."""
+
+    table: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def write_checked(df: DataFrame, path: str, types: dict[str, str], key: Sequence[str] = ("id",), unique: bool = True) -> Loaded:
+    """Write typed rows that carry ``_rejects`` and count the rejected values in the same pass.
+
+    The values that did not fit stay next to their row in the written files, so
+    the side table needs no second look at the feed; the counts are metrics of the write. ``unique``
+    checks that no two rows have the same ``key`` (on the written key columns only)."""
+    spark, seen = df.sparkSession, Observation()
+    per_column = [F.coalesce(F.sum(F.size(F.filter(REJECTS, lambda x: x["column"] == name))), F.lit(0)).alias(name) for name in types]
+    df.observe(seen, F.count(F.lit(1)).alias("rows_written"), *per_column).write.mode("overwrite").parquet(path)
+    counts = {k: int(v) for k, v in seen.get.items()}
+    written = spark.read.schema(df.schema).parquet(path)
+    if unique:
+        double = check_unique(written, list(key)).limit(5).collect()
+        if double:
+            raise ValueError(f"rows share a key ({', '.join(key)}): {[tuple(r) for r in double]}")
+    rejects = written.filter(F.size(REJECTS) > 0).select(*key, F.inline(REJECTS))
+    return Loaded(written.drop(REJECTS), rejects, counts)
+
+
+def serial_ids(df: DataFrame, stored: DataFrame | None = None, name: str = "id", order: Sequence[str] = ()) -> DataFrame:
+    """Ids for a further load: 1, 2, 3, .. from the largest id in ``stored``, in the order of the rows (or of
+    ``order``). Ids given before stay as they are.
+
+    The load is written once with each row's place; counts per write task, a row each, are added up to
+    offsets, so nothing is gathered and a re-read gives the same ids. Check uniqueness when
+    the load is stored (``write_checked``): two loads numbered at the same time would collide."""
+    spark = df.sparkSession
+    if order:
+        df = df.orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    path = scratch_path(spark, "serial-ids")
+    df.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_place", T.LongType())])).parquet(path)
+    task = F.shiftright("_place", 33)
+    first = 0 if stored is None else stored.agg(F.max(name)).first()[0] or 0
+    before = F.sum("_rows").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = placed.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows")).select("_task", F.coalesce(before, F.lit(0)).alias("_before"))
+    number = F.lit(first + 1) + F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(offsets), task == F.col("_task")).withColumn(name, number).drop("_place", "_task", "_before")
+
+
 def surrogate_id(df: DataFrame, base: Column, partition: Sequence[str],
                  order: Sequence[str], copies: int = 64, name: str = "id") -> DataFrame:
     """Deterministic distributed row key: ``base * copies + row_number``.
@@ -167,15 +234,24 @@ def load_feed(spark: SparkSession, name: str, paths: str | Sequence[str],
     return typed(read_feed_csv(spark, name, paths, base_path, with_id, multi_line), name, keep)
 
 
-def typed(df: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
-    """A feed's rows with the table's types and filled gaps."""
+def typed(df: DataFrame, name: str, keep: Sequence[str] = (), rejects: bool = False) -> DataFrame:
+    """A feed's rows with the table's types and filled gaps; ``rejects`` keeps the values that did not fit."""
     _, types = schemas.FEEDS[name]
+    if rejects:
+        df, keep = with_rejects(df, types), [*keep, REJECTS]
     df = coerce_types(df, types)
     if name == "house":
         df = fill_defaults(df, schemas.HOUSE_FILL)
     return df.select(*keep, *[c for c in types if c in df.columns])
 
 
+def load_checked(df: DataFrame, name: str, path: str, ids: Callable[[DataFrame], DataFrame] | None = None, key: Sequence[str] = ("id",)) -> Loaded:
+    """A feed's rows to a written, typed raw table with its rejects. ``ids`` gives the rows their ids
+    (e.g. ``house_ids``); without it the feed must carry the ``key``."""
+    rows = typed(df, name, [] if ids else list(key), rejects=True)
+    return write_checked(ids(rows) if ids else rows, path, schemas.FEEDS[name][1], key)
+
+
 # ---- fixed values: feed file names in the source folder layout -------------
 FEED_FILES = {
     "nsw_lga_code": "NSW_LGA/NSW_LGA_CODE.csv",
@@ -214,3 +290,15 @@ def load_feeds(spark: SparkSession, folder: str, months: Sequence[str], multi_li
     house = typed(read_months_csv(spark, "house", [f"{folder}/{LISTINGS_FOLDER}/{m}.csv" for m in months], multi_line), "house")
     tables["house"] = house_ids(house).select("id", *schemas.HOUSE_COLUMNS)
     return tables
+
+
+def load_feeds_checked(spark: SparkSession, folder: str, months: Sequence[str], base: str, multi_line: bool = False) -> dict[str, Loaded]:
+    """``load_feeds`` written under ``base``, with the rejected values of every table and a check
+    that ids are unique. LGA-level ids are given once, on writing."""
+    out = {}
+    for name, rel in FEED_FILES.items():
+        feed = read_feed_csv(spark, name, f"{folder}/{rel}", multi_line=multi_line)
+        out[name] = load_checked(feed, name, f"{base}/{name}", ids=lambda d: d.withColumn("id", F.monotonically_increasing_id()))
+    house = read_months_csv(spark, "house", [f"{folder}/{LISTINGS_FOLDER}/{m}.csv" for m in months], multi_line)
+    out["house"] = load_checked(house, "house", f"{base}/house", ids=house_ids)
+    return out

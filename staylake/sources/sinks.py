@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def dealt_by(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+    """Rows dealt so that each value of ``columns`` is written by at most ``files`` tasks: shuffled on
+    the columns plus a hash of the row, which a retried task reproduces."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files))
+    return df.repartition(*[F.col(c) for c in columns], salt)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 fmt: str = "parquet", mode: str = "overwrite",
                 skip_empty: bool = True, header: bool = True,
@@ -30,8 +37,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     if skip_empty and not partition_by and df.isEmpty():
         return False
     if partition_by and files_per_partition:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        df = df.repartition(*[F.col(c) for c in partition_by], salt)
+        df = dealt_by(df, partition_by, files_per_partition)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")

@@ -36,10 +36,10 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "host_name" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
-def test_q2_top_is_per_group_limited(spark):
+def test_top1_per_group_is_limited_per_task(spark):
     wh = _wh(spark)
-    plan = questions.q2_best_type(wh)._jdf.queryExecution().optimizedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    rooms = questions.best_room_per_neighbourhood(questions.room_revenue_stays(wh))
+    assert "WindowGroupLimit" in rooms._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_q1_has_one_single_partition_exchange_and_no_window(spark):
