@@ -31,6 +31,30 @@ def fold_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return left.join(right, fold(left[left_key]) == fold(right[right_key]), how)
 
 
+def salted_fold_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
+                     hot_rows: int = 1_000_000, null_salts: int = 64) -> DataFrame:
+    """``fold_join`` for a lookup too large to broadcast, whose left side may have hot keys.
+
+    Keys are counted (partial aggregation); a key with more than ``hot_rows`` rows is dealt over as
+    many salts as it has multiples of that, by a hash of the row, and only the lookup rows of such keys are repeated, once per
+    salt. There are at most rows / ``hot_rows`` hot keys; they are broadcast if counted to be few. NULL keys meet nothing
+    and are spread over ``null_salts``. ``how``: inner or left.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    own = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    keyed = left.withColumns({"_k": fold(F.col(left_key)), "_row": own})
+    hot = (keyed.filter(F.col("_k").isNotNull()).groupBy("_k").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+           .select("_k", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")))
+    hot = bounded_broadcast(hot)
+    salt = (F.when(F.col("_k").isNull(), F.pmod("_row", F.lit(null_salts)))
+            .otherwise(F.pmod("_row", F.coalesce("_salts", F.lit(1)))).cast("int"))
+    dealt = keyed.join(hot, "_k", "left").withColumn("_salt", salt).drop("_salts", "_row")
+    repeated = (right.withColumn("_k", fold(F.col(right_key))).join(hot, "_k", "left")
+                .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts"))
+    return dealt.join(repeated, ["_k", "_salt"], how).drop("_k", "_salt")
+
+
 def assemble(parts: Mapping[str, DataFrame], on: str = "id") -> DataFrame:
     """Inner-join slices that share a row id, keeping one copy of every column.
 

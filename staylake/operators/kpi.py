@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylake.functions.dates import label_time_key, month_label
@@ -17,6 +17,8 @@ from staylake.functions.listing import (NIGHTS_WINDOW, active_only, estimated_ni
                                         flag_count, is_true)
 from staylake.operators.windows import period_change
 
+SKETCH_LG_K = 16
+
 KPI_COLUMNS = [
     "active_listings_ratio", "minimum_price", "maximum_price", "median_price",
     "average_price", "distinct_host", "superhost_ratio", "average_review_scores_rating",
@@ -34,15 +36,13 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
     per group each, are put together by a union and one more aggregate, where
     NULL keys meet without a null-safe join. The exact median keeps a
     price -> count map per group, bounded by the number of distinct prices;
-    ``median="approx"`` uses a fixed-size sketch instead (an actual price
-    within about 0.1% of rank, not the interpolated median) for groups
-    whose distinct prices are too many to hold.
+    ``median="selected"`` finds the same value by ``exact_median``, without a map,
+    for groups whose distinct prices are too many to hold.
     """
-    if median not in ("exact", "approx"):
-        raise ValueError("median must be 'exact' or 'approx'")
+    if median not in ("exact", "selected"):
+        raise ValueError("median must be 'exact' or 'selected'")
     active_price = active_only("price")
-    median_col = (F.percentile(active_price, F.lit(0.5)) if median == "exact"
-                  else F.percentile_approx(active_price, F.lit(0.5), F.lit(1000)).cast("double"))
+    median_col = F.percentile(active_price, F.lit(0.5)) if median == "exact" else F.lit(None).cast("double")
     month = month_label(date_col).alias("month_year")
     group = [*keys, "month_year"]
     active = is_true("has_availability")
@@ -72,10 +72,58 @@ def monthly_listing_aggregates(rows: DataFrame, keys: Sequence[str],
     hosts = distinct_count(base, group, "host_id", "distinct_host")
     figures = [c for c in main.columns if c not in group]
     both = main.unionByName(hosts, allowMissingColumns=True)  # at most one value of a figure per group
+    if median == "selected":
+        priced = base.filter(active).select(*group, "price")
+        both = both.unionByName(exact_median(priced, group, "price", "median_price"), allowMissingColumns=True)
     return both.groupBy(*group).agg(*[F.max(c).alias(c) for c in figures],
                                     F.coalesce(F.max("distinct_host"), F.lit(0).cast("bigint")).alias("distinct_host"))
 
 
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", low_bits: int = 12) -> DataFrame:
+    """The median of an integer column per ``keys`` (the mean of the two middle values), by selection in two passes.
+
+    First the values are counted by their upper bits, which finds the one or two ranges that hold the
+    middle; then only rows in these are counted by value. Both counts are partially aggregated,
+    so a group of any size shrinks in every task, and nothing holds a group's values: a task sees
+    one row per range of a group, and at most 2 ** ``low_bits`` values of a range. Groups without a value are left out;
+    keys may be NULL.
+    """
+    df = df.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("_group"), F.col(value).cast("bigint").alias("_v"))
+
+    def ranked(counts: DataFrame, part: list[str], offset: Column) -> DataFrame:
+        """Adds the first and last rank of each unit within ``part``."""
+        before = Window.partitionBy(*part).orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
+        return (counts.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)) + offset)
+                .withColumn("_last", F.col("_first") + F.col("_n") - 1))
+
+    ranges = df.groupBy("_group", F.shiftright("_v", low_bits).alias("_unit")).agg(F.count("*").alias("_n"))
+    ranges = ranked(ranges, ["_group"], F.lit(0)).withColumn("_total", F.sum("_n").over(Window.partitionBy("_group")))
+    low, high = F.expr("(_total - 1) div 2"), F.expr("_total div 2")
+    holds = lambda rank: rank.between(F.col("_first"), F.col("_last"))
+    middle = ranges.filter(holds(low) | holds(high)).select("_group", F.col("_unit").alias("_range"), F.col("_first").alias("_offset"), "_total")
+    inside = df.withColumn("_range", F.shiftright("_v", low_bits)).join(middle, ["_group", "_range"])
+    counts = inside.groupBy("_group", "_range", "_offset", "_total", F.col("_v").alias("_unit")).agg(F.count("*").alias("_n"))
+    counts = ranked(counts, ["_group", "_range"], F.col("_offset"))
+    both = counts.groupBy("_group").agg(F.max(F.when(holds(low), F.col("_unit"))).alias("_a"), F.max(F.when(holds(high), F.col("_unit"))).alias("_b"))
+    return both.select("_group.*", ((F.col("_a") + F.col("_b")) / 2).alias(out))
+
+
+def host_sketches(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_date", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Per ``keys`` and month a mergeable state of the distinct hosts, next to their exact count."""
+    group = [*keys, "month_year"]
+    base = rows.select(*keys, month_label(date_col).alias("month_year"), "host_id")
+    states = base.groupBy(*group).agg(F.hll_sketch_agg("host_id", F.lit(lg_k)).alias("hosts"))
+    exact = distinct_count(base, group, "host_id", "distinct_host")
+    both = states.unionByName(exact, allowMissingColumns=True)
+    return both.groupBy(*group).agg(F.max("hosts").alias("hosts"), F.coalesce(F.max("distinct_host"), F.lit(0).cast("bigint")).alias("distinct_host"))
+
+
+def merged_hosts(sketches: DataFrame, keys: Sequence[str], out: str = "distinct_host_estimate") -> DataFrame:
+    """Distinct hosts over several months: states add up where counts do not. The relative standard error
+    is about 1.04 / sqrt(2 ** lg_k), 0.4 % by default; a month's own count stays exact."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("hosts")).alias(out))
+
+
 def distinct_count(df: DataFrame, group: Sequence[str], col: str, out: str) -> DataFrame:
     """Exact ``COUNT(DISTINCT col)`` per group: distinct (group, col) pairs
     (partial-aggregated), then a count per group."""
@@ -92,7 +140,11 @@ def listing_kpis(rows: DataFrame, keys: Sequence[str], date_col: str = "scraped_
     them by date. The change columns compare a month with the next one in
     that order within the same ``keys``.
     """
-    agg = monthly_listing_aggregates(rows, keys, date_col, median)
+    return finished_kpis(monthly_listing_aggregates(rows, keys, date_col, median), keys, order)
+
+
+def finished_kpis(agg: DataFrame, keys: Sequence[str], order: str = "label") -> DataFrame:
+    """The KPI columns from monthly aggregates, one row per ``keys`` and month."""
     agg = agg.withColumn("_month_order", F.col("month_year") if order == "label"
                          else label_time_key("month_year"))
     agg = period_change(agg, "n_active", keys, "_month_order", "active_change", denom="n_active")

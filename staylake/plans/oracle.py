@@ -370,5 +370,8 @@ def oracle_queries() -> dict[str, str]:
         "stream_ingest": _scd_sql(LISTING_COLS, "listing_id", "scraped_date", SCRAPE_FMT),
         "stream_raw": f"SELECT id, {house_cols} FROM raw_house",
     }
+    q |= {"median_selected": q["median_price"], "incremental_mart": q["dm_listing_neighbourhood"], "suburb_join_salted": q["suburb_join"],
+          "distinct_hosts_merged": "SELECT listing_neighbourhood, count(DISTINCT host_id) AS distinct_host, TRUE AS within_error "
+                                   "FROM rated_rows WHERE listing_neighbourhood IS NOT NULL GROUP BY listing_neighbourhood"}
     q |= {"assemble3_stored": q["assemble3"], "assemble4_stored": q["assemble4"]}
     return {name: _with(sql) for name, sql in q.items()}

@@ -16,11 +16,12 @@ from staylake.functions.dates import (HOST_SINCE_FORMAT, SCRAPED_DATE_FORMAT, la
                                       month_label, parse_date)
 from staylake.functions.exact import avg_exact, pct
 from staylake.operators.history import scd2_bulk
-from staylake.operators.joins import assemble, fold_join
-from staylake.operators.kpi import monthly_listing_aggregates
+from staylake.operators.joins import assemble, fold_join, salted_fold_join
+from staylake.operators.kpi import SKETCH_LG_K, distinct_count, host_sketches, merged_hosts, monthly_listing_aggregates
 from staylake.operators.quality import check_unique
 from staylake.operators.windows import period_change, running_total
 from staylake.plans import marts, questions
+from staylake.plans.incremental import KpiMart
 from staylake.plans.warehouse import Warehouse
 from staylake.session import configure, scratch_path
 from staylake.sources import fixtures, schemas
@@ -154,6 +155,14 @@ def _suburb_join(spark, sf_dir):
     return j.select("id", "host_id", "lga_code", "lga_name", "suburb_name")
 
 
+@query("suburb_join_salted")
+def _suburb_join_salted(spark, sf_dir):
+    """The same join without a broadcast: hot suburbs are dealt over salts."""
+    wh = _wh(spark, sf_dir)
+    j = salted_fold_join(wh.dim_host(), wh.dim_lga().hint("shuffle_hash"), "host_neighbourhood", "suburb_name", hot_rows=500)
+    return j.select("id", "host_id", "lga_code", "lga_name", "suburb_name")
+
+
 @query("semi_multi_hosts")
 def _semi_multi_hosts(spark, sf_dir):
     wh = _wh(spark, sf_dir)
@@ -209,6 +218,38 @@ def _avg_estimate_revenue(spark, sf_dir):
     return a.select(*KEYS, avg_exact("sum_revenue_or_zero", "n_revenue_or_zero").alias("avg_estimate_revenue"))
 
 
+@query("median_selected")
+def _median_selected(spark, sf_dir):
+    """The same medians by selection in two passes, without a map per group."""
+    rows = _wh(spark, sf_dir).rows(host=True, listing=True, property=True, review=True)
+    return monthly_listing_aggregates(rows, ["listing_neighbourhood"], median="selected").select(*KEYS, "median_price")
+
+
+@query("distinct_hosts_merged")
+def _distinct_hosts_merged(spark, sf_dir):
+    """Distinct hosts of a neighbourhood over all months, merged from monthly states: the exact
+    number, and whether the estimate is within four standard errors of it."""
+    rows = _wh(spark, sf_dir).rows(host=True, listing=True, property=True, review=True)
+    states = materialize(spark, {"states": host_sketches(rows, ["listing_neighbourhood"])}, "host-states")["states"]
+    exact = distinct_count(rows, ["listing_neighbourhood"], "host_id", "distinct_host")
+    error = 4 * 1.04 / 2 ** (SKETCH_LG_K / 2)
+    near = F.abs(F.col("distinct_host_estimate") - F.col("distinct_host")) <= F.greatest(error * F.col("distinct_host"), F.lit(0.5))
+    merged = merged_hosts(states, ["listing_neighbourhood"])
+    return exact.join(merged, "listing_neighbourhood").select("listing_neighbourhood", "distinct_host", near.alias("within_error"))
+
+
+@query("incremental_mart")
+def _incremental_mart(spark, sf_dir):
+    """The neighbourhood mart loaded in four parts, months out of order, one part twice."""
+    rows = _wh(spark, sf_dir).rows(host=True, listing=True, property=True, review=True)
+    mart = KpiMart(spark, scratch_path(spark, "mart"), ["listing_neighbourhood"])
+    part = F.pmod(F.month("scraped_date") + F.year("scraped_date"), F.lit(4))
+    mart.load(rows.filter(part == 2).withColumn("price", F.lit(7)))  # replaced below
+    for n in (3, 0, 2, 1):
+        mart.load(rows.filter(part == n))
+    return mart.read().select(*marts.dm_listing_neighbourhood(_wh(spark, sf_dir)).columns)
+
+
 @query("revenue_per_host")
 def _revenue_per_host(spark, sf_dir):
     m = marts.dm_host_neighbourhood(_wh(spark, sf_dir), sort=False)

@@ -81,17 +81,9 @@ def test_incremental_history_equals_bulk_random(spark):
     assert current_rows(history).count() == len({r[1] for b in batches for r in b})
 
 
-def test_approx_median_is_opt_in_and_close(spark):
+def test_selected_median_is_exact(spark):
     from staylake.operators.kpi import monthly_listing_aggregates
 
     rows = Warehouse(fixtures.raw_tables(spark, SMOKE_DIR)).rows(host=True, listing=True, property=True, review=True)
-    exact = monthly_listing_aggregates(rows, ["listing_neighbourhood"])
-    approx = monthly_listing_aggregates(rows, ["listing_neighbourhood"], median="approx")
-    keys = ["listing_neighbourhood", "month_year"]
-    both = exact.select(*keys, "median_price", "minimum_price", "maximum_price").join(
-        approx.select(*keys, F.col("median_price").alias("approx_median")), keys)
-    for r in both.collect():
-        if r.median_price is None:
-            assert r.approx_median is None
-        else:
-            assert r.minimum_price <= r.approx_median <= r.maximum_price
+    exact, selected = (monthly_listing_aggregates(rows, ["listing_neighbourhood"], median=m) for m in ("exact", "selected"))
+    assert exact.exceptAll(selected).count() == 0 and selected.exceptAll(exact).count() == 0
