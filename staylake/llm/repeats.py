@@ -274,7 +274,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     survey = saved(rows.mapInArrow(_survey(WINDOW, ANCHOR), "doc bigint, node bigint, version bigint, n_words bigint, kept_sha256 string, anchors array<bigint>"), "survey")
 
     named = survey.select("node", F.explode("anchors").alias("anchor"))
-    recurring = named.groupBy("anchor").agg(F.count("*").alias("times"), F.min("node").alias("home")).filter("times > 1").drop("times")
+    # written, so that the join back is planned from its size, and a very common anchor's rows can be split
+    recurring = saved(named.groupBy("anchor").agg(F.count("*").alias("times"), F.min("node").alias("home")).filter("times > 1").drop("times"), "anchors")
     of_doc = (named.join(recurring, "anchor").groupBy("node")
               .agg(F.collect_set(F.struct("anchor", "home")).alias("anchors")))
     candidates = saved(rows.select("node", "version", "text").join(of_doc, "node"), "candidates")
