@@ -321,6 +321,8 @@ def test_toxicity(spark):
     model = toxicity.fit(docs, labels.filter(~toxicity.held_out()))
     seen = model.score(docs).join(labels, "doc_id").toPandas()
     assert ((seen.predicted == 1) & (seen.toxic == 0)).mean() < 0.02 and seen[seen.toxic == 1].score.mean() > 0.5
+    unseen = model.score(docs.filter(toxicity.held_out())).join(labels, "doc_id").filter("toxic IS NOT NULL").toPandas()
+    assert len(unseen) > 20 and (unseen.predicted == unseen.toxic).mean() > 0.9 and ((unseen.predicted == 1) & (unseen.toxic == 0)).mean() < 0.02
     edge = model.score(edge_docs(spark)).toPandas()
     assert len(edge) == len(edge_rows()) and edge.score.between(0, 1).all() and list(edge.columns[:3]) == ["doc_id", "text", "lang"]
     assert model.score(no_docs(spark)).count() == 0
