@@ -421,19 +421,46 @@ def test_url_rules(spark):
 
 
 # ---- 10 ---------------------------------------------------------------------
-def test_chat_windows(spark):
+def _said(parts):
+    """Role and text per turn and the learned texts, put together over a conversation's windows."""
+    said, learned = [], []
+    for r in parts:
+        for t in r.turns:
+            assert t.continued == bool(said and said[-1][2]) and (not t.continued or said[-1][0] == t.role)
+            said = said[:-1] + [(t.role, said[-1][1] + t.text, t.continues)] if t.continued else said + [(t.role, t.text, t.continues)]
+        learned.extend(r.learned)
+    return [x[:2] for x in said], learned
+
+
+def _chat_rows():
     rows = [(1, 0, "system", "be \\ brief <|"), (1, 1, "user", "a" * 300), (1, 2, "assistant", "b" * 900 + "\n"), (1, 3, "user", None), (1, 4, "assistant", "c<"),
             (2, 0, "assistant", queries.CONTROL), (3, 0, "system", "alone"), (None, None, None, None), (None, 0, "role\nx", "<\\|"), (1, 4, "assistant", "c<")]
     rows += [(4, t, ("user", "assistant")[t % 2], f"{t} " * (t % 7 * 40)) for t in range(1, 700)] + [(5, 1, "assistant", "long " * 4000)]
-    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumns({c: F.lit("x") for c in ("window", "pos", "conv", "cost", "head")})
-    windows = chat.format_windows(turns, budget=400)
+    rows += [(6, 0, "system", "rule " * 150), (6, 0, "system", "rule " * 150), (6, 1, "user", "\\<|é \n\n\U0001f600 12345" * 300), (6, 2, "assistant", "\\" * 999 + "<|im_more|><|im_cont|>" * 90)]
+    rows += [(7, 0, "system", "too long a rule " * 200), (7, 1, "assistant", "x"), (8, 1, "system\\" * 3000, "role"), (8, 2, "r " * 90, "text " * 900), (9, 0, "system", "w " * 5000)]
+    return rows + [(10, -t if t else None, "tool", f"{t}!") for t in range(40)]
+
+
+@pytest.mark.parametrize("budget,history,salt_turns", [(400, 2, 10_000), (64, 0, 100), (4096, 3, 10_000)])
+def test_chat_windows(spark, budget, history, salt_turns, monkeypatch):
+    monkeypatch.setattr(chat, "SALT_TURNS", salt_turns)
+    rows = _chat_rows()
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumns({c: F.lit("x") for c in ("window", "pos", "conv", "cost", "head", "cell", "parts", "f")})
+    windows = chat.saved(chat.format_windows(turns, budget=budget, history_turns=history), "windows")
     read = chat.read_turns(windows).collect()
     for conv in {r[0] for r in rows}:
         mine = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
-        parts = sorted((r for r in read if r.conv_id == conv), key=lambda r: r.window)
-        assert [(t.role, t.text) for r in parts for t in r.turns] == [(r[2] or "", r[3] or "") for r in mine]
-        assert [x for r in parts for x in r.learned] == [r[3] or "" for r in mine if r[2] == "assistant"]
-    sized = windows.select("conv_id", "n_repeated", F.length("formatted").alias("n"), F.startswith("formatted", F.lit(chat.START + "system")).alias("s")).collect()
-    assert all(r.s for r in sized if r.conv_id == 1) and sum(r.conv_id == 4 for r in sized) > 5
-    assert all(r.n <= 4 * 400 for r in sized if r.conv_id == 4) and any(r.n_repeated for r in sized if r.conv_id == 4)
+        said, learned = _said(sorted((r for r in read if r.conv_id == conv), key=lambda r: r.window))
+        assert said == [(r[2] or "", r[3] or "") for r in mine]
+        assert "".join(learned) == "".join(r[3] or "" for r in mine if r[2] == "assistant")
+    count = re.compile(chat.TOKEN, re.S).findall
+    for r in windows.collect():
+        texts = re.split(r"<\|im_(?:start|end|more|cont)\|>", r.formatted)
+        spent = sum(len(count(t)) for t in texts) + len(texts) - 1  # an upper bound, with control strings of one token
+        assert r.conv_id == 8 or (spent <= r.n_tokens + 2 * r.formatted.count(chat.START) and r.n_tokens <= budget), (r.conv_id, spent, r.n_tokens)
+        if r.conv_id in (1, 6) and budget == 400 or r.conv_id == 7 and budget == 4096:
+            assert r.formatted.startswith(chat.START + "system\n")
+    by_conv = {c: [r for r in read if r.conv_id == c] for c in (4, 5)}
+    assert len(by_conv[4]) > 5 and windows.filter("conv_id = 4 AND n_repeated > 0").isEmpty() == (history == 0)
+    assert len(by_conv[5]) >= 4000 / budget and all(len(r.turns) == 1 for r in by_conv[5])
     assert chat.format_windows(turns.limit(0)).count() == 0
