@@ -436,7 +436,7 @@ def _chat_rows():
     rows = [(1, 0, "system", "be \\ brief <|"), (1, 1, "user", "a" * 300), (1, 2, "assistant", "b" * 900 + "\n"), (1, 3, "user", None), (1, 4, "assistant", "c<"),
             (2, 0, "assistant", queries.CONTROL), (3, 0, "system", "alone"), (None, None, None, None), (None, 0, "role\nx", "<\\|"), (1, 4, "assistant", "c<")]
     rows += [(4, t, ("user", "assistant")[t % 2], f"{t} " * (t % 7 * 40)) for t in range(1, 700)] + [(5, 1, "assistant", "long " * 4000)]
-    rows += [(6, 0, "system", "rule " * 150), (6, 0, "system", "rule " * 150), (6, 1, "user", "\\<|é \n\n\U0001f600 12345" * 300), (6, 2, "assistant", "\\" * 999 + "<|im_more|><|im_cont|>" * 90)]
+    rows += [(6, 0, "system", "rule " * 60), (6, 0, "system", "rule " * 60), (6, 1, "user", "\\<|é \n\n\U0001f600 12345" * 300), (6, 2, "assistant", "\\" * 999 + "<|im_more|><|im_cont|>" * 90)]
     rows += [(7, 0, "system", "too long a rule " * 200), (7, 1, "assistant", "x"), (8, 1, "system\\" * 3000, "role"), (8, 2, "r " * 90, "text " * 900), (9, 0, "system", "w " * 5000)]
     return rows + [(10, -t if t else None, "tool", f"{t}!") for t in range(40)]
 
