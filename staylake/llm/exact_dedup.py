@@ -5,8 +5,11 @@ state is keyed by the SHA-256 of the normalised text and kept in RocksDB
 without expiry (no watermark): per key the number of rows, the largest
 document id (the stable identifier of the row that stays) and the content
 locator of that row (file and row number). Each micro-batch writes the keys it
-changed to its own folder, which a repeated batch overwrites, so the query can
-be restarted after a loss.
+changed to its own folder, which a repeated batch overwrites. With a ``state_dir``
+the stream's checkpoint, its RocksDB state and these folders stay there: a run
+that was lost goes on where it ended, and a later run over the same folder streams
+only the files that were added and meets the keys of all runs before. Without one
+every run starts with empty state.
 
 Then every hit (a digest seen more than once) is checked on full bytes: the
 keeper's text is fetched by its locator and compared with the text of each
@@ -19,7 +22,7 @@ Only DataFrame functions run on the executors.
 A NULL text counts as empty. Texts are equal when identical after lower-casing
 A-Z only. Among rows that share the largest id the last one by file and row
 stays; a NULL id is smaller than any other. Identical rows are told apart by
-their locators. Extra columns are ignored, an empty table gives an empty
+their locators. Very long texts are hashed and compared whole. Extra columns are ignored, an empty table gives an empty
 result.
 """
 
@@ -72,24 +75,28 @@ def located(rows: DataFrame) -> DataFrame:
 
 
 def run_state(spark: SparkSession, path: str, id_col: str, text: str, batches: int,
-              digest: Callable[[Column], Column]) -> DataFrame:
-    """Stream the folder through the keyed state; its final content, one row per digest."""
+              digest: Callable[[Column], Column], state_dir: str | None = None) -> DataFrame:
+    """Stream the folder through the keyed state; its final content, one row per digest.
+
+    ``state_dir`` is a folder all executors share; it belongs to one ``path``, ``id_col``, ``text`` and ``digest``.
+    """
     source = spark.read.parquet(path)
     names = source.inputFiles()
     files = max(1, -(-len(names) // batches))
     path = path.rstrip("/")
+    state_dir = (state_dir or scratch_path(spark, "llm", "dedup-state")).rstrip("/")
     if len(names) == 1 and names[0].endswith("/" + path.rpartition("/")[2]):
         path = f"{path[:-1]}[{path[-1]}]"  # one file: a stream takes it as a pattern, not as a folder
     stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", files).parquet(path)
     stream = located(stream).select(digest(normalised(text)).alias("digest"), F.struct(F.col(id_col).cast("bigint").alias("id"), "file", "row").alias("at"))
     state = stream.groupBy("digest").agg(F.count("*").alias("group_size"), F.max("at").alias("keep"))
-    changes = scratch_path(spark, "llm", "dedup-state")
+    changes = f"{state_dir}/changes"
 
     def emit(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{changes}/batch={batch}")
 
     query = (state.writeStream.outputMode("update").foreachBatch(emit).trigger(availableNow=True)
-             .option("checkpointLocation", scratch_path(spark, "llm", "dedup-checkpoint")).start())
+             .option("checkpointLocation", f"{state_dir}/checkpoint").start())
     query.awaitTermination()
     schema = "digest binary, group_size bigint, keep struct<id: bigint, file: string, row: bigint>"
     written = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(changes) if _exists(spark, changes) else spark.createDataFrame([], schema)
@@ -103,15 +110,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def exact_duplicates(spark: SparkSession, path: str, id_col: str = "doc_id", text: str = "text", batches: int = 4,
-                     digest: Callable[[Column], Column] = sha256) -> DataFrame:
+                     digest: Callable[[Column], Column] = sha256, state_dir: str | None = None) -> DataFrame:
     """One row per row of the Parquet folder ``path``: ``id``, ``file``, ``row``, ``keep_id``,
     ``keep_file``, ``keep_row`` (the locator of the row that stays), ``group_size``, ``kept``, ``text_sha256``.
 
     ``batches`` is the number of micro-batches the files are dealt over; it does
-    not change the result. ``digest`` is replaceable for tests of collisions.
+    not change the result. ``digest`` is replaceable for tests of collisions. With a ``state_dir`` (see
+    ``run_state``) files may be added to ``path`` between runs, but not changed or removed.
     """
     with _settings(spark, STATE_CONF):
-        state = saved(run_state(spark, path, id_col, text, batches, digest), "dedup-keys")
+        state = saved(run_state(spark, path, id_col, text, batches, digest, state_dir), "dedup-keys")
     rows = located(spark.read.parquet(path)).select(
         F.col(id_col).cast("bigint").alias("id"), "file", "row", normalised(text).alias("text"), digest(normalised(text)).alias("digest"))
     # every row meets its key's state; only hits carry their text on

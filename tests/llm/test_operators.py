@@ -158,6 +158,31 @@ def test_exact_duplicates(spark, bits):
     assert exact_dedup.exact_duplicates(spark, exact_dedup.staged(no_docs(spark))).count() == 0
 
 
+def test_exact_duplicates_take_up_kept_state(spark, tmp_path):
+    """Runs over a growing folder stream new files only, meet all earlier keys, and go on after a loss."""
+    path, state = str(tmp_path / "docs"), str(tmp_path / "state")
+    deliveries = [edge_rows(), [(100 + (r[0] or 0), *r[1:]) for r in edge_rows()[:6]] + [(200, "new text", *[None] * 8)], [(300, "NEW text", *[None] * 8), (301, "alone", *[None] * 8)]]
+    told, streamed = [], []
+    for rows in deliveries:
+        told += rows
+        spark.createDataFrame(rows, edge_docs(spark).schema).repartition(3).write.mode("append").parquet(path)
+        got = exact_dedup.exact_duplicates(spark, path, batches=2, state_dir=state).collect()
+        batches = sorted((tmp_path / "state" / "changes").glob("batch=*"))
+        streamed.append(len(batches))
+        groups = Counter((r[1] or "").translate(LOWER) for r in told)
+        assert Counter((r.text_sha256, r.group_size) for r in got) == Counter(
+            {(hashlib.sha256(t.encode()).hexdigest(), n): n for t, n in groups.items()}) and sum(r.kept for r in got) == len(groups)
+    assert streamed[0] < streamed[1] < streamed[2]
+    latest = spark.read.parquet(str(tmp_path / "state" / "changes" / f"batch={streamed[2] - 1}"))
+    assert latest.count() <= 2  # keys of the last delivery alone
+    commits = tmp_path / "state" / "checkpoint" / "commits"
+    for name in (f"{streamed[2] - 1}", f".{streamed[2] - 1}.crc"):  # lost before its last batch was marked as done
+        if (commits / name).exists():
+            (commits / name).unlink()
+    again = exact_dedup.exact_duplicates(spark, path, batches=2, state_dir=state).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
 # ---- 4, 5 -------------------------------------------------------------------
 def _ids(name, end):
     t = Tokenizer.from_file(queries.tokenizer_file(name))
