@@ -85,6 +85,7 @@ def format_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str =
     rows = rows.withColumns({
         "body_cost": tokens_in(escape(F.col("text"))), "over": tokens_in(_role(F.col("role"))) + MARKS,
         "chunk": F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(1 << 62)))})
+    rows = saved(rows, "chat-sized")  # texts are counted once
 
     # the first turn of each conversation and the size of its cells
     order, share = ["turn", "role", "text"], budget // 4
@@ -96,7 +97,7 @@ def format_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str =
                  F.col("f.body_cost").alias("body_cost"), F.ceil(F.col("n") / SALT_TURNS).cast("int").alias("salts"))
     f = _cut(f.withColumn("cell", F.greatest(F.floor((F.lit(budget - share) - F.col("system_cost")) / 2), F.lit(1))))
     skipped = lambda c: F.when(F.col("has_system"), F.col(c)).otherwise(0).cast("bigint")
-    f = f.select("conv", "has_system", "system", "system_cost", "cell", "salts", skipped("cost").alias("skip_cost"), skipped("parts").alias("skip_parts"))
+    f = saved(f.select("conv", "has_system", "system", "system_cost", "cell", "salts", skipped("cost").alias("skip_cost"), skipped("parts").alias("skip_parts")), "chat-first")
 
     # where each chunk begins, in rows, parts and cost
     figures = ["has_system", "system_cost", "cell", "salts", "skip_cost", "skip_parts"]
