@@ -22,18 +22,23 @@ SESSION_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, shuffle_bytes: int | None = None) -> dict[str, str]:
     """Sizing for a large cluster run, from the input size and core count.
 
     Scan splits of 256 MiB keep task count manageable at 100 TB (about
-    400k scan tasks); the initial shuffle width gives ~256 MiB per shuffle
-    partition (never fewer than two waves of cores), and AQE coalesces
+    400k scan tasks). The initial shuffle width gives ~256 MiB per shuffle
+    partition of ``shuffle_bytes``, what the largest exchange is expected to move,
+    and never fewer than two waves of cores. Give that figure at 100 TB: every
+    scan task writes a block per shuffle partition, and without it the width
+    supposes that the whole input is moved (400k x 400k blocks), where scans of
+    few columns and partial aggregates move a small part. AQE coalesces
     small partitions and splits skewed join partitions above 512 MiB. The
     automatic broadcast limit stays small: the code broadcasts explicitly
     only what it has checked.
     """
     split = 256 * 1024 * 1024
-    partitions = max(2 * total_cores, -(-input_bytes // split))
+    moved = input_bytes if shuffle_bytes is None else shuffle_bytes
+    partitions = max(2 * total_cores, -(-moved // split))
     return {
         **SESSION_CONF,
         "spark.sql.files.maxPartitionBytes": str(split),

@@ -5,8 +5,8 @@ Every micro-batch is (1) read with the options of the batch loader (checked
 headers, doubled quotes, malformed rows fail), typed and filled; (2) written
 into the raw table under ``scrape_month=../batch_id=..``, so that files of one
 month that arrive in several batches add up while a repeated batch replaces
-only its own rows; (3) merged into the type-2 history with all versions it
-holds. Versions closed by a batch are written once, to ``closed/batch=..``; the
+only its own rows; (3) read back from there, so that the text files are parsed
+once, and merged into the type-2 history with all versions it holds. Versions closed by a batch are written once, to ``closed/batch=..``; the
 open ones are rewritten, to ``open/version=..``; a row in ``commits`` written
 last publishes both. A repeated batch starts from the version before it, so
 the result is the same after a lost executor or a restarted query, and does
@@ -55,6 +55,16 @@ def latest_history(spark: SparkSession, history_path: str, before: int | None =
     return closed.unionByName(open_)
 
 
+def _written_batch(spark: SparkSession, raw_path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """The rows a batch wrote into the raw table; only its own folders are listed."""
+    try:
+        return spark.read.schema(schema).option("basePath", raw_path).parquet(f"{raw_path}/scrape_month=*/batch_id={batch_id}")
+    except AnalysisException as missing:  # files without any row
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def ingest_feed(spark: SparkSession, feed_glob: str, raw_path: str, history_path: str,
                 checkpoint: str, key: str = "listing_id", updated_at: str = "scraped_date",
                 history_columns: Sequence[str] = ("id", "listing_id", "scraped_date", "listing_neighbourhood"),
@@ -73,7 +83,7 @@ def ingest_feed(spark: SparkSession, feed_glob: str, raw_path: str, history_path
         loaded = fill_defaults(coerce_types(batch, schemas.HOUSE_TYPES), schemas.HOUSE_FILL)
         loaded = loaded.withColumns({"scrape_month": F.substring(updated_at, 1, 7), "batch_id": F.lit(batch_id)})
         write_table(loaded, raw_path, partition_by=["scrape_month", "batch_id"])
-        incoming = loaded.select(*history_columns)
+        incoming = _written_batch(spark, raw_path, loaded.schema, batch_id).select(*history_columns)
         previous = latest_history(spark, history_path, before=batch_id)
         if previous is None:
             previous = scd2_bulk(incoming.limit(0), key, updated_at, unique_key=True)

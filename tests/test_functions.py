@@ -53,3 +53,4 @@ def test_cluster_conf_sizes_shuffles():
     conf = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert cluster_conf(100 * 1024 ** 4, 8000, shuffle_bytes=5 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "20480"

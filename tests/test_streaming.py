@@ -41,3 +41,18 @@ def test_incremental_ingest(spark):
     before = h.count()
     ingest_feed(spark, os.path.join(base, "feed", "*", "*.csv"), raw, hist, ckpt)
     assert latest_history(spark, hist).count() == before
+
+
+def test_ingest_files_without_rows(spark):
+    """A batch of header-only files writes nothing and leaves the history as it is; rows that follow are merged."""
+    base = scratch_path(spark, "stream-empty")
+    feed = fixtures.house_feed(spark, SMOKE_DIR)
+    upper = feed.select(*[F.col(c).alias(c.upper()) for c in feed.columns])
+    raw, hist, ckpt, folder = (os.path.join(base, d) for d in ("raw", "history", "ckpt", "feed"))
+    for name, rows in (("a", upper.limit(0)), ("b", upper.filter("SCRAPED_DATE LIKE '1995%'"))):
+        rows.coalesce(1).write.option("header", True).csv(os.path.join(folder, name))
+        ingest_feed(spark, os.path.join(folder, "*", "*.csv"), raw, hist, ckpt)
+        if name == "a":
+            assert (h := latest_history(spark, hist)) is None or h.count() == 0
+    assert spark.read.parquet(raw).count() == feed.filter("scraped_date LIKE '1995%'").count() > 0
+    assert current_rows(latest_history(spark, hist)).count() == feed.filter("scraped_date LIKE '1995%'").select("listing_id").distinct().count()
