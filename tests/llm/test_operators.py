@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -340,6 +341,35 @@ def test_license_windows(spark):
 
 
 # ---- 7 ----------------------------------------------------------------------
+def _features(text, learned):
+    """The twelve features counted in plain Python."""
+    lower = text.lower()
+    words = regex.findall(r"\p{L}+", lower)
+    n, chars = max(len(words), 1), max(len(text), 1)
+    hit = lambda w, lexicon: w in lexicon or any(w[:k] + "*" in lexicon and len(w) >= k for k in (4, 5, 6))
+    both = {*learned, *toxicity.INSULTS}
+    own, fixed = sum(hit(w, learned) for w in words), sum(w in toxicity.INSULTS for w in words)
+    near = sum(hit(w, both) and any(x in toxicity.SECOND_PERSON for x in words[max(0, i - 5):i + 6]) for i, w in enumerate(words))
+    undone = regex.findall(r"\p{L}+", lower.translate(str.maketrans(toxicity.SWAPPED, toxicity.MEANT)))
+    swapped = sum(hit(w, both) for w in undone) if regex.search(r"\p{L}[0134578@$]|[0134578@$]\p{L}", text) else 0
+    count = lambda pattern: len(regex.findall(pattern, text))
+    capital_words = len([w for w in regex.findall(r"[\p{L}\p{N}_]+", text) if len(w) > 2 and regex.fullmatch(r"\p{Lu}+", w)])
+    return [own / n, min(own, 20), fixed / n, min(fixed, 20), near / n, count(r"\p{Lu}") / chars, capital_words / n, count("[!?]") / chars,
+            count(r"[^\p{L}\p{N}\s]") / chars, len([m for m in regex.finditer(r"(\p{L})\1{2,}", text)]) / n, count(r"\p{L}[0-9@$*!#%]+\p{L}") / n, max(0, swapped - own)]
+
+
+def test_toxicity_features(spark):
+    learned = ["vile", "grum*", "snivel*", "scumbag", "é"]
+    texts = ["", None, " \n", "You are a VILE grumbler!!! idiot, you", "vile " * 30 + "x y z you", "1d10t m0r0n v1le gr00m", "sooo baaad!? S$$T f**k a1b2c", "Sniveling SNIVELER dû à tü DICH Dummkopf",
+             "no insults here, only 3 numbers: 12 and 4.", "a " * 6 + "trash " + "b " * 5 + "you " + "c " * 9 + "scumbag", "AAA BBB ccc DDD1 E_F", "é" * 3 + " É", "word " * 5000 + "loser you"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    df, names = toxicity.features(docs, "text", learned)
+    assert len(names) == 12
+    for r in df.collect():
+        for name, a, b in zip(names, (r[c] for c in names), _features(texts[r.doc_id] or "", learned)):
+            assert a == pytest.approx(b, abs=1e-12), (texts[r.doc_id], name)
+
+
 def test_toxicity(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
