@@ -373,5 +373,7 @@ def oracle_queries() -> dict[str, str]:
     q |= {"median_selected": q["median_price"], "incremental_mart": q["dm_listing_neighbourhood"], "suburb_join_salted": q["suburb_join"],
           "distinct_hosts_merged": "SELECT listing_neighbourhood, count(DISTINCT host_id) AS distinct_host, TRUE AS within_error "
                                    "FROM rated_rows WHERE listing_neighbourhood IS NOT NULL GROUP BY listing_neighbourhood"}
+    q |= {f"stream_{n}": q[f"snapshot_{n}"] for n in ("listing", "property", "review")}
+    q |= {"stream_host": _scd_sql([*HOST_COLS, "scraped_date"], "host_id", "scraped_date", SCRAPE_FMT)}
     q |= {"assemble3_stored": q["assemble3"], "assemble4_stored": q["assemble4"]}
     return {name: _with(sql) for name, sql in q.items()}

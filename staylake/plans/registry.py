@@ -500,27 +500,55 @@ def _serial_ids(spark, sf_dir):
     return stored.select(*key, "id")
 
 
+_FEEDS: dict[tuple[str, str], str] = {}
 _INGESTED: dict[tuple[str, str], str] = {}
+_INGESTED_SLICES: dict[tuple[str, str], SnapshotStore] = {}
 
 
-def _ingested(spark: SparkSession, sf_dir: str) -> str:
-    """The listings feed as CSV files in time order (a folder per year, two files in each, split by
-    listing), ingested by the stream three files at a time, so that years are split over batches."""
-    from staylake.streaming import ingest_feed
-
+def _yearly_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The listings feed as CSV files in time order: a folder per year, two files in each, split by listing."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _INGESTED:
-        return _INGESTED[key]
-    base = scratch_path(spark, "stream")
+    if key in _FEEDS:
+        return _FEEDS[key]
+    base = scratch_path(spark, "stream-files")
     feed = materialize(spark, {"feed": fixtures.house_feed(spark, sf_dir)}, "stream-feed")["feed"]  # derived once, not once per year
     upper = feed.select(*[F.col(c).alias(c.upper()) for c in feed.columns])
     years = [r[0] for r in feed.select(F.substring("scraped_date", 1, 4).alias("y")).distinct().orderBy("y").collect()]
     for year in years:  # one folder after another: files are taken in the order of their times
         of_year = F.substring("SCRAPED_DATE", 1, 4).eqNullSafe(F.lit(year))
-        write_table(upper.filter(of_year).repartition(2, "LISTING_ID"), f"{base}/feed/{year}", fmt="csv")
-    ingest_feed(spark, f"{base}/feed/*/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint", files_per_batch=3)
-    _INGESTED[key] = base
-    return base
+        write_table(upper.filter(of_year).repartition(2, "LISTING_ID"), f"{base}/{year}", fmt="csv")
+    _FEEDS[key] = f"{base}/*/*.csv"
+    return _FEEDS[key]
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """The yearly files ingested by the stream three at a time, so that years are split over batches."""
+    from staylake.streaming import ingest_feed
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INGESTED:
+        base = scratch_path(spark, "stream")
+        ingest_feed(spark, _yearly_feed(spark, sf_dir), f"{base}/raw", f"{base}/history", f"{base}/checkpoint", files_per_batch=3)
+        _INGESTED[key] = base
+    return _INGESTED[key]
+
+
+def _ingested_slices(spark: SparkSession, sf_dir: str) -> SnapshotStore:
+    """The same files streamed into all slices of a persisted history, four at a time: whole years, since a
+    host's listings lie in both files of a year. Open versions are kept for the last run only."""
+    from staylake.streaming import ingest_slices
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INGESTED_SLICES:
+        base = scratch_path(spark, "stream-slices")
+        store = SnapshotStore(spark, f"{base}/history", natural_slices(), buckets=SLICE_BUCKETS)
+        ingest_slices(spark, _yearly_feed(spark, sf_dir), f"{base}/raw", store, f"{base}/checkpoint", files_per_batch=4, keep=1)
+        _INGESTED_SLICES[key] = store
+    return _INGESTED_SLICES[key]
+
+
+for _name in ("host", "listing", "property", "review"):
+    QUERIES[f"stream_{_name}"] = (lambda n: lambda spark, sf_dir: _ingested_slices(spark, sf_dir).read(n))(_name)
 
 
 @query("stream_ingest")

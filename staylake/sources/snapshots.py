@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from staylake.functions.dates import HOST_SINCE_FORMAT, SCRAPED_DATE_FORMAT, parse_date
 from staylake.operators.history import scd2_bulk, scd2_parts
 
-COMMIT = "run bigint, slices map<string, struct<columns: string, open: map<int, bigint>>>"
+COMMIT = "run bigint, slices map<string, struct<columns: string, open: map<int, bigint>>>, source string"
 
 
 @dataclass(frozen=True)
@@ -112,14 +112,24 @@ class SnapshotStore:
         closed = closed.filter((F.col("part") == "closed") & (F.col("run") <= commit.run))
         return closed.drop("run", "part", "bucket").unionByName(open_)
 
-    def run(self, rows: DataFrame) -> int:
+    def run_of(self, source: str) -> int | None:
+        """The run that took in ``source``, or None."""
+        commits = self.commits()
+        row = commits.filter(F.col("source") == source).select("run").first() if commits is not None else None
+        return row.run if row else None
+
+    def run(self, rows: DataFrame, source: str | None = None) -> int:
         """Merge one load into every slice and publish them together; the run's number."""
+        if source is not None and (done := self.run_of(source)) is not None:
+            return done
         before = self.last()
         number = before.run + 1 if before else 0
+        keys = sorted({s.key for s in self.slices.values()})
+        of_key = rows.agg(*[F.collect_set(self._bucket(k)).alias(k) for k in keys]).first()  # at most ``buckets`` numbers each
         entries = {}
         for name, s in self.slices.items():
             incoming = rows.select(*s.columns)
-            touched = [r[0] for r in incoming.select(self._bucket(s.key).alias("b")).distinct().collect()]  # at most ``buckets`` numbers
+            touched = sorted(of_key[s.key])
             held = before.slices.get(name) if before else None
             if not touched:
                 self._remove(f"{self.path}/{name}/run={number}")  # left by a run that died
@@ -134,7 +144,7 @@ class SnapshotStore:
             line = line.withColumns({"part": F.when(F.col("valid_to").isNull(), "open").otherwise("closed"), "bucket": self._bucket(s.key)})
             line.write.mode("overwrite").partitionBy("part", "bucket").parquet(f"{self.path}/{name}/run={number}")
             entries[name] = (columns, {**(held.open if held else {}), **{b: number for b in touched}})
-        row = self.spark.createDataFrame([(number, entries)], COMMIT)
+        row = self.spark.createDataFrame([(number, entries, source)], COMMIT)
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/run={number}")
         return number
 

@@ -1,5 +1,5 @@
 """Incremental feed ingestion with Structured Streaming."""
 
-from staylake.streaming.feeds import ingest_feed, latest_history
+from staylake.streaming.feeds import ingest_feed, ingest_slices, latest_history
 
-__all__ = ["ingest_feed", "latest_history"]
+__all__ = ["ingest_feed", "ingest_slices", "latest_history"]

@@ -16,6 +16,13 @@ rows arrive in time order.
 ``trigger(availableNow=True)`` processes everything new and stops (the
 scheduled monthly run); the stream checkpoint remembers which files were
 done, so the next run only reads files that arrived since.
+
+``ingest_slices`` keeps all slices of a ``SnapshotStore`` instead of one history: a batch
+reads and writes only the key-hash folders it has keys of, publishes all slices with
+one commit row, and open versions that are no longer named can be removed. Its
+raw rows lie under ``scrape_month=../load=..``. A load is the stream's id (kept in its
+checkpoint) and the batch, and the commit row names it: a batch repeated after a loss is not merged
+twice, and streams with checkpoints of their own add up in one store.
 """
 
 from __future__ import annotations
@@ -32,6 +39,8 @@ from staylake.operators.history import current_rows, scd2_bulk, scd2_parts
 from staylake.sources import schemas
 from staylake.sources.feeds import coerce_types, csv_options, fill_defaults
 from staylake.sources.sinks import write_table
+from staylake.sources.snapshots import SnapshotStore
+
 
 def _last_commit(spark: SparkSession, history_path: str, before: int | None) -> tuple[int, str] | None:
     try:
@@ -55,16 +64,40 @@ def latest_history(spark: SparkSession, history_path: str, before: int | None =
     return closed.unionByName(open_)
 
 
-def _written_batch(spark: SparkSession, raw_path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+def _written(spark: SparkSession, raw_path: str, schema: T.StructType, folder: str, value: int | str) -> DataFrame:
     """The rows a batch wrote into the raw table; only its own folders are listed."""
     try:
-        return spark.read.schema(schema).option("basePath", raw_path).parquet(f"{raw_path}/scrape_month=*/batch_id={batch_id}")
+        return spark.read.schema(schema).option("basePath", raw_path).parquet(f"{raw_path}/scrape_month=*/{folder}={value}")
     except AnalysisException as missing:  # files without any row
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def _stored_batch(spark: SparkSession, batch: DataFrame, raw_path: str, updated_at: str, folder: str, value: int | str) -> DataFrame:
+    """A batch typed, filled and written into the raw table under ``scrape_month=../folder=value``, read back from there."""
+    loaded = fill_defaults(coerce_types(batch, schemas.HOUSE_TYPES), schemas.HOUSE_FILL)
+    loaded = loaded.withColumns({"scrape_month": F.substring(updated_at, 1, 7), folder: F.lit(value)})
+    write_table(loaded, raw_path, partition_by=["scrape_month", folder])
+    return _written(spark, raw_path, loaded.schema, folder, value)
+
+
+def _run_stream(spark: SparkSession, feed_glob: str, checkpoint: str, files_per_batch: int, with_id: bool,
+                multi_line: bool, process: Callable[[DataFrame, int], None]) -> None:
+    """Give the files that have come since the last run to ``process``, batch by batch."""
+    schema = schemas.HOUSE_FEED
+    if with_id:
+        schema = T.StructType([T.StructField("id", T.LongType())] + schema.fields)
+    stream = (spark.readStream.schema(schema).options(**csv_options(multi_line))
+              .option("maxFilesPerTrigger", files_per_batch)
+              .csv(feed_glob))
+    query = (stream.writeStream.foreachBatch(process)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+    query.awaitTermination()
+
+
 def ingest_feed(spark: SparkSession, feed_glob: str, raw_path: str, history_path: str,
                 checkpoint: str, key: str = "listing_id", updated_at: str = "scraped_date",
                 history_columns: Sequence[str] = ("id", "listing_id", "scraped_date", "listing_neighbourhood"),
@@ -72,18 +105,9 @@ def ingest_feed(spark: SparkSession, feed_glob: str, raw_path: str, history_path
                 files_per_batch: int = 1, with_id: bool = True, multi_line: bool = False) -> None:
     """Run the ingestion stream until all current files are processed."""
     order_by = order_by or (lambda c: parse_date(c, SCRAPED_DATE_FORMAT))
-    schema = schemas.HOUSE_FEED
-    if with_id:
-        schema = T.StructType([T.StructField("id", T.LongType())] + schema.fields)
-    stream = (spark.readStream.schema(schema).options(**csv_options(multi_line))
-              .option("maxFilesPerTrigger", files_per_batch)
-              .csv(feed_glob))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        loaded = fill_defaults(coerce_types(batch, schemas.HOUSE_TYPES), schemas.HOUSE_FILL)
-        loaded = loaded.withColumns({"scrape_month": F.substring(updated_at, 1, 7), "batch_id": F.lit(batch_id)})
-        write_table(loaded, raw_path, partition_by=["scrape_month", "batch_id"])
-        incoming = _written_batch(spark, raw_path, loaded.schema, batch_id).select(*history_columns)
+        incoming = _stored_batch(spark, batch, raw_path, updated_at, "batch_id", batch_id).select(*history_columns)
         previous = latest_history(spark, history_path, before=batch_id)
         if previous is None:
             previous = scd2_bulk(incoming.limit(0), key, updated_at, unique_key=True)
@@ -94,8 +118,24 @@ def ingest_feed(spark: SparkSession, feed_glob: str, raw_path: str, history_path
         (spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"), F.lit(columns).alias("columns"))
          .write.mode("overwrite").parquet(f"{history_path}/commits/run={batch_id}"))
 
-    query = (stream.writeStream.foreachBatch(process)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+    _run_stream(spark, feed_glob, checkpoint, files_per_batch, with_id, multi_line, process)
+
+
+def ingest_slices(spark: SparkSession, feed_glob: str, raw_path: str, store: SnapshotStore, checkpoint: str,
+                  updated_at: str = "scraped_date", files_per_batch: int = 1, multi_line: bool = False,
+                  keep: int | None = None) -> None:
+    """Run the ingestion stream into the slices of ``store`` until all current files are processed.
+
+    ``keep``: after each batch, open versions that none of the last ``keep`` runs names are removed.
+    The slices' columns must be in the feed, row ids included. One stream at a time writes to a store.
+    """
+    def process(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load = f"{query_id}-{batch_id}"
+        if store.run_of(load) is not None:
+            return  # committed before the stream could note it
+        store.run(_stored_batch(spark, batch, raw_path, updated_at, "load", load), source=load)
+        if keep is not None:
+            store.expire(keep)
+
+    _run_stream(spark, feed_glob, checkpoint, files_per_batch, True, multi_line, process)

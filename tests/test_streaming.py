@@ -1,12 +1,16 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from staylake.operators.history import current_rows
+from staylake.operators.history import current_rows, scd2_bulk
 from staylake.session import scratch_path
-from staylake.sources import fixtures
-from staylake.streaming import ingest_feed, latest_history
+from staylake.sources import fixtures, schemas
+from staylake.sources.feeds import coerce_types, fill_defaults
+from staylake.sources.snapshots import SnapshotStore, natural_slices
+from staylake.streaming import ingest_feed, ingest_slices, latest_history
 from tests.conftest import SMOKE_DIR
+from tests.helpers import rows_of
 
 
 def test_incremental_ingest(spark):
@@ -56,3 +60,73 @@ def test_ingest_files_without_rows(spark):
             assert (h := latest_history(spark, hist)) is None or h.count() == 0
     assert spark.read.parquet(raw).count() == feed.filter("scraped_date LIKE '1995%'").count() > 0
     assert current_rows(latest_history(spark, hist)).count() == feed.filter("scraped_date LIKE '1995%'").select("listing_id").distinct().count()
+
+
+def _months_as_files(spark, base, months):
+    """One file per month and its rows as the stream will see them."""
+    feed = fixtures.house_feed(spark, SMOKE_DIR)
+    for m in months:
+        part = feed.filter(F.col("scraped_date").startswith(m))
+        part.select(*[F.col(c).alias(c.upper()) for c in part.columns]).coalesce(1).write.option("header", True).csv(os.path.join(base, "feed", m))
+    loaded = fill_defaults(coerce_types(feed, schemas.HOUSE_TYPES), schemas.HOUSE_FILL)
+    return loaded.filter(F.substring("scraped_date", 1, 7).isin(months))
+
+
+def test_slices_are_kept_by_the_stream(spark):
+    """All slices equal their bulk histories; a batch repeated after its commit changes nothing; only named open versions stay."""
+    base = scratch_path(spark, "stream-slices")
+    rows = _months_as_files(spark, base, ["1995-03", "1996-05", "1997-02"])
+    raw, ckpt = os.path.join(base, "raw"), os.path.join(base, "ckpt")
+    store = SnapshotStore(spark, os.path.join(base, "history"), natural_slices(), buckets=4)
+    ingest_slices(spark, os.path.join(base, "feed", "*", "*.csv"), raw, store, ckpt, keep=1)
+
+    def check(expected):
+        assert spark.read.parquet(raw).count() == expected.count()
+        for name, s in store.slices.items():
+            whole = scd2_bulk(expected.select(*s.columns), s.key, s.updated_at, s.order_by, s.tie_break)
+            assert rows_of(store.read(name), *whole.columns) == rows_of(whole)
+    check(rows)
+    assert store.read("host").filter("valid_to IS NOT NULL").count() > 0
+    named = set(store.last().slices["host"].open.values())
+    assert {int(d[4:]) for d in os.listdir(f"{store.path}/host") if os.path.exists(f"{store.path}/host/{d}/part=open")} == named
+
+    # the stream did not note its last batch, though the store had it
+    assert store.last().run == 2
+    for name in ("2", ".2.crc"):
+        if os.path.exists(os.path.join(ckpt, "commits", name)):
+            os.remove(os.path.join(ckpt, "commits", name))
+    ingest_slices(spark, os.path.join(base, "feed", "*", "*.csv"), raw, store, ckpt, keep=1)
+    assert store.last().run == 2
+    check(rows)
+
+    # a stream with a checkpoint of its own adds its files to the same store
+    more = _months_as_files(spark, os.path.join(base, "later"), ["1998-04"])
+    ingest_slices(spark, os.path.join(base, "later", "feed", "*", "*.csv"), raw, store, os.path.join(base, "ckpt-2"), keep=1)
+    assert store.last().run == 3
+    check(rows.unionByName(more))
+
+
+def test_a_batch_that_dies_before_its_commit_is_taken_again(spark, monkeypatch):
+    base = scratch_path(spark, "stream-slices")
+    rows = _months_as_files(spark, base, ["1995-03", "1996-05"])
+    raw, ckpt, glob = os.path.join(base, "raw"), os.path.join(base, "ckpt"), os.path.join(base, "feed", "*", "*.csv")
+    store = SnapshotStore(spark, os.path.join(base, "history"), natural_slices(), buckets=4)
+    run, calls = SnapshotStore.run, []
+
+    def dies(self, batch, source=None):
+        calls.append(source)
+        if len(calls) == 2:
+            with monkeypatch.context() as m:
+                m.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+                return run(self, batch, source)
+        return run(self, batch, source)
+    with monkeypatch.context() as m:
+        m.setattr(SnapshotStore, "run", dies)
+        with pytest.raises(Exception):
+            ingest_slices(spark, glob, raw, store, ckpt)
+    assert store.last().run == 0 and os.path.exists(f"{store.path}/host/run=1")
+    ingest_slices(spark, glob, raw, store, ckpt)
+    assert store.last().run == 1 and store.run_of(calls[1]) == 1 and spark.read.parquet(raw).count() == rows.count()
+    for name, s in store.slices.items():
+        whole = scd2_bulk(rows.select(*s.columns), s.key, s.updated_at, s.order_by, s.tie_break)
+        assert rows_of(store.read(name), *whole.columns) == rows_of(whole)
