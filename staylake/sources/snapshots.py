@@ -21,6 +21,7 @@ open version changes nothing. NULL keys are a key like any other.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable, Mapping, Sequence
 
@@ -126,16 +127,14 @@ class SnapshotStore:
         number = before.run + 1 if before else 0
         keys = sorted({s.key for s in self.slices.values()})
         of_key = rows.agg(*[F.collect_set(self._bucket(k)).alias(k) for k in keys]).first()  # at most ``buckets`` numbers each
-        entries = {}
-        for name, s in self.slices.items():
-            incoming = rows.select(*s.columns)
+
+        def merge(name: str) -> tuple[str, dict[int, int]] | None:
+            s, held = self.slices[name], before.slices.get(name) if before else None
             touched = sorted(of_key[s.key])
-            held = before.slices.get(name) if before else None
             if not touched:
                 self._remove(f"{self.path}/{name}/run={number}")  # left by a run that died
-                if held:
-                    entries[name] = (held.columns, dict(held.open))
-                continue
+                return (held.columns, dict(held.open)) if held else None
+            incoming = rows.select(*s.columns)
             open_ = self._open(name, before, touched)
             if open_ is None:
                 open_ = scd2_bulk(incoming.limit(0), s.key, s.updated_at, unique_key=True)
@@ -143,7 +142,11 @@ class SnapshotStore:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in line.schema)
             line = line.withColumns({"part": F.when(F.col("valid_to").isNull(), "open").otherwise("closed"), "bucket": self._bucket(s.key)})
             line.write.mode("overwrite").partitionBy("part", "bucket").parquet(f"{self.path}/{name}/run={number}")
-            entries[name] = (columns, {**(held.open if held else {}), **{b: number for b in touched}})
+            return columns, {**(held.open if held else {}), **{b: number for b in touched}}
+
+        with ThreadPoolExecutor(max_workers=max(1, len(self.slices))) as pool:  # independent jobs, submitted together
+            merged = dict(zip(self.slices, pool.map(merge, self.slices)))
+        entries = {name: entry for name, entry in merged.items() if entry}
         row = self.spark.createDataFrame([(number, entries, source)], COMMIT)
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/run={number}")
         return number
