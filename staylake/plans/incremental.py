@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from staylake.functions.dates import label_time_key
 from staylake.operators.kpi import finished_kpis, monthly_listing_aggregates
 from staylake.sources.sinks import write_table
+from staylake.sources.store import materialize
 
 
 class KpiMart:
@@ -54,6 +55,7 @@ class KpiMart:
     def load(self, rows: DataFrame, date_col: str = "scraped_date") -> list[str]:
         """Take in the months that ``rows`` holds (all rows of each); the months rewritten in the mart."""
         new = monthly_listing_aggregates(rows, self.keys, date_col).filter(F.col("month_year").isNotNull())
+        new = materialize(self.spark, {"figures": new}, "mart-load")["figures"]  # computed once, looked at twice
         held = self._stored("figures")
         stale: set[str] = set()
         months = [r[0] for r in new.select("month_year").distinct().collect()]
