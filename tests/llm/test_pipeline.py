@@ -1,5 +1,7 @@
 """The corpus pipeline's stages on the smallest tables."""
 
+import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -55,3 +57,25 @@ def test_stages_leave_columns_and_texts_alone(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert no_docs(spark).columns[:5] == docs.columns[:5]
+
+
+@pytest.mark.parametrize("limit", [corpus_pipeline.BROADCAST_NUMBERS, 0])
+def test_texts_are_not_moved_to_drop_rows(spark, monkeypatch, limit):
+    """What goes is named by number and broadcast, also where Spark itself would not; beyond the limit rows are shuffled."""
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_NUMBERS", limit)
+    item = common.table(spark, SF, "benchmark").first().text
+    own = " ".join(f"word{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, own), (2, own + " more"), (2, item), (None, own), (None, None), (3, item + " end"), (4, "")],
+                                 "doc_id bigint, text string").repartition(3)
+    docs = common.saved(docs, "dropping")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage, left in ((corpus_pipeline.drop_near_copies, [(1, own), (2, item), (None, None), (4, "")]),
+                            (corpus_pipeline.drop_contaminated, [(1, own), (2, own + " more"), (None, own), (None, None), (4, "")])):
+            kept = stage(spark, docs, SF)
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert ("Exchange hashpartitioning" in plan) == (limit == 0) and ("BroadcastHashJoin" in plan) == (limit > 0)
+            assert sorted(map(repr, kept.collect())) == sorted(repr(Row(doc_id=d, text=t)) for d, t in left)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
