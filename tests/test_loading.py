@@ -1,5 +1,6 @@
 """Partitioned catalog, stored slices, rejects, continued ids, one-scan questions."""
 
+import glob
 import uuid
 
 import pytest
@@ -10,7 +11,7 @@ from staylake.operators.joins import assemble
 from staylake.plans import questions
 from staylake.plans.warehouse import Warehouse
 from staylake.session import scratch_path
-from staylake.sources import schemas
+from staylake.sources import catalog, schemas
 from staylake.sources.catalog import (create_raw_tables, read_raw_tables, read_slices, register_months, save_raw_tables,
                                       save_slices)
 from staylake.sources.feeds import house_ids, load_checked, serial_ids, write_checked, with_rejects
@@ -43,6 +44,33 @@ def test_months_are_partitions(spark):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+@pytest.mark.parametrize("files, most", [(2, 1000), (1, 1000), (2, 3)])
+def test_months_are_gathered_without_a_shuffle(spark, monkeypatch, files, most):
+    """Each month by at most ``files`` tasks; more than ``MONTHS`` months are shuffled; missing dates are kept."""
+    monkeypatch.setattr(catalog, "MONTHS", most)
+    dates = ["2021-01-03", "2021-01-20", "2021-02-01", "2021-03-05", None, "", "odd/date=1"]
+    rows = house(spark, [{"scraped_date": d, "price": n, "host_name": None if n % 5 == 0 else f"h{n}"} for d in dates for n in range(40)]).repartition(6)
+    stored = catalog.stored_by_month(rows)
+    gathered = catalog._gathered(stored, files)
+    assert ("Exchange" in _plan(gathered)) == (most < len(dates) - 2)
+    tasks = gathered.withColumn("task", F.spark_partition_id()).groupBy(catalog.MONTH).agg(F.countDistinct("task").alias("n")).collect()
+    assert len(tasks) == 5 and all(r.n <= files for r in tasks)
+    if most > len(dates):
+        with catalog._set(spark, catalog.REPLACING):
+            assert catalog._gathered(stored, files).rdd.getNumPartitions() >= 5  # months are written side by side
+    database = f"raw_{uuid.uuid4().hex[:8]}"
+    base = create_raw_tables(spark, database, scratch_path(spark, "catalog-test"))
+    save_raw_tables(spark, {"house": rows.withColumn("price", F.lit(-1))}, database, files_per_month=files)
+    for part in (stored.filter(F.col("scraped_date") >= "2021-02-01"), stored.filter(F.col("scraped_date").isNull() | (F.col("scraped_date") < "2021-02-01")),
+                 stored.limit(0)):
+        save_raw_tables(spark, {"house": part}, database, files_per_month=files, by_month=True)
+    got = read_raw_tables(spark, database)["house"]
+    assert rows_of(got, *got.columns) == rows_of(rows, *got.columns)
+    folders = glob.glob(f"{base}/house/*/")
+    assert len(folders) == 5 and all(len(glob.glob(f"{f}*.parquet")) <= files for f in folders)
+    assert all(spark.conf.get(key).lower() != value for key, value in catalog.REPLACING.items())
+
+
 def test_stored_slices_join_without_a_shuffle(spark):
     wh = Warehouse.from_testdata(spark, SMOKE_DIR, materialized=True)
     database, drop = f"slices_{uuid.uuid4().hex[:8]}", ("scd_id", "updated_at", "valid_from", "valid_to")
