@@ -4,7 +4,9 @@ Both supported vocabularies split a text at white space before they merge
 bytes, so the words of a slice are found by hash (``words.py``), every word not
 met before is encoded once, many joined in one call, and the ids are put
 together with numpy. What is kept of earlier words belongs to the Python
-worker, holds ``CACHE_WORDS`` words at most and is dropped when full. The
+worker and is dropped before a slice if it holds over ``CACHE_WORDS`` words or
+``CACHE_IDS`` of their ids. Slices are small, as numpy takes about 100 bytes
+for each of theirs, and a task encodes on its own core alone. The
 result equals encoding the text in one call; texts where cutting at white space
 could differ (gaps other than one space or line break for a vocabulary that
 keeps spaces, white space beyond ASCII) take that call; their words are not looked up.
@@ -15,6 +17,7 @@ collide with a chance of about 1e-8.
 
 from __future__ import annotations
 
+import os
 import sys
 from types import ModuleType
 from typing import Iterator
@@ -25,7 +28,8 @@ from tokenizers import Tokenizer
 
 from staylake.llm import words
 
-CACHE_WORDS = 1_500_000
+CACHE_WORDS, CACHE_IDS = 1_500_000, 8_000_000
+ENCODE_BYTES = 1 << 19
 JOINED = 400
 
 
@@ -46,7 +50,7 @@ class Encoder:
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
-        self.lens = np.zeros(0, np.int64)
+        self.lens = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -70,9 +74,8 @@ class Encoder:
         lens = np.diff(marks, prepend=-1) - 1
         at = len(self.flat) + np.cumsum(lens) - lens
         self.flat = np.concatenate([self.flat, np.delete(ids, marks)])
-        keys, at, lens = (np.concatenate([a, b]) for a, b in ((self.keys, keys), (self.at, at), (self.lens, lens)))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.at, self.lens = keys[order], at[order], lens[order]
+        to = np.searchsorted(self.keys, keys)  # both are sorted
+        self.keys, self.at, self.lens = np.insert(self.keys, to, keys), np.insert(self.at, to, at), np.insert(self.lens, to, lens)
         return True
 
     def _kinds(self, data: np.ndarray, offsets: np.ndarray, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +120,7 @@ class Encoder:
             total = np.concatenate([[0], np.cumsum(data == ord(self.mark))])
             marked = total[w.ends] > total[w.starts]
             whole[np.repeat(np.arange(len(texts)), w.counts)[marked]] = True
-        if len(self.keys) > CACHE_WORDS:
+        if len(self.keys) > CACHE_WORDS or len(self.flat) > CACHE_IDS:
             self._forget()
         live = ~np.repeat(whole, w.counts)  # words of texts encoded in one call are not looked up
         starts, ends, kinds = w.starts[live], w.ends[live], kinds[live]
@@ -138,7 +141,7 @@ class Encoder:
                     return self._ids(texts.to_pylist())
                 place = np.searchsorted(self.keys, distinct)
             code = place[inverse]
-            own, breaks = self.lens[code], (kinds == 2).astype(np.int64)
+            own, breaks = self.lens[code].astype(np.int64), (kinds == 2).astype(np.int64)
             lens = own + breaks + stop
             total = np.cumsum(lens)
             out = np.full(int(total[-1]), self.mark_id, np.uint32)  # line breaks keep this id
@@ -155,6 +158,7 @@ class Encoder:
 
 def encoder(tokenizer_json: str, spaced: bool) -> Encoder:
     """The worker's encoder of this vocabulary; it outlives a task, the words it has met with it."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # else it starts a thread per core of the machine
     kept = sys.modules.setdefault("_staylake_encoders", ModuleType("_staylake_encoders")).__dict__
     name = f"{hash(tokenizer_json)}-{spaced}"
     if name not in kept:
@@ -166,5 +170,5 @@ def encoded_slices(batches, text: str, tokenizer_json: str, spaced: bool, end_id
     """Slices of rows with the ids of each text, the end id added."""
     own, end = encoder(tokenizer_json, spaced), np.array([end_id], np.uint32)
     for batch in batches:
-        for part in words.slices(batch, text, 2 << 20):
+        for part in words.slices(batch, text, ENCODE_BYTES):
             yield part, [np.concatenate([ids, end]) for ids in own.encode(part.column(part.schema.get_field_index(text)))]

@@ -120,11 +120,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, spaced: boo
     order = ["doc_id", "hash", "tie"]
     dealt = rows.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
     shards = dealt.select("doc_id", "text").mapInArrow(_write(f"{folder}/data", tokenizer, spaced, end_id, width), SHARDS)
-    shards.write.parquet(f"{folder}/shards")
-    # one row per shard
+    # one row per shard, written by one task: a file each would hold 24 bytes
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    known = spark.read.schema(SHARDS).parquet(f"{folder}/shards")
-    known.withColumns({"docs_before": F.coalesce(F.sum("n_docs").over(before), F.lit(0)),
+    shards.withColumns({"docs_before": F.coalesce(F.sum("n_docs").over(before), F.lit(0)),
                        "tokens_before": F.coalesce(F.sum("n_tokens").over(before), F.lit(0))}).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 

@@ -2,10 +2,13 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -260,6 +263,35 @@ def test_records(spark):
     assert records.write_records(no_docs(spark), empty, path, spaced=False, end_id=2).count() == 0 and records.read_records(spark, empty).count() == 0
 
 
+def test_shards_are_listed_in_one_file(spark):
+    """Tasks that encode write their shard and no table file of one row each."""
+    folder = scratch_path(spark, "records")
+    records.write_records(edge_docs(spark), folder, queries.tokenizer_file("word_bpe_49k.json"), spaced=False, end_id=2, partitions=4)
+    tables = [p for p in Path(folder).rglob("part-*.parquet")]
+    assert len(tables) == 1 and records.read_manifest(spark, folder).count() == len(list(Path(folder, "data").glob("part-*.rec"))) > 1
+
+
+@pytest.mark.parametrize("name, end", [("word_bpe_49k.json", 2), ("byte_bpe_50k.json", 0)])
+def test_encoding_takes_little_memory(name, end, monkeypatch):
+    """A batch of 3 MB takes a share of the memory that numpy needs for it whole; kept words are bounded by their ids as well."""
+    ids, texts = _ids(name, end), [" ".join(f"w{i * 200 + j}x" for j in range(200)) for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    with open(queries.tokenizer_file(name), encoding="utf-8") as f:
+        tokenizer = f.read()
+    monkeypatch.setattr(encode, "encoder", lambda *a, own=encode.Encoder(tokenizer, "byte" in name): own)
+    tracemalloc.start()
+    for part, got in encode.encoded_slices([batch], "text", tokenizer, "byte" in name, end):
+        assert part.num_rows == len(got)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    own = encode.encoder()
+    monkeypatch.setattr(encode, "CACHE_IDS", 1000)
+    assert len(own.flat) > 1000
+    again = [x for _, got in encode.encoded_slices([batch.slice(0, 3)], "text", tokenizer, "byte" in name, end) for x in got]
+    assert len(own.keys) == 600 and all((x == ids(t)).all() for x, t in zip(again, texts))
+
+
 def test_damaged_record_is_noticed():
     whole = records.frame(b"payload")
     assert records.unframe(whole) == b"payload"
