@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +19,24 @@ def ship(*modules: str) -> None:
         cloudpickle.register_pickle_by_value(importlib.import_module(name))
 
 
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """While ``operator`` runs on its first argument, Spark sends rows to Python in batches of about ``BATCH_BYTES``
+    (else 10,000 rows, however long): an executor and its workers hold a batch several times over."""
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+        held = conf.get(key, None)
+        conf.set(key, str(BATCH_BYTES))
+        try:
+            return operator(docs, *args, **kwargs)
+        finally:
+            conf.unset(key) if held is None else conf.set(key, held)
+    return run
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared folder and read it back.
 

@@ -4,9 +4,10 @@ Both supported vocabularies split a text at white space before they merge
 bytes, so the words of a slice are found by hash (``words.py``), every word not
 met before is encoded once, many joined in one call, and the ids are put
 together with numpy. What is kept of earlier words belongs to the Python
-worker and is dropped before a slice if it holds over ``CACHE_WORDS`` words or
-``CACHE_IDS`` of their ids. Slices are small, as numpy takes about 100 bytes
-for each of theirs, and a task encodes on its own core alone. The
+worker; before a slice, if it holds over ``CACHE_WORDS`` words or ``CACHE_IDS``
+of their ids, the words not met again since are dropped (most words of real
+texts are rare; the common ones stay known). Slices are small, as numpy takes
+about 100 bytes for each of theirs, and a task encodes on its own core alone. The
 result equals encoding the text in one call; texts where cutting at white space
 could differ (gaps other than one space or line break for a vocabulary that
 keeps spaces, white space beyond ASCII) take that call; their words are not looked up.
@@ -28,8 +29,8 @@ from tokenizers import Tokenizer
 
 from staylake.llm import words
 
-CACHE_WORDS, CACHE_IDS = 1_500_000, 8_000_000
-ENCODE_BYTES = 1 << 19
+CACHE_WORDS, CACHE_IDS = 400_000, 2_000_000
+ENCODE_BYTES = 1 << 18
 JOINED = 400
 
 
@@ -45,14 +46,23 @@ class Encoder:
         self.stop_ids = np.zeros(128, np.uint32)
         for c in (".", ","):
             self.stop_ids[ord(c)] = self.tokenizer.encode(c, add_special_tokens=False).ids[0]
-        self._forget()
-
-    def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.lens = np.zeros(0, np.int32)
+        self.again = np.zeros(0, bool)  # met in a later slice as well
         self.flat = np.zeros(0, np.uint32)
 
+    def _forget(self) -> None:
+        """Drop the words not met again; all words, if those met again take over half of the room."""
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > CACHE_WORDS or 2 * int(self.lens[kept].sum()) > CACHE_IDS:
+            kept = kept[:0]
+        lens = self.lens[kept].astype(np.int64)
+        at = np.cumsum(lens) - lens
+        inside = np.arange(int(lens.sum())) - np.repeat(at, lens)
+        self.flat = self.flat[np.repeat(self.at[kept], lens) + inside]
+        self.keys, self.at, self.lens, self.again = self.keys[kept], at, self.lens[kept], np.zeros(len(kept), bool)
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -76,6 +86,7 @@ class Encoder:
         self.flat = np.concatenate([self.flat, np.delete(ids, marks)])
         to = np.searchsorted(self.keys, keys)  # both are sorted
         self.keys, self.at, self.lens = np.insert(self.keys, to, keys), np.insert(self.at, to, at), np.insert(self.lens, to, lens)
+        self.again = np.insert(self.again, to, False)
         return True
 
     def _kinds(self, data: np.ndarray, offsets: np.ndarray, w: words.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +146,7 @@ class Encoder:
             distinct, example, inverse = np.unique(keys, return_index=True, return_inverse=True)
             place = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
             new = self.keys[place] != distinct if len(self.keys) else np.ones(len(distinct), bool)
+            self.again[place[~new]] = True
             if new.any():
                 some = example[new]
                 if not self._learn(data, starts[some], ends[some], spaces[some], distinct[new]):

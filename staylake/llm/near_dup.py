@@ -42,13 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylake.llm import minhash, words
-from staylake.llm.common import node_id, saved, ship, whole_text
+from staylake.llm.common import in_small_batches, node_id, saved, ship, whole_text
 from staylake.llm.components import components
 
 SHINGLE, BINS, BAND_ROWS = 5, 128, 4
 STAR_AGREE, CROSS_AGREE = 64, 64  # of 128 bins, see above
 SMALL = 256  # sets below are never judged by their signatures
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+SET_BYTES = 1 << 18  # of text at once; numpy takes about 100 bytes for each
 
 
 def _digest(doc: np.ndarray, h: np.ndarray, n: int, salt: int) -> np.ndarray:
@@ -66,7 +67,7 @@ def _fixed_binary(matrix: np.ndarray) -> pa.Array:
 
 def _sketch(k: int, bins: int, rows: int):
     def run(batches):
-        for part, w in words.parsed_slices(batches, "text", lower=True):
+        for part, w in words.parsed_slices(batches, "text", lower=True, size=SET_BYTES):
             doc, h = minhash.shingle_sets(w, k)
             n = part.num_rows
             sig = minhash.signatures(doc, h, n, bins)
@@ -89,7 +90,7 @@ def _confirm(k: int, percent: int):
 
     def run(batches):
         for batch in batches:
-            for part in words.slices(batch, "text_v"):
+            for part in words.slices(batch, "text_v", SET_BYTES):
                 (a, at_a), (b, at_b) = sets(part, "text_u"), sets(part, "text_v")
                 common = np.array([len(np.intersect1d(a[at_a[i]:at_a[i + 1]], b[at_b[i]:at_b[i + 1]], assume_unique=True))
                                    for i in range(part.num_rows)], np.int64)
@@ -100,7 +101,7 @@ def _confirm(k: int, percent: int):
 
 def _full_sets(k: int):
     def run(batches):
-        for part, w in words.parsed_slices(batches, "text", lower=True):
+        for part, w in words.parsed_slices(batches, "text", lower=True, size=SET_BYTES):
             doc, h = minhash.shingle_sets(w, k)
             at = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32) * 8
             yield pa.RecordBatch.from_arrays([part.column(0), pa.Array.from_buffers(pa.binary(), part.num_rows, [
@@ -181,6 +182,7 @@ def _agreeing(edges: DataFrame, sigs: DataFrame, agree: int, percent: int) -> Da
     return two.select("u", "v", "sig_u", "sig_v", "n_u", "n_v").mapInArrow(run, "u bigint, v bigint")
 
 
+@in_small_batches
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """One row per document: ``id``, ``n_shingles``, ``component_id``, ``kept``.
 

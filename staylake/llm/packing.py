@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylake.llm.common import saved, ship, whole_text
+from staylake.llm.common import in_small_batches, saved, ship, whole_text
 from staylake.llm.encode import encoded_slices
 
 FAN_IN = 16
@@ -113,6 +113,7 @@ def _pack_again(capacity: int, open_bins: int, last: bool):
     return run
 
 
+@in_small_batches
 def pack(docs: DataFrame, tokenizer_path: str, spaced: bool = True, end_id: int = 0, id_col: str = "doc_id", text: str = "text",
          capacity: int = 2048, open_bins: int = 1024) -> DataFrame:
     """One row per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``."""

@@ -121,9 +121,9 @@ def slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterato
         start = end
 
 
-def parsed_slices(batches, text: str, lower: bool = False) -> Iterator[tuple[pa.RecordBatch, Words]]:
+def parsed_slices(batches, text: str, lower: bool = False, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Words]]:
     for batch in batches:
-        for part in slices(batch, text):
+        for part in slices(batch, text, size):
             yield part, parse(*buffers(part.column(part.schema.get_field_index(text))), lower)
 
 

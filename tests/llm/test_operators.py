@@ -292,6 +292,67 @@ def test_encoding_takes_little_memory(name, end, monkeypatch):
     assert len(own.keys) == 600 and all((x == ids(t)).all() for x, t in zip(again, texts))
 
 
+def _peak_mb(work):
+    tracemalloc.start()
+    for _ in work():
+        pass
+    peak = tracemalloc.get_traced_memory()[1] / (1 << 20)
+    tracemalloc.stop()
+    return peak
+
+
+def test_encoder_keeps_the_words_met_again(monkeypatch):
+    """A full store of words loses the rare ones, keeps the common ones and is bounded; ids stay what they are."""
+    ids = _ids("byte_bpe_50k.json", 0)
+    monkeypatch.setattr(encode, "CACHE_WORDS", 1000)
+    with open(queries.tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        own = encode.Encoder(f.read(), True)
+    learnt, learn = [], own._learn
+    monkeypatch.setattr(own, "_learn", lambda *a: learnt.append(len(a[-1])) or learn(*a))
+    for i in range(12):
+        text = " ".join([f"common{j}x" for j in range(100)] + [f"rare{i}x{j}y" for j in range(400)])
+        assert (own.encode(pa.array([text]))[0] == ids(text)[:-1]).all()
+        assert len(own.keys) <= 1000 + 500 and len(own.again) == len(own.keys) == len(own.lens) == len(own.at)
+    assert learnt == [500] + [400] * 11  # the common words once
+    text = " ".join(f"common{j}x" for j in range(100)) + " " + " ".join(f"other{j}" for j in range(900))
+    for _ in range(3):  # more words are common than half of the room: all go
+        assert (own.encode(pa.array([text]))[0] == ids(text)[:-1]).all()
+    assert len(own.keys) <= 2000
+
+
+def test_slices_of_encoder_and_sketch_take_little_memory(monkeypatch):
+    """A batch of 8 MB of words not met before: the memory of a slice and of the words kept."""
+    texts = [" ".join(f"w{i * 400 + j}x" for j in range(400)) for i in range(2500)]
+    batch = pa.RecordBatch.from_pydict({"node": range(2500), "text": texts, "said": range(2500)})
+    with open(queries.tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokenizer = f.read()
+    monkeypatch.setattr(encode, "encoder", lambda *a, own=encode.Encoder(tokenizer, True): own)
+    sizes = _peak_mb(lambda: encode.encoded_slices([batch], "text", tokenizer, True, 0)), _peak_mb(lambda: near_dup._sketch(5, 128, 4)([batch]))
+    assert sizes[0] < 48 and sizes[1] < 24
+
+
+def test_batches_sent_to_packing_are_bounded_in_bytes(spark, monkeypatch):
+    def sizes(*_):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((0, 0, 0, b.nbytes, 0, 0, 0, 0), (pa.int64(), pa.int32(), *[pa.int64()] * 6))]
+                                                 + [pa.array([False])], names=[x.split()[0] for x in packing.PLACED.split(", ")])
+        return run
+
+    monkeypatch.setattr(packing, "_encode_and_pack", sizes)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 10_000).alias("text"))
+    got = [r.length for r in packing.pack(docs, queries.tokenizer_file("byte_bpe_50k.json")).collect()]
+    assert sum(got) >= 30_000_000 and max(got) < 6 << 20
+    assert spark.conf.get(key, None) is None  # the session's setting is what it was
+    spark.conf.set(key, "3m")
+    try:
+        packing.pack(docs, queries.tokenizer_file("byte_bpe_50k.json"))
+        assert spark.conf.get(key) == "3m"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_damaged_record_is_noticed():
     whole = records.frame(b"payload")
     assert records.unframe(whole) == b"payload"
