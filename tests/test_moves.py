@@ -28,6 +28,82 @@ def _folder(path):
     return path.removeprefix("file://")
 
 
+@pytest.fixture
+def wide(spark):
+    """Joins that move both sides, and no small partitions joined: as with a large input."""
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_feed_files_are_as_many_as_tasks(spark, wide, monkeypatch):
+    """Years are written in one pass by every task, the same number of files in each, a listing in one of them."""
+    monkeypatch.setattr(registry, "FEED_FILE_BYTES", 1000)
+    monkeypatch.setattr(registry, "_FEEDS", {})
+    plan = fixtures.house_feed(spark, SMOKE_DIR, by_listing=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(l_partkey") == 1  # the move that brings lines to their parts
+    pattern, of_year = registry._yearly_feed(spark, SMOKE_DIR)
+    assert of_year == 8 and registry._yearly_feed(spark, SMOKE_DIR) == (pattern, of_year)
+    years = sorted(os.path.dirname(p) for p in {os.path.dirname(f) + "/" for f in glob.glob(_folder(pattern))})
+    assert len(years) == 7 and {len(glob.glob(f"{y}/*.csv.gz")) for y in years} == {of_year}
+    times = [{os.path.getmtime(f) for f in glob.glob(f"{y}/*.csv.gz")} for y in years]
+    assert all(max(a) < min(b) for a, b in zip(times, times[1:]))
+    read = spark.read.option("header", True).csv(pattern)
+    held = read.select("LISTING_ID", F.substring("SCRAPED_DATE", 1, 4).alias("y"), F.input_file_name().alias("f")).distinct()
+    assert held.groupBy("LISTING_ID", "y").count().filter("count > 1").isEmpty()
+    feed = fixtures.house_feed(spark, SMOKE_DIR)
+    expected = feed.select(*[F.col(c).cast("string") for c in feed.columns])
+    assert rows_of(read, *[c.upper() for c in feed.columns]) == rows_of(expected)
+
+
+def test_files_arranged_by_folder_come_in_its_order(spark):
+    """Folders with fewer files get header-only ones; the stream takes the years in order, those without a date first."""
+    path = scratch_path(spark, "moves")
+    columns = [f.name for f in schemas.HOUSE_FEED.fields]
+    rows = house(spark, [{"listing_id": i % 5, "scraped_date": f"{y}-03-{1 + i:02d}" if y else None}
+                         for y, n in ((2022, 1), (2021, 12), (None, 2)) for i in range(n)])
+    feed = rows.select(*[F.col(c).alias(c.upper()) for c in ["id", *columns]], F.substring("scraped_date", 1, 4).alias("feed_year"))
+    sinks.write_table(feed.repartition(3, "LISTING_ID"), path, partition_by=["feed_year"], fmt="csv", compression="gzip")
+    most = sinks.arrange_files(spark, path, feed.columns[:-1])
+    folders = [f"{_folder(path)}/feed_year={y}" for y in ("__HIVE_DEFAULT_PARTITION__", "2021", "2022")]
+    files = [sorted(glob.glob(f"{d}/*.csv.gz")) for d in folders]
+    assert [len(f) for f in files] == [most] * 3 and most > 1
+    assert max(map(os.path.getmtime, files[0])) < min(map(os.path.getmtime, files[1])) and max(map(os.path.getmtime, files[1])) < min(map(os.path.getmtime, files[2]))
+    assert sum(len(gzip.open(f, "rt").read().splitlines()) == 1 for f in files[2]) == most - 1
+    base = scratch_path(spark, "moves")
+    ingest_feed(spark, f"{path}/*/*.csv.gz", f"{base}/raw", f"{base}/history", f"{base}/checkpoint", files_per_batch=most)
+    assert spark.read.parquet(f"{base}/raw").count() == 15
+    assert spark.read.parquet(f"{base}/history/commits").count() == 3
+    got = latest_history(spark, f"{base}/history")
+    whole = history.scd2_bulk(rows.select("id", "listing_id", "scraped_date", "listing_neighbourhood"), "listing_id", "scraped_date", ORDER)
+    assert rows_of(got, *whole.columns) == rows_of(whole)
+    stored = spark.read.parquet(f"{base}/history/versions/batch=1")
+    assert not {"scd_id", "valid_from"} & set(stored.columns)
+
+
+def test_a_stream_goes_on_from_a_history_with_all_columns(spark):
+    """Batches of before wrote id and start of versions, and a commit without their key."""
+    base = scratch_path(spark, "moves")
+    columns = ["id", "listing_id", "scraped_date", "listing_neighbourhood"]
+    old = house(spark, [{"listing_id": i % 3, "scraped_date": f"2021-01-0{1 + i}"} for i in range(6)])
+    kept = history.scd2_bulk(old.select(*columns), "listing_id", "scraped_date", ORDER)
+    part = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+    kept.withColumn("part", part).write.partitionBy("part").parquet(f"{base}/history/versions/batch=-1")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema)
+    spark.createDataFrame([(-1, ddl, True)], "batch bigint, columns string, together boolean").write.parquet(f"{base}/history/commits/run=-1")
+    assert rows_of(latest_history(spark, f"{base}/history"), *kept.columns) == rows_of(kept)
+    new = house(spark, [{"id": 100 + i, "listing_id": i, "scraped_date": "2021-02-01"} for i in range(4)])
+    feed = new.select(*[F.col(c).alias(c.upper()) for c in ["id", *[f.name for f in schemas.HOUSE_FEED.fields]]])
+    feed.write.option("header", True).csv(f"{base}/feed")
+    ingest_feed(spark, f"{base}/feed/*.csv", f"{base}/raw", f"{base}/history", f"{base}/checkpoint", files_per_batch=100)
+    whole = history.scd2_bulk(old.unionByName(new).select(*columns), "listing_id", "scraped_date", ORDER)
+    assert rows_of(latest_history(spark, f"{base}/history"), *whole.columns) == rows_of(whole)
+
+
 def _check(store, rows):
     for name, s in store.slices.items():
         whole = history.scd2_bulk(rows.select(*s.columns), s.key, s.updated_at, s.order_by)
