@@ -147,6 +147,33 @@ def test_slices_stay_where_an_earlier_store_holds_them(spark, monkeypatch):
     assert {h.folder for h in store.last().slices.values()} == {"host", "price"}
 
 
+def _moves(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_a_history_moves_its_rows_once(spark, monkeypatch):
+    df = spark.createDataFrame([r for rows in LOADS for r in rows] * 2, DDL)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        whole = history.scd2_bulk(df, "host_id", "scraped_date", ORDER)
+        once = history.scd2_history(df, "host_id", "scraped_date", ORDER)
+        monkeypatch.setattr(history, "HOT_ROWS", 3)
+        hot = history.scd2_history(df, "host_id", "scraped_date", ORDER)
+        assert [_moves(x) for x in (whole, once, hot)] == [2, 1, 2]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert once.columns == hot.columns == whole.columns
+    assert rows_of(once) == rows_of(hot) == rows_of(whole) and len(rows_of(whole)) > 20
+
+
+def test_versioned_queries_move_rows_once(spark, monkeypatch):
+    calls, line = [], history.scd2_line
+    monkeypatch.setattr(history, "scd2_line", lambda *a: calls.append(a[2]) or line(*a))
+    registry.QUERIES["scd2_review"](spark, SMOKE_DIR)
+    assert calls == ["listing_id"]
+
+
 def test_hot_keys_are_found_among_groups(spark, monkeypatch):
     df = spark.range(100).selectExpr("IF(id < 30, NULL, id % 40) AS k")
     for groups in (1, 4, 65_536):
