@@ -192,3 +192,25 @@ def test_a_merge_by_time_with_gaps_equals_the_one_that_moves_all_columns(spark):
     closed, old = history.scd2_parts(kept, second, "host_id", "scraped_date", ORDER)
     line = history.scd2_line(history.current_rows(kept), second, "host_id", "scraped_date", ORDER)
     assert rows_of(line) == rows_of(old, *line.columns) and len(rows_of(line)) > 4
+
+
+def test_the_sink_moves_no_rows_by_month(spark, monkeypatch):
+    for module in (catalog, sinks):
+        monkeypatch.setattr(module, "dealt_by", lambda *a: (_ for _ in ()).throw(AssertionError("rows are shuffled by month")))
+    got = registry.QUERIES["sink_roundtrip"](spark, SMOKE_DIR)
+    expected = fixtures.house(spark, SMOKE_DIR)
+    assert rows_of(got) == rows_of(expected, *got.columns)
+    months = {}
+    for f in got.inputFiles():
+        months.setdefault(os.path.dirname(f), []).append(f)
+    assert len(months) > 50 and max(map(len, months.values())) <= registry.FILES_PER_MONTH
+
+
+def test_writing_months_again_replaces_them_only(spark):
+    rows = house(spark, [{"scraped_date": f"2021-0{1 + i % 3}-15" if i % 5 else None, "price": i} for i in range(30)])
+    path = scratch_path(spark, "moves")
+    stored = catalog.stored_by_month(rows, sort=True)
+    catalog.write_months(stored, path, 2)
+    catalog.write_months(stored.filter("scraped_date >= '2021-03-01'").withColumn("price", F.lit(-1)), path, 2)
+    expected = rows.withColumn("price", F.when(F.col("scraped_date") >= "2021-03-01", -1).otherwise(F.col("price")))
+    assert rows_of(spark.read.parquet(path), *rows.columns) == rows_of(expected)
